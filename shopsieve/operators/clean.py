@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from shopsieve.operators.quality import BROKEN, N_ROWS, id_bits, row_bits
 from shopsieve.operators.rules import RuleSet
@@ -88,10 +89,25 @@ def split_by_ids(df: DataFrame, ids: DataFrame, key: str = KEY) -> tuple[DataFra
 
     De-duplication comes first, so both sides of the join hold one row per id and no key is
     hot. NULL matches NULL: a bad id that is missing condemns only the row without an id.
-    Hand in a written table of ids: Spark then knows its size and broadcasts it only when
-    it is small.
+    The key is taken apart into a value and a flag before the rows are grouped, so the join
+    is a plain equality on the columns they are already partitioned by, and rows are
+    shuffled once. Hand in a written table of ids: Spark then knows its size and broadcasts
+    it only when it is small.
     """
-    one_each = dedup_keep_one(df, key)
-    bad = ids.select(F.col(key).alias("__bad_id")).distinct()
-    same = F.col(key).eqNullSafe(F.col("__bad_id"))
-    return one_each.join(bad, same, "left_anti"), one_each.join(bad, same, "left_semi")
+    on = ["__id", "__missing"]
+
+    def parts(column: Column, kind: T.DataType) -> list[Column]:
+        stand_in = F.lit(0).cast(kind)
+        return [F.coalesce(column, stand_in).alias("__id"), column.isNull().alias("__missing")]
+
+    kind = df.schema[key].dataType
+    payload = F.struct(*[c for c in df.columns if c != key])
+    one_each = df.groupBy(*parts(F.col(key), kind)).agg(F.min(payload).alias("kept"))
+    bad = ids.select(*parts(F.col(key).cast(kind), kind)).distinct()
+
+    def side(how: str) -> DataFrame:
+        original = F.when(~F.col("__missing"), F.col("__id")).alias(key)
+        rows = one_each.join(bad, on, how)
+        return rows.select(*[original if c == key else F.col(f"kept.{c}") for c in df.columns])
+
+    return side("left_anti"), side("left_semi")
