@@ -44,5 +44,5 @@ def choice(number: Column, values: Sequence[str]) -> Column:
 
 
 def day_text(start: date, offset: Column) -> Column:
-    """``start`` plus a number of days, written yyyy-MM-dd."""
-    return F.date_format(F.date_add(F.lit(start.isoformat()).cast("date"), offset.cast("int")), "yyyy-MM-dd")
+    """``start`` plus a number of days, written yyyy-MM-dd in any time zone."""
+    return F.date_add(F.lit(start.isoformat()).cast("date"), offset.cast("int")).cast("string")

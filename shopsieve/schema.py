@@ -49,15 +49,14 @@ SNAPSHOT = _layout(
     ("import_date", T.TimestampNTZType()),
 )
 
-# The same layouts as a database declares them, for the JDBC writer's createTableColumnTypes.
+# The types a database declares, for the JDBC writer's createTableColumnTypes. They are written
+# as Spark types; a column left out gets what the database's dialect makes of its Spark type.
 SALES_DDL = (
-    "sale_id BIGINT, customer_id BIGINT, product_id BIGINT, quantity INTEGER, "
+    "sale_id BIGINT, customer_id BIGINT, product_id BIGINT, quantity INT, "
     "price DECIMAL(10,2), region VARCHAR(50), sale_date DATE"
 )
-AGGREGATED_DDL = (
-    "region VARCHAR(50), product_id BIGINT, total_sales BIGINT, "
-    "total_sales_amount DECIMAL(20,2), average_sale_amount DOUBLE PRECISION"
-)
+AGGREGATED_DDL = "region VARCHAR(50), product_id BIGINT, total_sales BIGINT, total_sales_amount DECIMAL(20,2)"
+SNAPSHOT_DDL = "region VARCHAR(50), product_id INT, total_sales BIGINT"
 
 
 class SchemaMismatch(ValueError):

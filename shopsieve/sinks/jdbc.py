@@ -4,10 +4,15 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
+from datetime import datetime
+
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from shopsieve.schema import assert_schema
+from shopsieve.schema import SNAPSHOT, SNAPSHOT_DDL, assert_schema
+from shopsieve.sinks.snapshot import import_date, snapshot_rows
+from shopsieve.sources.jdbc import read_jdbc
 
 
 def write_options(
@@ -47,3 +52,28 @@ def save_jdbc(
     if schema is not None:
         assert_schema(df, schema)
     df.write.format("jdbc").options(**write_options(connection, table, column_types)).mode(mode).save()
+
+
+def not_yet_loaded(rows: DataFrame, table: DataFrame, import_ts: datetime) -> DataFrame:
+    """The snapshot rows that ``table`` does not hold for this import."""
+    loaded = table.filter(F.col("import_date") == import_date(import_ts)).select("region", "product_id")
+    loaded = loaded.withColumnsRenamed({"region": "__region", "product_id": "__product_id"})
+    same = (F.col("region") == F.col("__region")) & F.col("product_id").eqNullSafe(F.col("__product_id"))
+    return rows.join(loaded, same, "left_anti")
+
+
+def append_snapshot_jdbc(
+    aggregated: DataFrame,
+    connection: Mapping[str, str],
+    table: str,
+    import_ts: datetime,
+    first: bool = False,
+) -> None:
+    """Add one snapshot to a database table; ``first`` if the table does not exist yet.
+
+    An import that broke off can be run again: groups already loaded for it are left out.
+    """
+    rows = snapshot_rows(aggregated, import_ts)
+    if not first:
+        rows = not_yet_loaded(rows, read_jdbc(aggregated.sparkSession, connection, table), import_ts)
+    save_jdbc(rows, connection, table, "append", SNAPSHOT, SNAPSHOT_DDL)

@@ -20,13 +20,28 @@ def import_date(import_ts: datetime | None) -> Column:
     return F.lit(import_ts.isoformat(sep=" ")).cast(T.TimestampNTZType())
 
 
+def _or_fail(ok: Column, value: Column, message: str) -> Column:
+    return F.when(ok, value).otherwise(F.raise_error(F.lit(message)).cast("string"))
+
+
 def snapshot_rows(aggregated: DataFrame, import_ts: datetime | None = None) -> DataFrame:
-    """The declared columns and types. The target allows no missing region, so one stops the job."""
-    region = F.when(
-        F.col("region").isNull(), F.raise_error(F.lit("a snapshot row has no region")).cast("string")
-    ).otherwise(F.col("region"))
-    stamped = aggregated.withColumn("region", region).withColumn("import_date", import_date(import_ts))
-    typed = stamped.select([F.col(f.name).cast(f.dataType).alias(f.name) for f in SNAPSHOT])
+    """The declared columns and types.
+
+    The target allows no missing region and narrower product ids; a row that does not fit
+    stops the job, also where the session lets casts overflow.
+    """
+    region, product = F.col("region"), F.col("product_id")
+    narrow = product.try_cast("int")
+    checked = aggregated.withColumns(
+        {
+            "region": _or_fail(region.isNotNull(), region, "a snapshot row has no region"),
+            "product_id": _or_fail(
+                product.isNull() | narrow.isNotNull(), product.cast("string"), "a product id does not fit 32 bits"
+            ),
+            "import_date": import_date(import_ts),
+        }
+    )
+    typed = checked.select([F.col(f.name).cast(f.dataType).alias(f.name) for f in SNAPSHOT])
     return assert_schema(typed, SNAPSHOT)
 
 

@@ -10,6 +10,7 @@ from conftest import SMALL, bag
 
 from __spark_entry__ import queries
 from shopsieve.operators import analytics, clean, quality
+from shopsieve.operators.sampling import sample_exact
 
 EVERYWHERE_FORBIDDEN = ("PythonUDF", "EvalPython", "InPandas", "MapInArrow", "CartesianProduct", "NestedLoopJoin")
 
@@ -72,6 +73,13 @@ def test_id_list_join_does_not_shuffle_rows_again(set_conf, edge, edge_rules):
         assert len(shuffles(plan)) == 2
 
 
+def test_copies_filter_before_the_shuffle(edge):
+    """A table with repeated ids is de-duplicated only as far as the sample goes."""
+    plan = planned(sample_exact(clean.dedup_keep_one(edge), 3, "sale_id", 1))
+    for branch in plan.split("partial_min(struct(")[1:]:
+        assert "md5" in branch.split("Scan ExistingRDD")[0]
+
+
 def test_levels_expand_groups_not_rows(edge):
     plan = planned(analytics.aggregate_levels(edge))
     below_expand = plan[plan.index("Expand") :]

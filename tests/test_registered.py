@@ -44,6 +44,16 @@ def test_agrees_on_more(spark, middle, name):
     assert differences(frame, middle, oracle_sql()[name]) is None
 
 
+WITH_TIMES_OR_CASTS = ["typed_sales", "snapshot_append", "gen_combined", "gen_report", "dq_report", "agg_grouping_sets"]
+
+
+@pytest.mark.parametrize("name", WITH_TIMES_OR_CASTS)
+def test_agrees_in_any_time_zone_and_with_lenient_casts(spark, set_conf, small, name):
+    # This zone once left out a whole day.
+    set_conf(spark__sql__session__timeZone="Pacific/Apia", spark__sql__ansi__enabled="false")
+    assert differences(queries()[name](spark, SMALL), small, oracle_sql()[name]) is None
+
+
 def test_known_counts(spark):
     report = {r.rule: r for r in queries()["dq_report"](spark, MIDDLE).collect()}
     assert {name: line.bad_ids for name, line in report.items()} == {

@@ -9,15 +9,27 @@ from pathlib import Path
 import pyarrow.parquet as pq
 import pytest
 from conftest import EDGE_END, EDGE_START, bag, ids_of, sales_frame
+from pyspark.sql import functions as F
 
 from shopsieve.functions.casts import as_text, to_schema
 from shopsieve.operators.analytics import aggregate
 from shopsieve.operators.rules import sales_rules
 from shopsieve.plans.flow import FlowConfig, run
-from shopsieve.schema import AGGREGATED, CORRUPT, SALES_DDL, SALES_RAW, SALES_TYPED, SNAPSHOT, SchemaMismatch, assert_schema
+from shopsieve.schema import (
+    AGGREGATED,
+    AGGREGATED_DDL,
+    CORRUPT,
+    SALES_DDL,
+    SALES_RAW,
+    SALES_TYPED,
+    SNAPSHOT,
+    SNAPSHOT_DDL,
+    SchemaMismatch,
+    assert_schema,
+)
 from shopsieve.sinks import scratch
 from shopsieve.sinks.files import write_csv, write_json, write_parquet
-from shopsieve.sinks.jdbc import save_jdbc, write_options
+from shopsieve.sinks.jdbc import not_yet_loaded, save_jdbc, write_options
 from shopsieve.sinks.snapshot import append_snapshot, read_snapshots, snapshot_rows
 from shopsieve.sources.files import read_csv, read_json, read_parquet
 from shopsieve.sources.jdbc import KeyRange, read_jdbc, read_options
@@ -113,6 +125,15 @@ def test_a_snapshot_needs_regions(edge):
         snapshot_rows(aggregate(edge), T1).collect()
 
 
+@pytest.mark.parametrize("ansi", ["true", "false"])
+def test_a_snapshot_refuses_product_ids_it_would_cut(set_conf, spark, edge, ansi):
+    set_conf(spark__sql__ansi__enabled=ansi)
+    wide = aggregate(edge.filter("sale_id = 1").withColumn("product_id", F.lit(2**40)))
+    with pytest.raises(Exception, match="does not fit 32 bits"):
+        snapshot_rows(wide, T1).collect()
+    assert snapshot_rows(wide.withColumn("product_id", F.lit(None).cast("bigint")), T1).first().product_id is None
+
+
 def test_snapshot_time_defaults_to_now(edge):
     rows = snapshot_rows(aggregate(edge.filter("sale_id = 1"))).collect()
     assert abs((datetime.now(UTC).replace(tzinfo=None) - rows[0].import_date).total_seconds()) < 600
@@ -149,6 +170,8 @@ def test_flow(spark, edge, folder):
     assert {r.rule: r.bad_ids for r in first["report"].collect()}["total"] == 11
     assert read_json(spark, f"{folder}/report", first["report"].schema).count() == 7
     assert first["samples"].count() == 11
+    assert bag(first["duplicates"]) == [(None, 2), (12, 2), (13, 2)]
+    assert first["violations"].groupBy("rule").count().count() == 6
     groups = first["snapshots"].count()
     second = run(raw, FlowConfig(rules, folder, T2, duplicates="keep_one"))
     assert ids_of(second["clean"].select("sale_id")) == {None, 1, 2, 5, 12, 13, 14}
@@ -173,6 +196,38 @@ def test_jdbc_options():
     assert "createTableColumnTypes" not in write_options(connection, "sales")
 
 
+def test_flow_loads_a_database(monkeypatch, edge, edge_rules, folder):
+    loaded = {}
+    monkeypatch.setattr(
+        "shopsieve.plans.flow.save_jdbc",
+        lambda df, connection, table, **given: loaded.update({table: (df.count(), connection, given)}),
+    )
+    raw = edge.filter("sale_id IN (1, 2, 3)")
+    run(raw, FlowConfig(edge_rules, folder, T1, database={"url": "jdbc:some:db"}))
+    assert {t: (n, c) for t, (n, c, _) in loaded.items()} == {
+        "sales_data": (2, {"url": "jdbc:some:db"}),
+        "aggregated_sales_data": (2, {"url": "jdbc:some:db"}),
+    }
+    assert loaded["sales_data"][2] == {"schema": SALES_TYPED, "column_types": SALES_DDL}
+
+
+@pytest.mark.parametrize(
+    ("ddl", "schema"), [(SALES_DDL, SALES_TYPED), (AGGREGATED_DDL, AGGREGATED), (SNAPSHOT_DDL, SNAPSHOT)]
+)
+def test_declared_types_are_those_of_the_schema(spark, ddl, schema):
+    declared = spark.createDataFrame([], ddl.replace("VARCHAR(50)", "STRING")).schema
+    assert all(schema[f.name].dataType == f.dataType for f in declared)
+
+
+def test_a_repeated_database_import_adds_only_what_is_missing(edge):
+    rows = snapshot_rows(aggregate(edge.filter("region IS NOT NULL")), T1)
+    half = rows.filter("region = 'West'")
+    other = snapshot_rows(aggregate(edge.filter("region IS NOT NULL")), T2)
+    missing = not_yet_loaded(rows, half.unionByName(other), T1)
+    assert missing.columns == rows.columns
+    assert bag(missing) == bag(rows.filter("region <> 'West'"))
+
+
 def test_jdbc_refuses_another_layout(edge):
     with pytest.raises(SchemaMismatch):
         save_jdbc(edge, {"url": "jdbc:none:"}, "sales", schema=SALES_TYPED)
