@@ -31,8 +31,10 @@ def sales_from_star(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One sale per order line. Line numbers repeat within an order, so some ids do too.
 
     The region is joined to the orders first, so that the lines, by far the largest table,
-    are shuffled for it once, by order; prices are cast per product, not per line. Join
-    strategies are left to the planner.
+    are shuffled for it once, by order; prices are cast per product, not per line. The join
+    by order comes last: after one by product, an aggregation per product would need no
+    shuffle of its own, and a hot product would stay whole in one task. Join strategies are
+    left to the planner.
     """
     line, order, customer, nation, region, part = (table(spark, sf_dir, name) for name in LAYOUTS)
     bought = (
@@ -44,8 +46,8 @@ def sales_from_star(spark: SparkSession, sf_dir: str) -> DataFrame:
     priced = part.select("p_partkey", F.col("p_retailprice").cast(PRICE).alias("price"))
     ship_day = F.col("l_shipdate").cast("date").cast("string")
     sales = (
-        line.join(bought, F.col("l_orderkey") == F.col("o_orderkey"))
-        .join(priced, F.col("l_partkey") == F.col("p_partkey"))
+        line.join(priced, F.col("l_partkey") == F.col("p_partkey"))
+        .join(bought, F.col("l_orderkey") == F.col("o_orderkey"))
         .select(
             (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("sale_id"),
             F.col("o_custkey").alias("customer_id"),

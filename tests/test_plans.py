@@ -39,6 +39,15 @@ def test_stays_in_the_engine(spark, name):
         assert name == "dq_id_samples"
 
 
+@pytest.mark.skipif(not Path(SMALL).exists(), reason="no test tables here")
+def test_a_hot_product_is_combined_before_its_group_is_shuffled(spark, set_conf):
+    """With large tables the last join must not leave the lines partitioned by product."""
+    set_conf(spark__sql__autoBroadcastJoinThreshold="-1")
+    for name in ("agg_region_product", "agg_sale_amount", "agg_grouping_sets", "agg_preview"):
+        plan = planned(queries()[name](spark, SMALL))
+        assert re.search(r"Exchange hashpartitioning\(region#\d+, product_id#\d+L, .*\n.*partial_count", plan)
+
+
 def test_verdicts_take_one_narrow_shuffle(edge, edge_rules):
     plan = planned(quality.by_id(edge, edge_rules))
     assert len(shuffles(plan)) == 1
