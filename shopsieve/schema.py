@@ -7,6 +7,8 @@ from pyspark.sql import types as T
 
 KEY = "sale_id"
 CORRUPT = "_corrupt_record"
+# What stands in the raw table in place of a date that could not be read.
+UNREADABLE_DATE = "invalid"
 
 PRICE = T.DecimalType(10, 2)
 AMOUNT = T.DecimalType(20, 2)

@@ -16,7 +16,7 @@ from shopsieve.functions.draws import choice, day_text, digest, draw, uniform_ce
 from shopsieve.operators.clean import dedup_keep_one
 from shopsieve.operators.rules import REGIONS
 from shopsieve.operators.sampling import sample_exact
-from shopsieve.schema import KEY, SALES_RAW, assert_schema
+from shopsieve.schema import KEY, SALES_RAW, UNREADABLE_DATE, assert_schema
 
 # The domains of the synthetic columns and the shares of defects.
 CUSTOMERS = 1000
@@ -26,7 +26,6 @@ PRICE_CENTS = (1_000, 100_000)
 INVALID_SHARE = 0.005
 DUPLICATE_SHARE = 0.0005
 MAX_DAYS_AHEAD = 730
-UNREADABLE_DATE = "invalid"
 
 
 def share_of(n: int, share: float) -> int:
@@ -35,7 +34,7 @@ def share_of(n: int, share: float) -> int:
 
 
 def _columns(ids: DataFrame, seed: int, sale_date: Column) -> DataFrame:
-    """Draws 0 to 3 of the first digest and 0 to 1 of the second are taken here or by the date."""
+    """One sale per id. ``sale_date`` may use draws 1 to 3 of the second digest."""
     a, b = F.col("__a"), F.col("__b")
     drawn = ids.select(
         F.col(KEY).cast("bigint").alias(KEY),

@@ -5,9 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shopsieve.schema import PRICE, SALES_RAW, assert_schema
+from shopsieve.schema import PRICE, SALES_RAW, UNREADABLE_DATE, assert_schema
 
-UNREADABLE_DATE = "invalid"
 # Every so many orders carry an unreadable date, so that the format rule has something to find.
 UNREADABLE_EVERY = 400
 

@@ -10,6 +10,9 @@ from conftest import EDGE_END, EDGE_START, bag, ids_of, sales_frame
 from shopsieve.functions.casts import to_schema
 from shopsieve.operators import analytics, clean, quality
 from shopsieve.operators.rules import RuleSet, date_parse, matches, not_null, sales_rules, unique, year_to_date
+from shopsieve.sinks.files import write_csv
+from shopsieve.sources.files import read_csv
+
 
 FLAGGED = {
     "duplicate": {None, 12, 13},
@@ -159,6 +162,23 @@ def test_rules_without_uniqueness(edge):
     assert ids_of(clean.with_status(clean.resolve(edge, rules), clean.QUARANTINE).select("sale_id")) == {3}
 
 
+def test_uniqueness_alone(edge):
+    rules = RuleSet((), unique())
+    assert ids_of(quality.bad_ids(edge, rules)) == {None, 12, 13}
+    assert bag(quality.rule_counts(quality.by_id(edge, rules), rules)) == [("duplicate", 3)]
+    assert clean.with_status(clean.resolve(edge, rules), clean.CLEAN).count() == 13
+
+
+def test_rules_on_inferred_types(spark, edge, edge_rules, tmp_path):
+    write_csv(edge, str(tmp_path / "csv"))
+    guessed = read_csv(spark, str(tmp_path / "csv"), infer=True)
+    assert dict(guessed.dtypes)["price"] == "double"
+    per_id = quality.by_id(guessed, edge_rules)
+    assert {tuple(r) for r in quality.violations(per_id, edge_rules).collect()} == {
+        (name, i) for name, ids in FLAGGED.items() for i in ids
+    }
+
+
 def test_rule_names_are_distinct(spark):
     rule = matches("x", "sale_date", "a")
     with pytest.raises(ValueError, match="repeat"):
