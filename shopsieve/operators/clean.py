@@ -84,6 +84,27 @@ def split_counts(per_id: DataFrame) -> DataFrame:
     )
 
 
+_JOIN = ["__id", "__missing"]
+
+
+def _parts(column: Column, kind: T.DataType) -> list[Column]:
+    """A key as a value that is never NULL and a flag, so that NULLs match by plain equality."""
+    return [F.coalesce(column, F.lit(0).cast(kind)).alias("__id"), column.isNull().alias("__missing")]
+
+
+def _keyed(df: DataFrame, ids: DataFrame, key: str) -> tuple[DataFrame, DataFrame]:
+    """One row per id, and the distinct bad ids, both with the key in parts."""
+    kind = df.schema[key].dataType
+    payload = F.struct(*[c for c in df.columns if c != key])
+    one_each = df.groupBy(*_parts(F.col(key), kind)).agg(F.min(payload).alias("kept"))
+    return one_each, ids.select(*_parts(F.col(key).cast(kind), kind)).distinct()
+
+
+def _unkeyed(df: DataFrame, key: str) -> list[Column]:
+    original = F.when(~F.col("__missing"), F.col("__id")).alias(key)
+    return [original if c == key else F.col(f"kept.{c}") for c in df.columns]
+
+
 def split_by_ids(df: DataFrame, ids: DataFrame, key: str = KEY) -> tuple[DataFrame, DataFrame]:
     """``(clean, quarantine)`` for a given table of bad ids.
 
@@ -94,20 +115,14 @@ def split_by_ids(df: DataFrame, ids: DataFrame, key: str = KEY) -> tuple[DataFra
     shuffled once. Hand in a written table of ids: Spark then knows its size and broadcasts
     it only when it is small.
     """
-    on = ["__id", "__missing"]
-
-    def parts(column: Column, kind: T.DataType) -> list[Column]:
-        stand_in = F.lit(0).cast(kind)
-        return [F.coalesce(column, stand_in).alias("__id"), column.isNull().alias("__missing")]
-
-    kind = df.schema[key].dataType
-    payload = F.struct(*[c for c in df.columns if c != key])
-    one_each = df.groupBy(*parts(F.col(key), kind)).agg(F.min(payload).alias("kept"))
-    bad = ids.select(*parts(F.col(key).cast(kind), kind)).distinct()
+    one_each, bad = _keyed(df, ids, key)
+    clean, quarantine = (one_each.join(bad, _JOIN, how) for how in ("left_anti", "left_semi"))
+    return clean.select(*_unkeyed(df, key)), quarantine.select(*_unkeyed(df, key))
 
-    def side(how: str) -> DataFrame:
-        original = F.when(~F.col("__missing"), F.col("__id")).alias(key)
-        rows = one_each.join(bad, on, how)
-        return rows.select(*[original if c == key else F.col(f"kept.{c}") for c in df.columns])
 
-    return side("left_anti"), side("left_semi")
+def label_by_ids(df: DataFrame, ids: DataFrame, key: str = KEY) -> DataFrame:
+    """The same split as one table with a ``status``, to write both sides in one pass."""
+    one_each, bad = _keyed(df, ids, key)
+    joined = one_each.join(bad.withColumn("__bad", F.lit(True)), _JOIN, "left")
+    status = F.when(F.col("__bad"), F.lit(QUARANTINE)).otherwise(F.lit(CLEAN))
+    return joined.select(*_unkeyed(df, key), status.alias(STATUS))

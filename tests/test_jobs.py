@@ -1,0 +1,70 @@
+"""The chain as separate jobs gives what the chain in one call gives."""
+
+from __future__ import annotations
+
+from datetime import date, datetime
+
+import pytest
+from conftest import bag
+
+from shopsieve import jobs
+from shopsieve.operators.clean import CLEAN, QUARANTINE, label_by_ids, split_by_ids, with_status
+from shopsieve.operators.quality import bad_ids
+from shopsieve.operators.rules import sales_rules
+from shopsieve.plans.flow import FlowConfig, run
+from shopsieve.sinks.snapshot import read_snapshots
+from shopsieve.sources.files import read_json
+
+AS_OF = date(2026, 6, 30)
+T1 = datetime(2026, 6, 30, 12, 45)
+
+
+@pytest.mark.parametrize("kind", ["parquet", "csv"])
+def test_jobs_and_flow_agree(spark, tmp_path, kind):
+    at = {name: str(tmp_path / name) for name in ("raw", "checks", "split", "sales", "aggregated", "snapshots", "flow")}
+
+    def job(*argv):
+        jobs.main(spark, argv)
+
+    job("generate", "--rows", "4000", "--as-of", "2026-06-30", "--seed", "3", "--kind", kind, "--to", at["raw"])
+    job("validate", "--sales", at["raw"], "--as-of", "2026-06-30", "--kind", kind, "--to", at["checks"])
+    job("clean", "--sales", at["raw"], "--checks", at["checks"], "--kind", kind, "--to", at["split"])
+    job("load", "--sales", at["split"], "--to", at["sales"])
+    job("aggregate", "--sales", at["sales"], "--to", at["aggregated"])
+    job("snapshot", "--aggregated", at["aggregated"], "--import-ts", "2026-06-30T12:45:00", "--to", at["snapshots"])
+
+    raw = jobs.read_sales(spark, at["raw"], kind)
+    assert raw.count() == 4000 + 20 + 2
+    whole = run(raw, FlowConfig(sales_rules(date(2026, 1, 1), AS_OF), at["flow"], T1))
+    assert bag(spark.read.parquet(at["sales"])) == bag(whole["sales"])
+    assert bag(read_snapshots(spark, at["snapshots"])) == bag(whole["snapshots"])
+    report = read_json(spark, f"{at['checks']}/report", whole["report"].schema)
+    assert bag(report) == bag(whole["report"])
+    assert {r.rule: r.bad_ids for r in report.collect()}["total"] == 22
+    assert bag(spark.read.parquet(f"{at['checks']}/duplicates")) == bag(whole["duplicates"])
+    assert bag(spark.read.parquet(f"{at['checks']}/violations")) == bag(whole["violations"])
+
+
+def test_labels_are_the_split(edge, edge_rules):
+    ids = bad_ids(edge, edge_rules)
+    labelled = label_by_ids(edge, ids)
+    clean, quarantine = split_by_ids(edge, ids)
+    assert bag(with_status(labelled, CLEAN)) == bag(clean)
+    assert bag(with_status(labelled, QUARANTINE)) == bag(quarantine)
+
+
+def test_quantity_counts_where_asked(spark, tmp_path):
+    raw, split, sales = (str(tmp_path / n) for n in ("raw", "split", "sales"))
+    jobs.generate(spark, raw, 500, AS_OF)
+    jobs.validate(spark, raw, str(tmp_path / "checks"), AS_OF)
+    jobs.clean(spark, raw, str(tmp_path / "checks"), split)
+    jobs.load(spark, split, sales)
+    plain = jobs.aggregates(spark, sales, str(tmp_path / "plain"))
+    times = jobs.aggregates(spark, sales, str(tmp_path / "times"), times_quantity=True)
+    total = "sum(total_sales_amount) AS t"
+    assert times.selectExpr(total).first().t > 2 * plain.selectExpr(total).first().t
+
+
+def test_arguments_are_checked():
+    with pytest.raises(SystemExit):
+        jobs.arguments().parse_args(["clean", "--to", "x"])
