@@ -53,6 +53,9 @@ def resolve(df: DataFrame, rules: RuleSet, duplicates: str = "quarantine") -> Da
     """
     if duplicates not in POLICIES:
         raise ValueError(f"duplicates must be one of {POLICIES}, not {duplicates!r}")
+    taken = {N_ROWS, BROKEN, STATUS} & set(df.columns)
+    if taken:
+        raise ValueError(f"these columns are taken by the verdict: {sorted(taken)}")
     per_id = df.groupBy(rules.key).agg(
         _first_row(df, rules.key).alias("kept"),
         F.count("*").alias(N_ROWS),

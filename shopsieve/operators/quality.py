@@ -88,10 +88,21 @@ def _sum_where(condition: Column, value: Column | None = None) -> Column:
     return F.coalesce(F.sum(F.when(condition, F.lit(1) if value is None else value)), F.lit(0)).cast("bigint")
 
 
+def _count_columns(rules: RuleSet) -> dict[str, Column]:
+    """For each rule the number of ids that break it, under a name no rule can clash with."""
+    return {
+        f"__rule_{position}": _sum_where(breaks(rules, rule.name)) for position, rule in enumerate(rules.ordered)
+    }
+
+
 def rule_counts(per_id: DataFrame, rules: RuleSet) -> DataFrame:
     """The number of distinct bad ids of each rule: ``rule, bad_ids``, one row per rule."""
-    counts = per_id.agg(*[_sum_where(breaks(rules, r.name)).alias(r.name) for r in rules.ordered])
-    lines = [F.struct(F.lit(r.name).alias("rule"), F.col(r.name).alias("bad_ids")) for r in rules.ordered]
+    columns = _count_columns(rules)
+    counts = per_id.agg(*[count.alias(name) for name, count in columns.items()])
+    lines = [
+        F.struct(F.lit(rule.name).alias("rule"), F.col(name).alias("bad_ids"))
+        for rule, name in zip(rules.ordered, columns, strict=True)
+    ]
     return counts.select(F.inline(F.array(*lines)))
 
 
@@ -121,27 +132,30 @@ def report(per_id: DataFrame, rules: RuleSet) -> DataFrame:
     copies of a repeated id count as valid; the second is the share of rows that are clean.
     """
     bad = F.col(BROKEN) != 0
-    rows = F.col("total_rows")
+    columns = _count_columns(rules)
     counts = per_id.agg(
-        *[_sum_where(breaks(rules, r.name)).alias(r.name) for r in rules.ordered],
-        _sum_where(bad).alias(TOTAL),
+        *[count.alias(name) for name, count in columns.items()],
+        _sum_where(bad).alias("bad_ids"),
         _sum_where(F.lit(True), F.col(N_ROWS)).alias("total_rows"),
         _sum_where(~bad, F.col(N_ROWS)).alias("clean_rows"),
     )
-    messages = {r.name: r.message for r in rules.ordered}
 
-    def line(name: str) -> Column:
-        found = F.col(name)
-        text = F.format_string(messages[name], found.cast("string")) if name in messages else F.lit(None)
+    def line(rule: str, found: Column, message: Column) -> Column:
         return F.struct(
-            F.lit(name).alias("rule"),
+            F.lit(rule).alias("rule"),
             found.alias("bad_ids"),
-            F.when(found > 0, text.cast("string")).alias("message"),
+            F.when(found > 0, message.cast("string")).alias("message"),
         )
 
+    lines = [
+        line(rule.name, F.col(name), F.format_string(rule.message, F.col(name).cast("string")))
+        for rule, name in zip(rules.ordered, columns, strict=True)
+    ]
+    lines.append(line(TOTAL, F.col("bad_ids"), F.lit(None)))
+    rows = F.col("total_rows")
     return counts.select(
-        F.inline(F.array(*[line(name) for name in [*messages, TOTAL]])),
         "total_rows",
-        percent(rows - F.col(TOTAL), rows).alias("valid_pct_reference"),
+        percent(rows - F.col("bad_ids"), rows).alias("valid_pct_reference"),
         percent(F.col("clean_rows"), rows).alias("valid_pct_rows"),
-    )
+        F.inline(F.array(*lines)),
+    ).select("rule", "bad_ids", "message", "total_rows", "valid_pct_reference", "valid_pct_rows")

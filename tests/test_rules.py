@@ -187,6 +187,22 @@ def test_rule_names_are_distinct(spark):
         RuleSet((rule,)).bit("y")
 
 
+def test_names_may_look_like_anything(edge):
+    rules = RuleSet(
+        (matches("total_rows", "sale_date", "^2"), matches("a.b c", "region", "^[NSEW]", "100 percent: %s"))
+    )
+    lines = {r.rule: r for r in quality.report(quality.by_id(edge, rules), rules).collect()}
+    assert (lines["total_rows"].bad_ids, lines["total_rows"].message) == (1, "total_rows: 1")
+    assert (lines["a.b c"].bad_ids, lines["a.b c"].message) == (1, "100 percent: 1")
+    assert lines["total"].bad_ids == 2
+    assert dict(bag(quality.rule_counts(quality.by_id(edge, rules), rules))) == {"total_rows": 1, "a.b c": 1}
+
+
+def test_verdict_columns_are_reserved(edge, edge_rules):
+    with pytest.raises(ValueError, match="taken"):
+        clean.resolve(edge.withColumn("status", edge.region), edge_rules)
+
+
 def test_year_to_date():
     assert year_to_date(date(2026, 5, 17)) == (date(2026, 1, 1), date(2026, 5, 17))
 
