@@ -21,16 +21,17 @@ QUARANTINE = "quarantine"
 POLICIES = ("quarantine", "keep_one")
 
 
-def _first_row(df: DataFrame, key: str) -> Column:
-    """The smallest row of a group in the order of its columns, NULLs first."""
-    return F.min(F.struct(*[c for c in df.columns if c != key]))
+def _payload(df: DataFrame, key: str) -> Column:
+    """All other columns as one value; the smallest is the first row of a group in the order of
+    its columns, NULLs first. As a column of its own it is built before the aggregation sorts."""
+    return F.struct(*[c for c in df.columns if c != key]).alias("kept")
 
 
 def dedup_keep_one(df: DataFrame, key: str = KEY) -> DataFrame:
     """One row per key, always the same one. Rows without a key share the key NULL."""
     if df.columns == [key]:
         return df.distinct()
-    kept = df.groupBy(key).agg(_first_row(df, key).alias("kept"))
+    kept = df.select(key, _payload(df, key)).groupBy(key).agg(F.min("kept").alias("kept"))
     return kept.select(*[F.col(c) if c == key else F.col(f"kept.{c}") for c in df.columns])
 
 
@@ -56,10 +57,10 @@ def resolve(df: DataFrame, rules: RuleSet, duplicates: str = "quarantine") -> Da
     taken = {N_ROWS, BROKEN, STATUS} & set(df.columns)
     if taken:
         raise ValueError(f"these columns are taken by the verdict: {sorted(taken)}")
-    per_id = df.groupBy(rules.key).agg(
-        _first_row(df, rules.key).alias("kept"),
-        F.count("*").alias(N_ROWS),
-        F.bit_or(row_bits(rules)).alias("row_bits"),
+    per_id = (
+        df.select(rules.key, _payload(df, rules.key), row_bits(rules).alias("row_bits"))
+        .groupBy(rules.key)
+        .agg(F.min("kept").alias("kept"), F.count("*").alias(N_ROWS), F.bit_or("row_bits").alias("row_bits"))
     )
     broken = id_bits(rules, F.col(N_ROWS), F.col("row_bits"))
     condemned = broken if duplicates == "quarantine" else F.col("row_bits")
@@ -98,8 +99,8 @@ def _parts(column: Column, kind: T.DataType) -> list[Column]:
 def _keyed(df: DataFrame, ids: DataFrame, key: str) -> tuple[DataFrame, DataFrame]:
     """One row per id, and the distinct bad ids, both with the key in parts."""
     kind = df.schema[key].dataType
-    payload = F.struct(*[c for c in df.columns if c != key])
-    one_each = df.groupBy(*_parts(F.col(key), kind)).agg(F.min(payload).alias("kept"))
+    rows = df.select(*_parts(F.col(key), kind), _payload(df, key))
+    one_each = rows.groupBy(*_JOIN).agg(F.min("kept").alias("kept"))
     return one_each, ids.select(*_parts(F.col(key).cast(kind), kind)).distinct()
 
 

@@ -39,11 +39,16 @@ def breaks(rules: RuleSet, name: str, bits: str = BROKEN) -> Column:
 
 
 def by_id(df: DataFrame, rules: RuleSet) -> DataFrame:
-    """One row per id, NULL being an id: ``key, n_rows, broken``."""
+    """One row per id, NULL being an id: ``key, n_rows, broken``.
+
+    The bits are a column before they are aggregated: as an expression inside the aggregate
+    they take a fifth longer.
+    """
     return (
-        df.groupBy(rules.key)
-        .agg(F.count("*").alias(N_ROWS), F.bit_or(row_bits(rules)).alias(BROKEN))
-        .select(rules.key, N_ROWS, id_bits(rules, F.col(N_ROWS), F.col(BROKEN)).alias(BROKEN))
+        df.select(rules.key, row_bits(rules).alias("row_bits"))
+        .groupBy(rules.key)
+        .agg(F.count("*").alias(N_ROWS), F.bit_or("row_bits").alias("row_bits"))
+        .select(rules.key, N_ROWS, id_bits(rules, F.col(N_ROWS), F.col("row_bits")).alias(BROKEN))
     )
 
 

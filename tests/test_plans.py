@@ -59,7 +59,7 @@ def test_verdicts_take_one_narrow_shuffle(edge, edge_rules):
 def test_split_takes_one_shuffle_with_partial_aggregation(edge, edge_rules):
     plan = planned(clean.resolve(edge, edge_rules))
     assert len(shuffles(plan)) == 1
-    assert "partial_min(struct(" in plan
+    assert "partial_min(kept" in plan
 
 
 def test_report_adds_only_a_single_row_exchange(edge, edge_rules):
@@ -85,7 +85,7 @@ def test_id_list_join_does_not_shuffle_rows_again(set_conf, edge, edge_rules):
 def test_copies_filter_before_the_shuffle(edge):
     """A table with repeated ids is de-duplicated only as far as the sample goes."""
     plan = planned(sample_exact(clean.dedup_keep_one(edge), 3, "sale_id", 1))
-    for branch in plan.split("partial_min(struct(")[1:]:
+    for branch in plan.split("partial_min(kept")[1:]:
         assert "md5" in branch.split("Scan ExistingRDD")[0]
 
 
