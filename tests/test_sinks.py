@@ -196,6 +196,18 @@ def test_jdbc_options():
     assert "createTableColumnTypes" not in write_options(connection, "sales")
 
 
+def test_flow_on_an_empty_table(spark, edge, edge_rules, folder):
+    """Twice: the second time it replaces tables that held rows."""
+    run(edge.filter("sale_id IN (1, 2, 3)"), FlowConfig(edge_rules, folder, T1))
+    for path in (folder, f"{folder}-new"):
+        tables = run(edge.filter("false"), FlowConfig(edge_rules, path, T2))
+        for name in ("clean", "quarantine", "sales", "aggregated", "duplicates", "violations", "samples"):
+            assert tables[name].count() == 0, name
+        assert tables["report"].first().total_rows == 0
+    assert tables["snapshots"].count() == 0
+    assert bag(read_snapshots(spark, f"{folder}/snapshots").select("import_date").distinct()) == [(T1,)]
+
+
 def test_flow_loads_a_database(monkeypatch, edge, edge_rules, folder):
     loaded = {}
     monkeypatch.setattr(
