@@ -1,4 +1,8 @@
-"""Database sinks: every partition is inserted by its own task and transaction."""
+"""Database sinks: every partition is inserted by its own task and transaction.
+
+A lost task is rolled back and run again. Two copies of a task would both insert: keep
+``spark.speculation`` off for these jobs.
+"""
 
 from __future__ import annotations
 
