@@ -1,30 +1,33 @@
 """Encoding by way of pre-tokens: the tokenizers library encodes each distinct one once.
 
-Byte-pair merges never cross a pre-token, so the ids of a text are those of its pre-tokens one after
-the other. Texts with strings of special tokens, or with characters outside ``SAFE`` (where the
-Unicode tables of two regex engines may differ), are given to the library whole.
+A pre-token here is a stretch between spaces, with the space before it where the vocabulary counts
+that as part of the word. No merge of a byte-pair vocabulary crosses such a boundary, so the ids of a
+text are those of its pre-tokens one after the other. All of the library's rules (its own finer
+splits, normalisation, merges) are left to it: it encodes the pre-tokens, many at a time with its own
+special token between them. Texts in which boundaries might be read differently are given to it
+whole: those with strings of special tokens or with unusual white space, and all texts of a
+vocabulary of an unknown kind.
 """
 
 from __future__ import annotations
 
 import json
 import os
+import re
 from array import array
 
 import numpy as np
-import regex
 
 #: Distinct pre-tokens a worker remembers; beyond that it starts afresh.
-REMEMBERED = 400_000
+REMEMBERED = 1_000_000
+#: Pre-tokens encoded in one call of the library.
+AT_ONCE = 50
 
-# The split patterns of the two kinds of vocabulary file.
-BYTE_LEVEL = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\p{White_Space}\p{L}\p{N}]+|\p{White_Space}+(?!\P{White_Space})|\p{White_Space}+"
-WORDS = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\p{White_Space}\p{L}\p{N}]+"
-
-SAFE = {
-    BYTE_LEVEL: regex.compile("[\x00-ɏΑ-ΡΣ-ϿА-я‐-‧€一-龥]*+"),
-    WORDS: regex.compile("[\x00-įı-ɏ‐-‧€]*+"),
-}
+#: White space that the library's regular expressions and Python may tell differently, or that is not plain.
+UNUSUAL = re.compile("[\x0b\x0c\x1c-\x1f\x85\xa0 ᠎ -​    　﻿]")
+#: Runs of plain white space, where a space does not simply lead a word.
+RUN = re.compile(r"[ \t\r\n] | [\t\r\n]")
+CHUNK = re.compile(r"[ \t\r\n]*[^ \t\r\n]+|[ \t\r\n]+")
 
 
 class _Numbering(dict):
@@ -53,16 +56,14 @@ class Encoder:
         self.library.no_truncation()
         self.library.no_padding()
         self.special = [t["content"] for t in described["added_tokens"]]
-        kind, normalizer = described["pre_tokenizer"]["type"], described["normalizer"]
-        self.lowers = normalizer is not None
-        if kind == "ByteLevel" and normalizer is None:
-            pattern = BYTE_LEVEL
-        elif kind == "Sequence" and described["model"].get("end_of_word_suffix"):
-            pattern = WORDS
-        else:
-            pattern = None  # an unknown kind: every text is given to the library whole
-        self.pattern = pattern and regex.compile(pattern)
-        self.safe = pattern and SAFE[pattern]
+        before, normalizer = described["pre_tokenizer"] or {}, described["normalizer"]
+        plain = all(not t["normalized"] and not t["lstrip"] and not t["rstrip"] and not t["single_word"] for t in described["added_tokens"])
+        self.leads = before.get("type") == "ByteLevel" and normalizer is None and not before["add_prefix_space"]
+        drops = before.get("type") == "Sequence" and any(p["type"] == "Split" and p["behavior"] == "Removed" for p in before["pretokenizers"])
+        self.known = plain and bool(self.special) and (self.leads or drops)
+        if self.known:
+            self.between = self.special[-1]
+            self.between_id = self.library.token_to_id(self.between)
         self._forget()
 
     def _forget(self) -> None:
@@ -70,14 +71,39 @@ class Encoder:
         self.begins, self.sizes, self.ids = array("q"), array("q"), array("i")
 
     def _learn(self) -> None:
-        """Encode the new pre-tokens, each once."""
+        """Encode the new pre-tokens, each once. With ``leads``, one that starts with a zero byte is taken as it stands."""
         fresh, self.numbers.fresh = self.numbers.fresh, []
-        for at in range(0, len(fresh), 20_000):
-            for one in self.library.encode_batch_fast(fresh[at : at + 20_000], add_special_tokens=False):
-                got = one.ids
-                self.begins.append(len(self.ids))
-                self.sizes.append(len(got))
-                self.ids.extend(got)
+        if self.leads:
+            fresh = [p[1:] if p[:1] == "\0" else f" {p}" for p in fresh]
+        for first in range(0, len(fresh), 100 * AT_ONCE):
+            some = fresh[first : first + 100 * AT_ONCE]
+            joined = [self.between.join([*some[at : at + AT_ONCE], ""]) for at in range(0, len(some), AT_ONCE)]
+            ids = np.concatenate([np.array(e.ids, np.int32) for e in self.library.encode_batch_fast(joined, add_special_tokens=False)])
+            ends = np.flatnonzero(ids == self.between_id)
+            if len(ends) != len(some):
+                raise ValueError("the library joined or split the special token between pre-tokens")
+            sizes = np.diff(ends, prepend=-1) - 1
+            own = ids[ids != self.between_id]
+            self.begins.extend((len(self.ids) + np.cumsum(sizes) - sizes).tolist())
+            self.sizes.extend(sizes.tolist())
+            self.ids.frombytes(own.tobytes())
+
+    def _split(self, text: str) -> list[str] | None:
+        """The text's pre-tokens; none if the library should see it whole."""
+        if not self.known or UNUSUAL.search(text) or "\0" in text:
+            return None
+        for string in self.special:
+            if string in text:
+                return None
+        if not self.leads:
+            return text.split()
+        if RUN.search(text):
+            return ["\0" + chunk for chunk in CHUNK.findall(text)]
+        pieces = text.split(" ")
+        pieces[0] = "\0" + pieces[0]
+        if pieces[0] == "\0":
+            del pieces[0]
+        return pieces
 
     def _numbered(self, texts: list[str]) -> tuple[np.ndarray, list[int], dict[int, np.ndarray]]:
         """Numbers of all pre-tokens, how many each text has, and the texts that the library did whole."""
@@ -86,11 +112,10 @@ class Encoder:
         whole, counts, number = {}, [], self.numbers.__getitem__
         flat = array("q")
         for at, text in enumerate(texts):
-            if self.pattern is None or not self.safe.fullmatch(text) or any(s in text for s in self.special):
+            pieces = self._split(text)
+            if pieces is None:
                 whole[at] = np.array(self.library.encode(text, add_special_tokens=False).ids, np.int32)
-                counts.append(0)
-                continue
-            pieces = self.pattern.findall(text.lower() if self.lowers else text)
+                pieces = []
             counts.append(len(pieces))
             flat.extend(map(number, pieces))
         self._learn()
@@ -100,18 +125,16 @@ class Encoder:
         """Ids of each text as int32."""
         numbers, counts, whole = self._numbered(texts)
         known, begins, sizes = (np.frombuffer(a, t) for a, t in ((self.ids, np.int32), (self.begins, np.int64), (self.sizes, np.int64)))
-        out, at = [], 0
-        for k, count in enumerate(counts):
-            if k in whole:
-                out.append(whole[k])
-                continue
-            mine = numbers[at : at + count]
-            at += count
-            n = sizes[mine]
-            ends = np.cumsum(n)
-            total = int(ends[-1]) if count else 0
-            out.append(known[np.repeat(begins[mine] - ends + n, n) + np.arange(total)])
+        n = sizes[numbers] if len(numbers) else np.zeros(0, np.int64)
+        ends = np.cumsum(n)
+        total = int(ends[-1]) if len(ends) else 0
+        ids = known[np.repeat(begins[numbers] - ends + n, n) + np.arange(total)] if total else np.zeros(0, np.int32)
+        cuts = np.append(0, ends)[np.cumsum(counts)] if counts else []
         del known, begins, sizes  # else the arrays could not grow
+        out, start = [], 0
+        for k, end in enumerate(cuts):
+            out.append(whole[k] if k in whole else ids[start:end])
+            start = end
         return out
 
     def count(self, texts: list[str]) -> np.ndarray:
