@@ -25,8 +25,7 @@ AT_ONCE = 50
 
 #: White space that the library's regular expressions and Python may tell differently, or that is not plain.
 UNUSUAL = re.compile("[\x0b\x0c\x1c-\x1f\x85\xa0 ᠎ -​    　﻿]")
-#: Runs of plain white space, where a space does not simply lead a word.
-RUN = re.compile(r"[ \t\r\n] | [\t\r\n]")
+#: Where white space comes in runs, a space does not simply lead a word: a run and what follows is a pre-token.
 CHUNK = re.compile(r"[ \t\r\n]*[^ \t\r\n]+|[ \t\r\n]+")
 
 
@@ -97,9 +96,10 @@ class Encoder:
                 return None
         if not self.leads:
             return text.split()
-        if RUN.search(text):
+        if "\t" in text or "\r" in text or "  " in text or " \n" in text or "\n " in text or "\n\n" in text:
             return ["\0" + chunk for chunk in CHUNK.findall(text)]
-        pieces = text.split(" ")
+        # line breaks between words are pre-tokens of their own
+        pieces = text.replace("\n", " \0\n \0").split(" ")
         pieces[0] = "\0" + pieces[0]
         if pieces[0] == "\0":
             del pieces[0]

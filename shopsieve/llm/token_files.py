@@ -3,9 +3,9 @@
 File format. A folder holds two Parquet tables, so that writing follows Spark's commit rules:
 
 * ``ranks``: (rank, id), the most frequent id first, ties by id. It covers all ids that occur.
-* ``shards``: one row per document in ascending order of doc_id (nulls first), in files ``shard=0``,
-  ``shard=1`` and so on, which continue one another: doc_id, n_tokens, start (ids before it in the
-  shard), control, data.
+* ``shards``: one row per document: shard, doc_id, n_tokens, start (ids before it in the shard),
+  control, data. Shards are ranges of doc_id that continue one another in ascending order (nulls
+  first); each lies in one file, in order.
 
 Each rank takes 1 to 4 bytes, little-endian, in ``data``; ``control`` holds the lengths minus one,
 two bits a rank, four ranks a byte, lowest bits first. A document's last control byte is filled up
@@ -19,81 +19,99 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shopsieve.llm.common import runs, ship_code
 from shopsieve.llm.pretokens import encoder
 
+#: Ids in one shard on average.
+SHARD = 8_000_000
 #: Lengths of four ranks for each control byte.
 LENGTHS = np.array([[(c >> s & 3) + 1 for s in (0, 2, 4, 6)] for c in range(256)], np.uint8)
 
 
-def pack_ranks(ranks: np.ndarray) -> tuple[bytes, bytes]:
-    """Control and data bytes of one document."""
-    ranks = ranks.astype(np.uint32)
+def pack_ranks(ranks: np.ndarray, counts: np.ndarray) -> tuple[list[bytes], list[bytes]]:
+    """Control and data bytes of each document; ``counts`` says how many of ``ranks`` each has."""
+    ranks, counts = ranks.astype(np.uint32), np.asarray(counts, np.int64)
     sizes = 1 + (ranks >= 1 << 8).astype(np.uint8) + (ranks >= 1 << 16) + (ranks >= 1 << 24)
-    codes = np.zeros(-(-len(ranks) // 4) * 4, np.uint8)
-    codes[: len(ranks)] = sizes - 1
-    quads = codes.reshape(-1, 4)
-    control = quads[:, 0] | quads[:, 1] << 2 | quads[:, 2] << 4 | quads[:, 3] << 6
+    quads = -(-counts // 4)
+    place = np.arange(len(ranks)) + np.repeat(4 * (np.cumsum(quads) - quads) - (np.cumsum(counts) - counts), counts)
+    codes = np.zeros(4 * int(quads.sum()), np.uint8)
+    codes[place] = sizes - 1
+    codes = codes.reshape(-1, 4)
+    control = (codes[:, 0] | codes[:, 1] << 2 | codes[:, 2] << 4 | codes[:, 3] << 6).astype(np.uint8).tobytes()
     raw = ranks.astype("<u4").view(np.uint8).reshape(-1, 4)
-    return control.astype(np.uint8).tobytes(), raw[np.arange(4) < sizes[:, None]].tobytes()
-
-
-def unpack_ranks(control: bytes, data: bytes, n: int) -> np.ndarray:
-    """Ranks of one document: lengths by table lookup, then one gather for each byte place."""
-    sizes = LENGTHS[np.frombuffer(control, np.uint8)].reshape(-1)[:n].astype(np.int64)
-    raw = np.frombuffer(data + b"\0\0\0", np.uint8).astype(np.uint32)
+    data = raw[np.arange(4) < sizes[:, None]].tobytes()
+    ends = np.append(0, np.cumsum(sizes, dtype=np.int64))[np.cumsum(counts)]
+    return _cut(control, np.cumsum(quads)), _cut(data, ends)
+
+
+def _cut(whole: bytes, ends: np.ndarray) -> list[bytes]:
+    ends = ends.tolist()
+    if not ends:
+        return []
+    return [whole[a:b] for a, b in zip([0, *ends[:-1]], ends, strict=True)]
+
+
+def unpack_ranks(controls: list[bytes], datas: list[bytes], counts: np.ndarray) -> np.ndarray:
+    """Ranks of the documents, one after the other: lengths by table lookup, then one gather for each byte place."""
+    counts = np.asarray(counts, np.int64)
+    sizes = LENGTHS[np.frombuffer(b"".join(controls), np.uint8)].reshape(-1)
+    quads = np.array([len(c) for c in controls], np.int64)
+    place = np.arange(int(counts.sum())) + np.repeat(4 * (np.cumsum(quads) - quads) - (np.cumsum(counts) - counts), counts)
+    sizes = sizes[place].astype(np.int64)  # without the places that fill up last bytes
+    raw = np.frombuffer(b"".join([*datas, b"\0\0\0"]), np.uint8)
     begins = np.cumsum(sizes) - sizes
-    out = raw[begins]
-    for place in (1, 2, 3):
-        longer = sizes > place
-        if not longer.any():
+    out = raw[begins].astype(np.uint32)
+    for byte in (1, 2, 3):
+        longer = np.flatnonzero(sizes > byte)
+        if not len(longer):
             break
-        out[longer] |= raw[begins[longer] + place] << np.uint32(8 * place)
+        out[longer] |= raw[begins[longer] + byte].astype(np.uint32) << np.uint32(8 * byte)
     return out
 
 
 def encode(docs: DataFrame, vocabulary: str, end_id: int, doc_id: str, text: str) -> DataFrame:
-    """doc_id and the ids of each row, the end id included, as little-endian bytes."""
+    """doc_id and the ids of each row, the end id included, as bytes; and one row per task with ``counts`` of its ids."""
     ship_code(docs.sparkSession)
 
     def ids_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(0, np.int64)
         for batch, texts in runs(batches, 1):
-            ids = [np.append(i, np.int32(end_id)).astype("<u4") for i in encoder(vocabulary).encode(texts)]
+            ids = [np.append(i, np.int32(end_id)) for i in encoder(vocabulary).encode(texts)]
+            flat = np.concatenate(ids)
+            found = np.bincount(flat, minlength=len(total))
+            found[: len(total)] += total
+            total = found
             # two bytes an id while all fit, four else; the first byte says which
-            raw = [b"\2" + i.astype("<u2").tobytes() if i.max() < 1 << 16 else b"\4" + i.tobytes() for i in ids]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(raw, pa.binary())], ["doc_id", "ids"])
+            wide = flat.max() >= 1 << 16
+            raw = flat.astype("<u4" if wide else "<u2").tobytes()
+            ends = np.cumsum([len(i) for i in ids]) * (4 if wide else 2)
+            rows = [(b"\4" if wide else b"\2") + r for r in _cut(raw, ends)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(rows, pa.binary()), pa.nulls(len(rows), pa.binary())], ["doc_id", "ids", "counts"])
+        yield pa.RecordBatch.from_arrays([pa.nulls(1, pa.int64()), pa.nulls(1, pa.binary()), pa.array([total.astype("<i8").tobytes()], pa.binary())], ["doc_id", "ids", "counts"])
 
-    return docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text")).mapInArrow(
-        ids_of, "doc_id long, ids binary"
-    )
+    rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
+    return rows.mapInArrow(ids_of, "doc_id long, ids binary, counts binary")
 
 
-def _ids(raw: bytes) -> np.ndarray:
-    return np.frombuffer(raw, "<u2" if raw[0] == 2 else "<u4", offset=1)
+def _ids(rows: list[bytes]) -> list[np.ndarray]:
+    return [np.frombuffer(raw, "<u2" if raw[0] == 2 else "<u4", offset=1) for raw in rows]
 
 
 def count_ids(encoded: DataFrame) -> DataFrame:
-    """How often each id occurs: counted per task, then summed."""
+    """How often each id occurs: the sum of what the tasks counted."""
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(0, np.int64)
+    def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for raw in batch.column(0).to_pylist():
-                ids = _ids(raw)
-                if int(ids.max()) >= len(total):
-                    total = np.append(total, np.zeros(int(ids.max()) + 1 - len(total), np.int64))
-                if len(ids) > 4096:
-                    total += np.bincount(ids, minlength=len(total))
-                else:
-                    np.add.at(total, ids, 1)
-        found = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(found, pa.int64()), pa.array(total[found])], ["id", "n"])
+                counts = np.frombuffer(raw, "<i8")
+                found = np.flatnonzero(counts)
+                yield pa.RecordBatch.from_arrays([pa.array(found, pa.int64()), pa.array(counts[found])], ["id", "n"])
 
-    return encoded.select("ids").mapInArrow(count, "id long, n long").groupBy("id").agg(F.sum("n").alias("n"))
+    counts = encoded.select("counts").filter("counts is not null")
+    return counts.mapInArrow(spread, "id long, n long").groupBy("id").agg(F.sum("n").alias("n"))
 
 
 def write(docs: DataFrame, folder: str, vocabulary: str, end_id: int = 0, doc_id: str = "doc_id", text: str = "text") -> None:
@@ -111,37 +129,41 @@ def write(docs: DataFrame, folder: str, vocabulary: str, end_id: int = 0, doc_id
     spark.createDataFrame([(r, i) for r, i in enumerate(ranked)], "rank long, id long").coalesce(1).write.mode("overwrite").parquet(f"{folder}/ranks")
     rank_of = np.zeros(max(ranked, default=0) + 1, np.uint32)
     rank_of[np.array(ranked, np.int64)] = np.arange(len(ranked), dtype=np.uint32)
+    rows = encoded.filter("ids is not null").select("doc_id", "ids")
+    shards = max(48, sum(row["n"] for row in counted) // SHARD)
+    # one number for each shard: where it ends; nulls come first
+    steps = [(k + 1) / shards for k in range(shards - 1)]
+    cuts = rows.select("doc_id").agg(F.percentile_approx("doc_id", steps, 10 * shards).alias("cuts")).first()["cuts"] or []
+    cuts = np.unique(np.array(cuts, np.int64))
 
     def code(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sizes, controls, datas = [], [], []
-            for raw in batch.column(1).to_pylist():
-                ids = _ids(raw)
-                control, data = pack_ranks(rank_of[ids])
-                sizes.append(len(ids))
-                controls.append(control)
-                datas.append(data)
+            ids = _ids(batch.column(1).to_pylist())
+            if not ids:
+                continue
+            sizes = np.array([len(i) for i in ids], np.int64)
+            control, data = pack_ranks(rank_of[np.concatenate(ids)], sizes)
+            shard = [0 if i is None else int(np.searchsorted(cuts, i, "left")) for i in batch.column(0).to_pylist()]
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(sizes, pa.int64()), pa.array(controls, pa.binary()), pa.array(datas, pa.binary())],
-                ["doc_id", "n_tokens", "control", "data"],
+                [pa.array(shard, pa.int32()), batch.column(0), pa.array(sizes), pa.array(control, pa.binary()), pa.array(data, pa.binary())],
+                ["shard", "doc_id", "n_tokens", "control", "data"],
             )
 
     def number(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shard, before = TaskContext.get().partitionId(), 0
+        last, before = -1, 0
         for batch in batches:
-            sizes = batch.column(1).to_numpy()
-            ends = before + np.cumsum(sizes)
-            before = int(ends[-1]) if len(ends) else before
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([shard] * len(sizes), pa.int32()), *batch.columns, pa.array(ends - sizes, pa.int64())],
-                ["shard", *batch.schema.names, "start"],
-            )
+            starts = []
+            for shard, n in zip(batch.column(0).to_pylist(), batch.column(2).to_pylist(), strict=True):
+                if shard != last:
+                    last, before = shard, 0
+                starts.append(before)
+                before += n
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(starts, pa.int64())], [*batch.schema.names, "start"])
 
-    coded = encoded.mapInArrow(code, "doc_id long, n_tokens long, control binary, data binary")
-    sorted_ = coded.repartitionByRange("doc_id").sortWithinPartitions("doc_id", "n_tokens", "control", "data")
-    sorted_.mapInArrow(number, "shard int, doc_id long, n_tokens long, control binary, data binary, start long").write.mode(
-        "overwrite"
-    ).parquet(f"{folder}/shards")
+    coded = rows.mapInArrow(code, "shard int, doc_id long, n_tokens long, control binary, data binary")
+    dealt = coded.repartition(len(cuts) + 1, "shard").sortWithinPartitions("shard", "doc_id", "n_tokens", "control", "data")
+    numbered = dealt.mapInArrow(number, "shard int, doc_id long, n_tokens long, control binary, data binary, start long")
+    numbered.write.mode("overwrite").option("compression", "none").parquet(f"{folder}/shards")
 
 
 def read(spark: SparkSession, folder: str) -> DataFrame:
@@ -153,7 +175,8 @@ def read(spark: SparkSession, folder: str) -> DataFrame:
     def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             doc_id, shard, start, n, control, data = (c.to_pylist() for c in batch.columns)
-            raw = [ids[unpack_ranks(*x)].astype("<u4").tobytes() for x in zip(control, data, n, strict=True)]
+            flat = ids[unpack_ranks(control, data, n)].astype("<u4").tobytes() if n else b""
+            raw = _cut(flat, 4 * np.cumsum(n)) if n else []
             crc = [zlib.crc32(r) for r in raw]
             yield pa.RecordBatch.from_arrays(
                 [pa.array(doc_id, pa.int64()), pa.array(shard, pa.int32()), pa.array(start, pa.int64()), pa.array(n, pa.int64()), pa.array(raw, pa.binary()), pa.array(crc, pa.int64())],
