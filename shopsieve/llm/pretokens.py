@@ -19,12 +19,13 @@ from array import array
 import numpy as np
 
 #: Distinct pre-tokens a worker remembers; beyond that it starts afresh.
-REMEMBERED = 1_000_000
+REMEMBERED = 900_000
 #: Pre-tokens encoded in one call of the library.
 AT_ONCE = 50
 
 #: White space that the library's regular expressions and Python may tell differently, or that is not plain.
 UNUSUAL = re.compile("[\x0b\x0c\x1c-\x1f\x85\xa0 ᠎ -​    　﻿]")
+UNUSUAL_ASCII = "\x0b\x0c\x1c\x1d\x1e\x1f\0"
 #: Where white space comes in runs, a space does not simply lead a word: a run and what follows is a pre-token.
 CHUNK = re.compile(r"[ \t\r\n]*[^ \t\r\n]+|[ \t\r\n]+")
 
@@ -89,7 +90,7 @@ class Encoder:
 
     def _split(self, text: str) -> list[str] | None:
         """The text's pre-tokens; none if the library should see it whole."""
-        if not self.known or UNUSUAL.search(text) or "\0" in text:
+        if not self.known or any(map(text.__contains__, UNUSUAL_ASCII)) or not text.isascii() and UNUSUAL.search(text):
             return None
         for string in self.special:
             if string in text:

@@ -25,8 +25,10 @@ from pyspark.sql import functions as F
 from shopsieve.llm.common import runs, ship_code
 from shopsieve.llm.pretokens import encoder
 
+#: Ids that are coded at a time.
+AT_ONCE = 500_000
 #: Ids in one shard on average.
-SHARD = 8_000_000
+SHARD = 2_000_000
 #: Lengths of four ranks for each control byte.
 LENGTHS = np.array([[(c >> s & 3) + 1 for s in (0, 2, 4, 6)] for c in range(256)], np.uint8)
 
@@ -96,6 +98,13 @@ def encode(docs: DataFrame, vocabulary: str, end_id: int, doc_id: str, text: str
     return rows.mapInArrow(ids_of, "doc_id long, ids binary, counts binary")
 
 
+def _parts(sizes: np.ndarray) -> Iterator[slice]:
+    """Rows in stretches of about ``AT_ONCE`` ids."""
+    of = (np.cumsum(sizes) - sizes) // AT_ONCE
+    cuts = [0, *(np.flatnonzero(np.diff(of)) + 1).tolist(), len(sizes)]
+    return (slice(a, b) for a, b in zip(cuts, cuts[1:], strict=False) if b > a)
+
+
 def _ids(rows: list[bytes]) -> list[np.ndarray]:
     return [np.frombuffer(raw, "<u2" if raw[0] == 2 else "<u4", offset=1) for raw in rows]
 
@@ -138,16 +147,17 @@ def write(docs: DataFrame, folder: str, vocabulary: str, end_id: int = 0, doc_id
 
     def code(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids = _ids(batch.column(1).to_pylist())
-            if not ids:
-                continue
-            sizes = np.array([len(i) for i in ids], np.int64)
-            control, data = pack_ranks(rank_of[np.concatenate(ids)], sizes)
-            shard = [0 if i is None else int(np.searchsorted(cuts, i, "left")) for i in batch.column(0).to_pylist()]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(shard, pa.int32()), batch.column(0), pa.array(sizes), pa.array(control, pa.binary()), pa.array(data, pa.binary())],
-                ["shard", "doc_id", "n_tokens", "control", "data"],
-            )
+            every = _ids(batch.column(1).to_pylist())
+            keys = batch.column(0).to_pylist()
+            for part in _parts(np.array([len(i) for i in every], np.int64)):
+                ids = every[part]
+                sizes = np.array([len(i) for i in ids], np.int64)
+                control, data = pack_ranks(rank_of[np.concatenate(ids)], sizes)
+                shard = [0 if i is None else int(np.searchsorted(cuts, i, "left")) for i in keys[part]]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(shard, pa.int32()), batch.column(0)[part], pa.array(sizes), pa.array(control, pa.binary()), pa.array(data, pa.binary())],
+                    ["shard", "doc_id", "n_tokens", "control", "data"],
+                )
 
     def number(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last, before = -1, 0
@@ -174,14 +184,15 @@ def read(spark: SparkSession, folder: str) -> DataFrame:
 
     def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            doc_id, shard, start, n, control, data = (c.to_pylist() for c in batch.columns)
-            flat = ids[unpack_ranks(control, data, n)].astype("<u4").tobytes() if n else b""
-            raw = _cut(flat, 4 * np.cumsum(n)) if n else []
-            crc = [zlib.crc32(r) for r in raw]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(doc_id, pa.int64()), pa.array(shard, pa.int32()), pa.array(start, pa.int64()), pa.array(n, pa.int64()), pa.array(raw, pa.binary()), pa.array(crc, pa.int64())],
-                ["doc_id", "shard", "start", "n_tokens", "ids", "ids_crc32"],
-            )
+            control, data = (batch.column(c).to_pylist() for c in ("control", "data"))
+            sizes = batch.column("n_tokens").to_numpy()
+            for part in _parts(sizes):
+                flat = ids[unpack_ranks(control[part], data[part], sizes[part])].astype("<u4").tobytes()
+                raw = _cut(flat, 4 * np.cumsum(sizes[part]))
+                own = [batch.column(c)[part] for c in ("doc_id", "shard", "start", "n_tokens")]
+                yield pa.RecordBatch.from_arrays(
+                    [*own, pa.array(raw, pa.binary()), pa.array(map(zlib.crc32, raw), pa.int64())], ["doc_id", "shard", "start", "n_tokens", "ids", "ids_crc32"]
+                )
 
     rows = shards.select("doc_id", "shard", "start", "n_tokens", "control", "data").mapInArrow(
         decode, "doc_id long, shard int, start long, n_tokens long, ids binary, ids_crc32 long"
