@@ -29,7 +29,7 @@ def op3_wrapper_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op4_ranked_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = new_folder(spark, "token-files")
     token_files.write(documents(spark, sf_dir), folder, vocabulary_file("byte_bpe_50k.json"), end_id=0)
-    return token_files.read(spark, folder).select("doc_id", "start", "n_tokens", "ids_crc32")
+    return token_files.read(spark, folder, with_ids=False)
 
 
 def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -176,8 +176,8 @@ def write(docs: DataFrame, folder: str, vocabulary: str, end_id: int = 0, doc_id
     numbered.write.mode("overwrite").option("compression", "none").parquet(f"{folder}/shards")
 
 
-def read(spark: SparkSession, folder: str) -> DataFrame:
-    """What the files hold: doc_id, start (ids of all documents before it), n_tokens, ids (as uint32 bytes), ids_crc32."""
+def read(spark: SparkSession, folder: str, with_ids: bool = True) -> DataFrame:
+    """What the files hold: doc_id, start (ids of all documents before it), n_tokens, ids_crc32, and ids (as uint32 bytes)."""
     ship_code(spark)
     ids = np.array([r["id"] for r in spark.read.parquet(f"{folder}/ranks").orderBy("rank").collect()], np.uint32)
     shards = spark.read.parquet(f"{folder}/shards")
@@ -190,12 +190,11 @@ def read(spark: SparkSession, folder: str) -> DataFrame:
                 flat = ids[unpack_ranks(control[part], data[part], sizes[part])].astype("<u4").tobytes()
                 raw = _cut(flat, 4 * np.cumsum(sizes[part]))
                 own = [batch.column(c)[part] for c in ("doc_id", "shard", "start", "n_tokens")]
-                yield pa.RecordBatch.from_arrays(
-                    [*own, pa.array(raw, pa.binary()), pa.array(map(zlib.crc32, raw), pa.int64())], ["doc_id", "shard", "start", "n_tokens", "ids", "ids_crc32"]
-                )
+                own += [pa.array(map(zlib.crc32, raw), pa.int64()), pa.array(raw if with_ids else [None] * len(raw), pa.binary())]
+                yield pa.RecordBatch.from_arrays(own, ["doc_id", "shard", "start", "n_tokens", "ids_crc32", "ids"])
 
     rows = shards.select("doc_id", "shard", "start", "n_tokens", "control", "data").mapInArrow(
-        decode, "doc_id long, shard int, start long, n_tokens long, ids binary, ids_crc32 long"
+        decode, "doc_id long, shard int, start long, n_tokens long, ids_crc32 long, ids binary"
     )
     # one number for each shard file
     before, base = 0, []
@@ -203,6 +202,5 @@ def read(spark: SparkSession, folder: str) -> DataFrame:
         base.append((row["shard"], before))
         before += row["n"]
     bases = spark.createDataFrame(base, "shard int, base long")
-    return rows.join(F.broadcast(bases), "shard").select(
-        "doc_id", (F.col("base") + F.col("start")).alias("start"), "n_tokens", "ids", "ids_crc32"
-    )
+    placed = rows.join(F.broadcast(bases), "shard")
+    return placed.select("doc_id", (F.col("base") + F.col("start")).alias("start"), "n_tokens", "ids_crc32", *["ids"] * with_ids)
