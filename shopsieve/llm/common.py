@@ -63,6 +63,14 @@ def words_of(text: str) -> list[bytes]:
     return utf8(text).split()
 
 
+class Numbers(dict):
+    """Numbers keys in the order in which they are first asked for."""
+
+    def __missing__(self, key: bytes) -> int:
+        self[key] = number = len(self)
+        return number
+
+
 def rename_apart(df: DataFrame, *names: str) -> str:
     """A column name that the frame does not have, so that extra columns cannot clash with ours."""
     taken = {c.lower() for c in df.columns}

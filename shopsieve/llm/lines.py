@@ -34,13 +34,15 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shopsieve.llm.common import rename_apart, runs, ship_code, utf8
+from shopsieve.llm.common import Numbers, rename_apart, runs, ship_code, utf8
 from shopsieve.llm.filters import BitFilter, may_be_in
 from shopsieve.sinks.scratch import hand_off
 
 THRESHOLD = 0.9
 MIN_TOKENS = 2
 BUCKETS = 1 << 20
+#: Buckets that are summed together.
+PART = 1 << 12
 #: Postings in one block on average, which bounds what a task holds.
 BLOCK = 250_000
 #: Lines sharing a prefix word, up to which all their pairs are compared at once.
@@ -73,8 +75,8 @@ class LineSets:
     """Lines of a run of texts as sorted hash sets in flat arrays: one row per line of MIN_TOKENS words or more."""
 
     def __init__(self, docs: list[int], texts: list[str], wanted: Callable[[np.ndarray, np.ndarray], np.ndarray] | None = None) -> None:
-        numbers: dict[bytes, int] = {}
-        number = numbers.setdefault
+        numbers = Numbers()
+        number = numbers.__getitem__
         doc, line, size, flat = array("q"), array("i"), array("i"), array("q")
         for key, text in zip(docs, texts, strict=True):
             sets = line_words(text)
@@ -86,7 +88,7 @@ class LineSets:
             line.extend(places)
             for i in places:
                 size.append(len(sets[i]))
-                flat.extend([number(w, len(numbers)) for w in sets[i]])
+                flat.extend(map(number, sets[i]))
         self.doc, self.line = np.frombuffer(doc, np.int64), np.frombuffer(line, np.int32)
         self.size = np.frombuffer(size, np.int32).astype(np.int64)
         self.numbers = np.frombuffer(flat, np.int64)
@@ -110,13 +112,20 @@ def count_buckets(docs: DataFrame) -> np.ndarray:
             words = Counter(chain.from_iterable(utf8(t).lower().split() for t in texts))
             hashes = np.fromiter(map(xxhash.xxh64_intdigest, words), np.uint64, len(words))
             np.add.at(total, (hashes % np.uint64(BUCKETS)).astype(np.int64), np.fromiter(words.values(), np.int64, len(words)))
-        found = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(found, pa.int32()), pa.array(total[found])], ["bucket", "n"])
-
-    counted = docs.select("text").mapInArrow(count, "bucket int, n long").groupBy("bucket").agg(F.sum("n").alias("n")).toArrow()
-    out = np.zeros(BUCKETS, np.int64)
-    out[counted.column("bucket").to_numpy()] = counted.column("n").to_numpy()
-    return out
+        parts = total.reshape(-1, PART)
+        used = np.flatnonzero(parts.any(1))
+        yield pa.RecordBatch.from_arrays([pa.array(used, pa.int32()), pa.array([p.tobytes() for p in parts[used]], pa.binary())], ["part", "counts"])
+
+    def add(parts: pa.Table) -> pa.Table:
+        total = sum(np.frombuffer(p, np.int64) for p in parts.column("counts").to_pylist())
+        return pa.table([parts.column("part")[:1], pa.array([total.tobytes()], pa.binary())], ["part", "counts"])
+
+    schema = "part int, counts binary"
+    counted = docs.select("text").mapInArrow(count, schema).groupBy("part").applyInArrow(add, schema).collect()
+    out = np.zeros((BUCKETS // PART, PART), np.int64)
+    for row in counted:
+        out[row["part"]] = np.frombuffer(row["counts"], np.int64)
+    return out.reshape(-1)
 
 
 def _packed(columns: dict[str, np.ndarray]) -> bytes:
