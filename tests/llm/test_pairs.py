@@ -1,0 +1,185 @@
+"""Joins and searches against brute force, and the pipeline on edge rows."""
+
+from __future__ import annotations
+
+import random
+
+import pytest
+
+from shopsieve.llm import decontaminate, lines, shingles, wrappers
+from shopsieve.llm.components import components
+
+from edge_rows import edge_docs, no_docs  # noqa: F401
+
+
+def plain_lines(rows, t):
+    keyed = sorted((d, i, frozenset(w)) for d, x in rows for i, w in enumerate(lines.line_words(x or "")) if len(w) >= lines.MIN_TOKENS)
+    return {(d, i) for k, (d, i, w) in enumerate(keyed) if any((e, j) != (d, i) and len(w & v) >= t * len(w | v) - 1e-9 for e, j, v in keyed[:k])}
+
+
+@pytest.mark.parametrize("small", [2, 32])
+def test_lines(spark, small, monkeypatch):
+    monkeypatch.setattr(lines, "SMALL", small)
+    rng = random.Random(5)
+    base = [[f"w{rng.randrange(40)}" for _ in range(rng.randint(1, 30))] for _ in range(12)]
+    rows = []
+    for d in range(50):
+        text = []
+        for _ in range(rng.randint(0, 8)):
+            line = list(rng.choice(base))
+            for _ in range(rng.choice([0, 0, 1, 2])):
+                line[rng.randrange(len(line))] = f"w{rng.randrange(40)}"
+            text.append(" ".join(line))
+        rows.append((d, "\n".join(text)))
+    rows.append(rows[5])
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    assert {(r.doc, r.line) for r in lines.removed_lines(df, 0.75).collect()} == plain_lines(rows, 0.75)
+
+
+def test_lines_edge(edge_docs, no_docs):
+    got = lines.dedup_lines(edge_docs)
+    assert got.columns == edge_docs.columns and got.count() == edge_docs.count()
+    texts = {r.doc_id: r.text for r in got.collect() if r.doc_id is not None}
+    assert texts[0] == "one two three four five six seven eight nine ten\nA line that stands twice"
+    assert texts[5] == "" and texts[1] is None and texts[2] == "" and texts[3] == " \n\t\n "
+    assert lines.dedup_lines(no_docs).count() == 0
+
+
+def plain_components(rows):
+    sets = []
+    for _, x in rows:
+        w = (x or "").lower().split()
+        sets.append({tuple(w[i : i + 5]) for i in range(len(w) - 4)} if len(w) >= 5 else {tuple(w)} if w else set())
+    root = list(range(len(rows)))
+
+    def find(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    for i in range(len(rows)):
+        for j in range(i):
+            if sets[i] and sets[j] and 4 * len(sets[i] & sets[j]) >= 3 * len(sets[i] | sets[j]):
+                root[find(i)] = find(j)
+    out = []
+    for i, (d, _) in enumerate(rows):
+        ids = [rows[j][0] for j in range(len(rows)) if find(j) == find(i) and rows[j][0] is not None]
+        out.append((d, len(sets[i]), min(ids, default=None) if sets[i] else d))
+    return sorted(out, key=str)
+
+
+@pytest.mark.parametrize("words", [8, 300])
+def test_components_of_shingle_sets(spark, words):
+    rng = random.Random(words)
+    rows = []
+    for _ in range(20):
+        base = [f"w{rng.randrange(words)}" for _ in range(rng.choice([1, 3, 6, 8, 10, 20, 50, 120, 300]))]
+        for _ in range(rng.randint(1, 6)):
+            text = list(base)
+            for _ in range(rng.randint(0, max(1, len(text) // 25))):
+                k = rng.randrange(len(text))
+                text[k : k + 1] = rng.choice([["new"], [text[k], "more"]])
+            rows.append((len(rows), " ".join(text)))
+    rows += [(900, None), (901, ""), (3, rows[3][1]), (None, rows[4][1]), (None, "zz yy xx ww vv uu")]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    want = plain_components(rows)
+    assert sorted((tuple(r) for r in shingles.jaccard_components(df).collect()), key=str) == want
+    kept = sorted((r.doc_id for r in shingles.keep_one(df).collect()), key=str)
+    alone = {c for _, n, c in want if n and c is not None}
+    assert kept == sorted([*alone, 900, 901, None], key=str)
+
+
+def test_components_edge(edge_docs, no_docs):
+    assert shingles.jaccard_components(edge_docs).count() == edge_docs.count()
+    assert shingles.keep_one(edge_docs).columns == edge_docs.columns
+    assert shingles.jaccard_components(no_docs).count() == 0
+    assert shingles.keep_one(no_docs).count() == 0
+
+
+def test_links(spark):
+    links = spark.createDataFrame([(str(100 + i), str(101 + i)) for i in range(30)] + [("a", "b"), ("a", "a")], "a string, b string")
+    assert {tuple(r) for r in components(links).collect()} == {(str(100 + i), "100") for i in range(1, 31)} | {("b", "a")}
+
+
+def plain_distance(item, text):
+    row = [0] * (len(text) + 1)
+    for i, c in enumerate(item):
+        new = [i + 1]
+        for j, d in enumerate(text):
+            new.append(min(row[j] + (c != d), row[j + 1] + 1, new[j] + 1))
+        row = new
+    return min(row)
+
+
+def test_myers():
+    rng = random.Random(1)
+    for _ in range(200):
+        item = "".join(rng.choice("abc") for _ in range(rng.randint(1, 90)))
+        text = "".join(rng.choice("abc") for _ in range(rng.randint(0, 120)))
+        assert decontaminate.distance_within(item, text) == plain_distance(item, text)
+
+
+def test_contaminations(spark, edge_docs, no_docs):
+    rng = random.Random(2)
+    word = lambda: "".join(rng.choice("abcdefgh") for _ in range(rng.randint(2, 6)))
+    items = [(k, " ".join(word() for _ in range(20))) for k in range(12)] + [(50, None), (51, "short")]
+    docs = []
+    for d in range(60):
+        text = " ".join(word() for _ in range(40))
+        if d % 3:
+            item = list(items[d % 12][1])
+            for _ in range(rng.randint(0, 9)):
+                item[rng.randrange(len(item))] = rng.choice("abcdefgh ")
+            text = f"{text}. {''.join(item)}\n{text}"
+        docs.append((d, text))
+    got = {(r.doc_id, r.item_id, r.distance) for r in decontaminate.contaminations(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")).collect()}
+    want = set()
+    for d, text in docs:
+        for k, item in items[:12]:
+            own = decontaminate.compared(item)
+            distance = plain_distance(own, decontaminate.compared(text))
+            if distance <= int(decontaminate.RATE * (len(own) - 2)):
+                want.add((d, k, distance))
+    assert got == want and len(want) > 10
+    frame = spark.createDataFrame(items, "item_id long, text string")
+    assert decontaminate.contaminations(no_docs, frame).count() == 0
+    assert decontaminate.without_contaminated(edge_docs, frame).count() == edge_docs.count()
+    assert decontaminate.contaminations(edge_docs, frame.limit(0)).count() == 0
+
+
+PAGE = (
+    '<!DOCTYPE html><html><head><title>T{0}</title><script>var a="<p>no</p>";</script></head><body><nav><ul>{1}</ul></nav><!-- x --><div class="ad">Buy {0}</div>'
+    "<{2}><h1>Title {0}</h1>{3}</{2}><div class='comments'><p>first {0}!</p></div><form><p>mail</p></form><footer>&copy; us</footer></body>"
+)
+
+
+@pytest.mark.parametrize("home", ["article", 'div class="content"', "div"])
+def test_main_text(spark, home):
+    rows, want = [], {}
+    for k in range(12):
+        texts = [f"Paragraph {k}.{j} &amp; more   words\nhere, and quite a few of them" for j in range(1 + k % 4)]
+        body = "".join(f"<p><b>{t}<br>" if j % 2 else f"<p>{t}</p>" for j, t in enumerate(texts))
+        page = PAGE.format(k, "<li><a href='/'>x</a></li>" * (k % 3), home, body).replace(f"</{home}>", f"</{home.split()[0]}>")
+        rows.append((k, f"http://h{k % 2}.example/{k}", page, "z"))
+        want[k] = "\n\n".join([f"Title {k}", *(f"Paragraph {k}.{j} & more words here, and quite a few of them" for j in range(len(texts)))])
+    rows += [(90, None, None, "z"), (91, "http://h0.example/", "", "z"), (92, "nonsense", "<p>", "z")]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string, host string").repartition(3)
+    got = {r.page_id: r for r in wrappers.main_text(pages).collect()}
+    assert {k: got[k].text for k in want} == want
+    assert all(got[k].text == "" and got[k].n_chars == 0 for k in (90, 91, 92))
+    assert wrappers.main_text(pages.limit(0)).count() == 0
+
+
+def test_pipeline_on_edge_rows(spark, edge_docs, tmp_path):
+    import corpus_pipeline
+
+    folder = str(tmp_path)
+    spark.createDataFrame([(0, 1, 0), (6, 1, 0)], "doc_id long, quality int, toxic int").write.parquet(f"{folder}/labels.parquet")
+    spark.createDataFrame([(0, "a text without an id which is long enough to have")], "item_id long, text string").write.parquet(f"{folder}/benchmark.parquet")
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        got = stage(spark, edge_docs, folder)
+        assert got.schema == edge_docs.schema or got.columns == edge_docs.columns, name
+        assert got.count() <= edge_docs.count()
+        assert stage(spark, edge_docs.limit(0), folder).count() == 0
+    edge_docs.write.parquet(f"{folder}/documents.parquet")
+    assert corpus_pipeline.run(spark, folder).columns[:3] == ["doc_id", "start", "length"]
