@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from shopsieve.operators.quality import BROKEN, N_ROWS, id_bits, row_bits
+from shopsieve.operators.quality import BROKEN, N_ROWS, condemned, id_bits, row_bits
 from shopsieve.operators.rules import RuleSet
 from shopsieve.schema import KEY
 
@@ -77,9 +77,12 @@ def with_status(resolved: DataFrame, status: str) -> DataFrame:
     return resolved.filter(F.col(STATUS) == status).drop(N_ROWS, BROKEN, STATUS)
 
 
-def split_counts(per_id: DataFrame) -> DataFrame:
-    """One row with the sizes of the split, from ``by_id`` alone: no row has to move."""
-    bad = F.col(BROKEN) != 0
+def split_counts(per_id: DataFrame, rules: RuleSet | None = None, duplicates: str = "quarantine") -> DataFrame:
+    """One row with the sizes of the split, from ``by_id`` alone: no row has to move.
+
+    ``keep_one`` needs the rules, to tell repeats from other faults.
+    """
+    bad = F.col(BROKEN) != 0 if rules is None else condemned(rules, duplicates)
     return per_id.agg(
         F.coalesce(F.sum(N_ROWS), F.lit(0)).alias("rows_before"),
         F.count("*").alias("rows_deduplicated"),

@@ -111,15 +111,31 @@ def rule_counts(per_id: DataFrame, rules: RuleSet) -> DataFrame:
     return counts.select(F.inline(F.array(*lines)))
 
 
-def totals(per_id: DataFrame) -> DataFrame:
-    """One row: rows and ids in all, rows that repeat an id, bad ids, clean ids and clean rows."""
-    bad = F.col(BROKEN) != 0
+def condemned(rules: RuleSet, duplicates: str = "quarantine") -> Column:
+    """Whether an id of ``by_id`` goes to quarantine. With ``keep_one`` a mere repeat does not."""
+    if duplicates == "quarantine":
+        return F.col(BROKEN) != 0
+    mask = sum(rules.bit(rule.name) for rule in rules.rows)
+    return F.col(BROKEN).bitwiseAND(F.lit(mask).cast("bigint")) != 0
+
+
+def _clean_rows(bad: Column, duplicates: str) -> Column:
+    """Rows of clean ids; with ``keep_one`` one row of each stays."""
+    return _sum_where(~bad) if duplicates == "keep_one" else _sum_where(~bad, F.col(N_ROWS))
+
+
+def totals(per_id: DataFrame, rules: RuleSet | None = None, duplicates: str = "quarantine") -> DataFrame:
+    """One row: rows and ids in all, rows that repeat an id, bad ids, clean ids and clean rows.
+
+    ``keep_one`` needs the rules, to tell repeats from other faults.
+    """
+    bad = F.col(BROKEN) != 0 if rules is None else condemned(rules, duplicates)
     return per_id.agg(
         _sum_where(F.lit(True), F.col(N_ROWS)).alias("total_rows"),
         F.count("*").alias("total_ids"),
         _sum_where(bad).alias("bad_ids"),
         _sum_where(~bad).alias("clean_ids"),
-        _sum_where(~bad, F.col(N_ROWS)).alias("clean_rows"),
+        _clean_rows(bad, duplicates).alias("clean_rows"),
     ).withColumn("repeated_rows", F.col("total_rows") - F.col("total_ids"))
 
 
@@ -128,21 +144,22 @@ def percent(part: Column, whole: Column) -> Column:
     return F.try_divide(part.cast("double"), whole.cast("double")) * 100
 
 
-def report(per_id: DataFrame, rules: RuleSet) -> DataFrame:
+def report(per_id: DataFrame, rules: RuleSet, duplicates: str = "quarantine") -> DataFrame:
     """A line per rule and one for the whole table.
 
     ``rule, bad_ids, message, total_rows, valid_pct_reference, valid_pct_rows``; the last three
     are about the whole table and the same on each line. A rule that nobody breaks has no
     message. The first percentage sets distinct bad *ids* against all *rows*, so further
-    copies of a repeated id count as valid; the second is the share of rows that are clean.
+    copies of a repeated id count as valid; the second is the share of rows that are clean under
+    the policy ``duplicates``.
     """
-    bad = F.col(BROKEN) != 0
+    bad = condemned(rules, duplicates)
     columns = _count_columns(rules)
     counts = per_id.agg(
         *[count.alias(name) for name, count in columns.items()],
-        _sum_where(bad).alias("bad_ids"),
+        _sum_where(F.col(BROKEN) != 0).alias("bad_ids"),
         _sum_where(F.lit(True), F.col(N_ROWS)).alias("total_rows"),
-        _sum_where(~bad, F.col(N_ROWS)).alias("clean_rows"),
+        _clean_rows(bad, duplicates).alias("clean_rows"),
     )
 
     def line(rule: str, found: Column, message: Column) -> Column:

@@ -17,9 +17,11 @@ def hash_order(key: str, seed: int) -> Column:
     return digest(F.col(key), "sample", seed)
 
 
-def sample_fraction(df: DataFrame, fraction: float, seed: int) -> DataFrame:
-    """About ``fraction`` of the rows, without replacement."""
-    return df.sample(withReplacement=False, fraction=fraction, seed=seed)
+def sample_fraction(df: DataFrame, fraction: float, seed: int, key: str) -> DataFrame:
+    """About ``fraction`` of the rows: those whose hash of ``key`` falls below it, so the same rows on
+    any partitioning. Rows without a key share one draw of their own."""
+    draw = F.conv(F.substring(F.coalesce(hash_order(key, seed), F.md5(F.lit(f"none:{seed}"))), 1, 8), 16, 10).cast("long")
+    return df.filter(draw < F.lit(round(fraction * (1 << 32))))
 
 
 def sample_exact(df: DataFrame, k: int, key: str, seed: int, sortable: int = SORTABLE) -> DataFrame:
@@ -33,7 +35,8 @@ def sample_exact(df: DataFrame, k: int, key: str, seed: int, sortable: int = SOR
     """
     if k <= 0:
         return df.limit(0)
-    hashed = df.withColumn("__hash", hash_order(key, seed))
+    # a missing key has a place in the order too: the first
+    hashed = df.withColumn("__hash", F.coalesce(hash_order(key, seed), F.lit("0" * HASH_DIGITS)))
     prefix, wanted = "", k
     bucket = hashed
     while len(prefix) < HASH_DIGITS:

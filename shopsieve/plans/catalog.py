@@ -57,7 +57,8 @@ def agg_grouping_sets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def win_region_product(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return analytics.windowed(sales_from_star(spark, sf_dir))
+    # written once, as it is aggregated and joined
+    return analytics.windowed(hand_off(sales_from_star(spark, sf_dir), "sales"))
 
 
 def sale_amount(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -164,7 +165,7 @@ def _side_by_id_list(side: int) -> Query:
     """The split by a written table of bad ids."""
 
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-        sales = sales_from_star(spark, sf_dir)
+        sales = hand_off(sales_from_star(spark, sf_dir), "sales")
         ids = hand_off(quality.bad_ids(sales, star_rules()), "bad-ids")
         return clean.split_by_ids(sales, ids)[side]
 
@@ -175,6 +176,10 @@ def split_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return clean.split_counts(_by_id(spark, sf_dir))
 
 
+def split_counts_keep_one(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return clean.split_counts(_by_id(spark, sf_dir), star_rules(), "keep_one")
+
+
 # Sources, sinks and types
 
 
@@ -299,6 +304,7 @@ QUERIES: dict[str, Query] = {
     "clean_rows_by_id_list": _side_by_id_list(0),
     "quarantine_rows_by_id_list": _side_by_id_list(1),
     "split_counts": split_counts,
+    "split_counts_keep_one": split_counts_keep_one,
     "typed_sales": typed_sales,
     "csv_roundtrip": csv_roundtrip,
     "csv_inferred": csv_inferred,

@@ -50,7 +50,7 @@ def run(raw: DataFrame, config: FlowConfig) -> dict[str, DataFrame]:
         resolve(raw, rules, config.duplicates), "resolved", f"{folder}/resolved", partition_by=(STATUS,)
     )
     per_id = resolved.select(rules.key, N_ROWS, BROKEN)
-    quality_report = report(per_id, rules)
+    quality_report = report(per_id, rules, config.duplicates)
     write_json(quality_report, f"{folder}/report")
     repeated = per_id.filter(F.col(N_ROWS) > 1).select(rules.key, F.col(N_ROWS).alias("count"))
     duplicates = hand_off(repeated, "duplicates", f"{folder}/duplicates")

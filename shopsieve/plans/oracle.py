@@ -215,6 +215,9 @@ def _build() -> dict[str, str]:
         "split_counts": f"""{s_one} SELECT (SELECT COUNT(*) FROM s) AS rows_before, COUNT(*) AS rows_deduplicated,
   COUNT(*) FILTER (sale_id IN {BAD}) AS quarantine_rows,
   COUNT(*) FILTER (sale_id NOT IN {BAD}) AS clean_rows FROM one""",
+        "split_counts_keep_one": f"""{s_one} SELECT (SELECT COUNT(*) FROM s) AS rows_before, COUNT(*) AS rows_deduplicated,
+  COUNT(*) FILTER (sale_id IN (SELECT sale_id FROM found WHERE rule <> 'duplicate')) AS quarantine_rows,
+  COUNT(*) FILTER (sale_id NOT IN (SELECT sale_id FROM found WHERE rule <> 'duplicate')) AS clean_rows FROM one""",
         "typed_sales": f"WITH {SALES} SELECT sale_id, customer_id, product_id, quantity, price, region, "
         "TRY_CAST(sale_date AS DATE) AS sale_date FROM s",
         "csv_roundtrip": whole,

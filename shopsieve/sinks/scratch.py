@@ -16,7 +16,7 @@ def scratch_root(spark: SparkSession) -> str:
     if configured:
         return configured.rstrip("/")
     master = spark.conf.get("spark.master", "")
-    if not master.startswith("local"):
+    if not master.startswith("local") or master.startswith("local-cluster"):
         raise RuntimeError(f"set {SETTING} to a folder that every executor can reach")
     return tempfile.mkdtemp(prefix="shopsieve-")
 

@@ -55,6 +55,11 @@ def append_snapshot(aggregated: DataFrame, path: str, import_ts: datetime | None
     """Add one snapshot to the Parquet table at ``path``. Running the same import again
     replaces that snapshot and leaves the others alone."""
     rows = by_region(snapshot_rows(aggregated, import_ts))
+    if import_ts is not None:
+        # the one partition is overwritten as such, so that an import without rows replaces it too
+        name = import_ts.isoformat(sep=" ").replace(":", "%3A")
+        rows.drop("import_date").write.mode("overwrite").parquet(f"{path}/import_date={name}")
+        return
     (
         rows.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")

@@ -104,7 +104,7 @@ def test_exact_sample_takes_every_column_along(valid):
 
 
 def test_fraction(valid):
-    assert 800 < sample_fraction(valid, 0.05, 1).count() < 1200
+    assert 800 < sample_fraction(valid, 0.05, 1, "sale_id").count() < 1200
 
 
 def test_share_is_rounded_down_exactly():

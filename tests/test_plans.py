@@ -11,6 +11,7 @@ from conftest import SMALL, bag
 from __spark_entry__ import queries
 from shopsieve.operators import analytics, clean, quality
 from shopsieve.operators.sampling import sample_exact
+from shopsieve.plans.catalog import QUERIES
 
 EVERYWHERE_FORBIDDEN = ("PythonUDF", "EvalPython", "InPandas", "MapInArrow", "CartesianProduct", "NestedLoopJoin")
 
@@ -30,7 +31,7 @@ def shuffles(plan: str) -> list[str]:
 
 
 @pytest.mark.skipif(not Path(SMALL).exists(), reason="no test tables here")
-@pytest.mark.parametrize("name", list(queries()))
+@pytest.mark.parametrize("name", list(QUERIES))
 def test_stays_in_the_engine(spark, name):
     plan = planned(queries()[name](spark, SMALL))
     assert not [word for word in EVERYWHERE_FORBIDDEN if word in plan]

@@ -76,6 +76,7 @@ def test_agrees_with_shuffled_joins(spark, set_conf, skewed, name):
     assert differences(frame, connection, oracle_sql()[name]) is None
     frame._jdf.queryExecution().toRdd().count()
     plan = frame._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
-    if "_e2e" not in name:  # there, the joins ran when the query was built
+    # in these the joins ran when the query was built; their view is that of the others
+    if "_e2e" not in name and name not in ("win_region_product", "quarantine_rows_by_id_list"):
         assert "SortMergeJoin(skew=true) [l_partkey" in plan
         assert "SortMergeJoin(skew=true) [l_orderkey" in plan
