@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Texts are handled in runs of about this many characters, whatever the size of an Arrow batch.
-RUN_CHARS = 4_000_000
+RUN_CHARS = 2_000_000
 #: And of no more rows than this.
 RUN_ROWS = 1 << 15
 _ARCHIVE = "shopsieve_code"

@@ -19,7 +19,7 @@ from array import array
 import numpy as np
 
 #: Distinct pre-tokens a worker remembers; beyond that it starts afresh.
-REMEMBERED = 1_300_000
+REMEMBERED = 700_000
 #: Pre-tokens encoded in one call of the library.
 AT_ONCE = 50
 
