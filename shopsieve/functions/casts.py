@@ -23,6 +23,12 @@ def to_schema(df: DataFrame, schema: T.StructType = SALES_TYPED) -> DataFrame:
     return df.select([coerce(F.col(f.name), f.dataType).alias(f.name) for f in schema])
 
 
+def lost_values(df: DataFrame, schema: T.StructType = SALES_TYPED) -> DataFrame:
+    """One row: for each column of ``schema``, how many values are there but become NULL in ``to_schema``."""
+    lost = [(F.col(f.name).isNotNull() & coerce(F.col(f.name), f.dataType).isNull(), f.name) for f in schema]
+    return df.agg(*[F.count_if(condition).alias(name) for condition, name in lost])
+
+
 def as_text(df: DataFrame) -> DataFrame:
     """Every column as text, as a file without types would give it."""
     return df.select([F.col(name).cast("string").alias(name) for name in df.columns])

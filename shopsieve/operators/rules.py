@@ -14,9 +14,10 @@ from decimal import Decimal
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from shopsieve.functions.casts import DAY_FORMAT
-from shopsieve.schema import KEY
+from shopsieve.functions.casts import DAY_FORMAT, coerce
+from shopsieve.schema import KEY, SALES_RAW
 
 # Patterns, domains, bounds and report lines that results are compared by.
 DATE_PATTERN = r"^\d{4}-\d{2}-\d{2}"
@@ -106,9 +107,19 @@ def in_set(name: str, column: str, allowed: Sequence[str], message: str | None =
     return RowRule(name, ~F.col(column).isin(*allowed), _message(name, message))
 
 
-def between(name: str, column: str, low: object, high: object, message: str | None = None) -> RowRule:
-    """A number must lie in a range, bounds included."""
-    return RowRule(name, ~F.col(column).between(F.lit(low), F.lit(high)), _message(name, message))
+def between(
+    name: str, column: str, low: object, high: object, message: str | None = None, kind: str | None = None
+) -> RowRule:
+    """A number must lie in a range, bounds included. ``kind`` is the type to read text as; text that
+    is no such number breaks ``parses``, not this."""
+    value = F.col(column) if kind is None else F.col(column).try_cast(kind)
+    return RowRule(name, ~value.between(F.lit(low), F.lit(high)), _message(name, message))
+
+
+def parses(name: str, column: str, kind: T.DataType, message: str | None = None) -> RowRule:
+    """Text must be a value of type ``kind``; a missing text is none that fails."""
+    unread = F.col(column).isNotNull() & coerce(F.col(column), kind).isNull()
+    return RowRule(name, unread, _message(name, message))
 
 
 def not_null(name: str, column: str, message: str | None = None) -> RowRule:
@@ -146,3 +157,34 @@ def sales_rules(
             *extra,
         ),
     )
+
+
+#: Prices are judged as written, before they are rounded to two places.
+UNROUNDED = "decimal(38,18)"
+
+
+def text_sales_rules(
+    start: date,
+    end: date,
+    regions: Sequence[str] = REGIONS,
+    quantity: tuple[int, int] = QUANTITY_BOUNDS,
+    price: tuple[Decimal, Decimal] = PRICE_BOUNDS,
+    strict_dates: bool = False,
+    extra: Sequence[RowRule] = (),
+) -> RuleSet:
+    """The standard checks on a sales table that is all text (``read_csv_text``), and for each column
+    whether it parses. ``strict_dates`` also asks dates to be days of the calendar."""
+    dates = (date_parse("date_parse", "sale_date"),) if strict_dates else ()
+    return RuleSet(
+        unique=unique(),
+        rows=(
+            matches("date_format", "sale_date", DATE_PATTERN),
+            between_text("date_range", "sale_date", start.isoformat(), end.isoformat()),
+            in_set("region", "region", regions),
+            between("quantity", "quantity", *quantity, kind="int"),
+            between("price", "price", *price, kind=UNROUNDED),
+            *(parses(f"unread_{f.name}", f.name, f.dataType) for f in SALES_RAW if not isinstance(f.dataType, T.StringType)),
+            *dates,
+            *extra,
+        ),
+    )

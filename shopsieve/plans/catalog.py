@@ -11,14 +11,15 @@ from pyspark.sql import functions as F
 
 from shopsieve.functions.casts import as_text, to_schema
 from shopsieve.operators import analytics, clean, quality
-from shopsieve.operators.rules import RuleSet, sales_rules
+from shopsieve.operators.rules import RuleSet, sales_rules, text_sales_rules, year_to_date
+from shopsieve.operators.sampling import sample_exact, sample_fraction
 from shopsieve.plans import flow
 from shopsieve.schema import AGGREGATED, KEY, SALES_RAW, SALES_TYPED, assert_schema
 from shopsieve.sinks.files import write_csv, write_json, write_parquet
 from shopsieve.sinks.scratch import hand_off, new_folder
 from shopsieve.sinks.snapshot import append_snapshot, by_region, read_snapshots, snapshot_rows
 from shopsieve.sources import generate
-from shopsieve.sources.files import read_csv, read_json, read_parquet
+from shopsieve.sources.files import read_csv, read_csv_text, read_json, read_parquet
 from shopsieve.sources.star import sales_from_star, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -29,6 +30,7 @@ SALES_REGIONS = ("AFRICA", "AMERICA", "ASIA", "EUROPE")
 SALES_QUANTITY = (1, 45)
 SALES_PRICE = (Decimal("0.01"), Decimal("990"))
 FIRST_IMPORT, SECOND_IMPORT = datetime(2026, 1, 6, 12, 45), datetime(2026, 1, 13, 12, 45)
+YEAR_TO = date(1998, 8, 2)
 SEED = 7
 GEN_START, GEN_END = date(2026, 1, 1), date(2026, 6, 30)
 
@@ -134,6 +136,16 @@ def dq_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.report(_by_id(spark, sf_dir), star_rules())
 
 
+def dq_report_keep_one(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.report(_by_id(spark, sf_dir), star_rules(), "keep_one")
+
+
+def bad_ids_year_to_date(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Dates outside the year up to a fixed day."""
+    rules = sales_rules(*year_to_date(YEAR_TO))
+    return quality.bad_ids(sales_from_star(spark, sf_dir), rules, "date_range")
+
+
 def report_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The report written as JSON and read back."""
     report = dq_report(spark, sf_dir)
@@ -180,9 +192,61 @@ def split_counts_keep_one(spark: SparkSession, sf_dir: str) -> DataFrame:
     return clean.split_counts(_by_id(spark, sf_dir), star_rules(), "keep_one")
 
 
+# Missing ids: every fiftieth id of the view is gone, and those rows share the id NULL
+
+
+def _sales_with_null_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    sales = sales_from_star(spark, sf_dir)
+    return sales.withColumn(KEY, F.when(F.col(KEY) % 50 != 0, F.col(KEY)))
+
+
+def _null_ids_side(status: str) -> Query:
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return clean.with_status(clean.resolve(_sales_with_null_ids(spark, sf_dir), star_rules()), status)
+
+    return query
+
+
+def dedup_stats_null_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return clean.dedup_stats(_sales_with_null_ids(spark, sf_dir))
+
+
+def sample_null_key(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A sample of exactly 500 rows of a table with a missing id."""
+    one_each = hand_off(clean.dedup_keep_one(_sales_with_null_ids(spark, sf_dir)), "sales")
+    return sample_exact(one_each, 500, KEY, SEED)
+
+
+def sample_tenth(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sample_fraction(sales_from_star(spark, sf_dir), 0.1, SEED, KEY)
+
+
 # Sources, sinks and types
 
 
+def csv_defects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The view written as CSV with some fields spoilt, and each id with the rules it breaks."""
+    text = as_text(sales_from_star(spark, sf_dir))
+    number = F.col(KEY).cast("bigint")
+    spoilt = text.withColumns(
+        {
+            KEY: F.when(number % 97 == 0, F.concat(F.lit("x"), KEY)).otherwise(F.col(KEY)),
+            "quantity": F.when(number % 89 == 1, F.lit("abc"))
+            .when(number % 89 == 2, F.lit("99999999999"))
+            .otherwise(F.col("quantity")),
+            "price": F.when(number % 83 == 1, F.lit("100000000000"))
+            .when(number % 83 == 2, F.lit("990.004"))
+            .when(number % 83 == 3, F.lit("0.006"))
+            .otherwise(F.col("price")),
+            "sale_date": F.when(number % 79 == 1, F.lit("1996-02-30")).otherwise(F.col("sale_date")),
+        }
+    )
+    path = new_folder(spark, "sales-csv")
+    write_csv(spoilt, path)
+    rules = text_sales_rules(SALES_START, SALES_END, SALES_REGIONS, SALES_QUANTITY, SALES_PRICE, strict_dates=True)
+    return quality.violations(quality.by_id(read_csv_text(spark, path), rules), rules)
+
+
 def typed_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All sales from text to the declared types."""
     return assert_schema(to_schema(as_text(sales_from_star(spark, sf_dir))), SALES_TYPED)
@@ -220,6 +284,16 @@ def snapshot_append(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_snapshots(spark, path)
 
 
+def snapshot_rerun_empty(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two imports, the first of them run again without rows: nothing of it stays."""
+    path = new_folder(spark, "snapshots")
+    aggregated = hand_off(agg_region_product(spark, sf_dir), "aggregated")
+    for import_ts in (FIRST_IMPORT, SECOND_IMPORT):
+        append_snapshot(aggregated, path, import_ts)
+    append_snapshot(aggregated.filter("total_sales < 0"), path, FIRST_IMPORT)
+    return read_snapshots(spark, path)
+
+
 # Synthetic sales, one for each order
 
 
@@ -305,6 +379,15 @@ QUERIES: dict[str, Query] = {
     "quarantine_rows_by_id_list": _side_by_id_list(1),
     "split_counts": split_counts,
     "split_counts_keep_one": split_counts_keep_one,
+    "dq_report_keep_one": dq_report_keep_one,
+    "bad_ids_year_to_date": bad_ids_year_to_date,
+    "clean_rows_null_ids": _null_ids_side(clean.CLEAN),
+    "quarantine_rows_null_ids": _null_ids_side(clean.QUARANTINE),
+    "dedup_stats_null_ids": dedup_stats_null_ids,
+    "sample_null_key": sample_null_key,
+    "sample_fraction": sample_tenth,
+    "csv_defects": csv_defects,
+    "snapshot_rerun_empty": snapshot_rerun_empty,
     "typed_sales": typed_sales,
     "csv_roundtrip": csv_roundtrip,
     "csv_inferred": csv_inferred,

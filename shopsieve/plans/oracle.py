@@ -67,7 +67,16 @@ FROM {table} GROUP BY {keys}"""
 
 
 LINE_AMOUNT = "CAST(quantity * price AS DECIMAL(20,2))"
-BAD = "(SELECT sale_id FROM found)"
+ROW_RULES = "WHERE rule <> 'duplicate'"
+
+
+def _marked(table: str, which: str = "", name: str = "marked") -> str:
+    """CTE: the rows of ``table`` and whether their id is among those found; a missing id matches a missing one."""
+    return (
+        f"{name} AS (SELECT t.*, f.bad IS NOT NULL AS bad FROM {table} t "
+        f"LEFT JOIN (SELECT DISTINCT sale_id, TRUE AS bad FROM found {which}) f ON f.sale_id IS NOT DISTINCT FROM t.sale_id)"
+    )
+
 
 MESSAGES = """
   SELECT * FROM (VALUES ('duplicate', 'Найдены дубликаты ID: '), ('date_format', 'Неверный формат даты: '),
@@ -75,16 +84,17 @@ MESSAGES = """
     ('quantity', 'Некорректное количество: '), ('price', 'Некорректная цена: ')) AS t(rule, lead)"""
 
 
-def _report(ctes: str, table: str, bounds: dict[str, str]) -> str:
-    return f"""WITH {ctes}, {_found(table, bounds)}, messages AS ({MESSAGES}),
+def _report(ctes: str, table: str, bounds: dict[str, str], keep_one: bool = False) -> str:
+    clean = "COUNT(DISTINCT sale_id) + COUNT(DISTINCT CASE WHEN sale_id IS NULL THEN 1 END)" if keep_one else "COUNT(*)"
+    return f"""WITH {ctes}, {_found(table, bounds)}, {_marked(table, ROW_RULES if keep_one else "")}, messages AS ({MESSAGES}),
+bad AS (SELECT COUNT(*) AS n FROM (SELECT DISTINCT sale_id FROM found)),
 lines AS (
   SELECT m.rule, COUNT(f.rule) AS bad_ids,
          CASE WHEN COUNT(f.rule) > 0 THEN ANY_VALUE(lead) || CAST(COUNT(f.rule) AS VARCHAR) || ' записей' END AS message
   FROM messages m LEFT JOIN found f ON f.rule = m.rule GROUP BY m.rule
-  UNION ALL SELECT 'total', COUNT(DISTINCT sale_id), NULL FROM found),
+  UNION ALL SELECT 'total', n, NULL FROM bad),
 whole AS (SELECT COUNT(*) AS n FROM {table}),
-bad AS (SELECT COUNT(DISTINCT sale_id) AS n FROM found),
-clean AS (SELECT COUNT(*) AS n FROM {table} WHERE sale_id NOT IN {BAD})
+clean AS (SELECT {clean} AS n FROM marked WHERE NOT bad)
 SELECT rule, bad_ids, message, whole.n AS total_rows,
        CAST(whole.n - bad.n AS DOUBLE) / CAST(whole.n AS DOUBLE) * 100 AS valid_pct_reference,
        CAST(clean.n AS DOUBLE) / CAST(whole.n AS DOUBLE) * 100 AS valid_pct_rows
@@ -137,6 +147,39 @@ GEN_ALL = (
 )
 
 
+NULL_IDS = f"""n AS (SELECT CASE WHEN sale_id % 50 <> 0 THEN sale_id END AS sale_id, {COLUMNS[len("sale_id, "):]} FROM s)"""
+
+SPLIT_COUNTS = """SELECT (SELECT COUNT(*) FROM s) AS rows_before, COUNT(*) AS rows_deduplicated,
+  COUNT(*) FILTER (bad) AS quarantine_rows, COUNT(*) FILTER (NOT bad) AS clean_rows FROM marked"""
+
+
+def _dedup_stats(table: str) -> str:
+    return f"""SELECT CAST(SUM(n) AS BIGINT) AS rows_before, COUNT(*) AS rows_after,
+  CAST(SUM(n) AS BIGINT) - COUNT(*) AS removed FROM (SELECT COUNT(*) AS n FROM {table} GROUP BY sale_id)"""
+
+
+def _csv_defects() -> str:
+    """Fields spoilt as in the query; what does not cast is unread, and prices are judged unrounded."""
+    spoilt = """d AS (SELECT CASE WHEN sale_id % 97 = 0 THEN 'x' ELSE '' END || CAST(sale_id AS VARCHAR) AS sale_id,
+  CAST(customer_id AS VARCHAR) AS customer_id, CAST(product_id AS VARCHAR) AS product_id,
+  CASE sale_id % 89 WHEN 1 THEN 'abc' WHEN 2 THEN '99999999999' ELSE CAST(quantity AS VARCHAR) END AS quantity,
+  CASE sale_id % 83 WHEN 1 THEN '100000000000' WHEN 2 THEN '990.004' WHEN 3 THEN '0.006' ELSE CAST(price AS VARCHAR) END AS price,
+  region, CASE WHEN sale_id % 79 = 1 THEN '1996-02-30' ELSE sale_date END AS sale_date FROM s)"""
+    rules = _conditions(STAR_BOUNDS) | {
+        "quantity": "TRY_CAST(quantity AS INTEGER) NOT BETWEEN 1 AND 45",
+        "price": "TRY_CAST(price AS DECIMAL(38,18)) NOT BETWEEN 0.01 AND 990",
+        **{
+            f"unread_{column}": f"{column} IS NOT NULL AND TRY_CAST({column} AS {kind}) IS NULL"
+            for column, kind in (("sale_id", "BIGINT"), ("customer_id", "BIGINT"), ("product_id", "BIGINT"),
+                                 ("quantity", "INTEGER"), ("price", "DECIMAL(10,2)"))
+        },
+        "date_parse": "sale_date IS NOT NULL AND TRY_CAST(sale_date AS DATE) IS NULL",
+    }
+    parts = ["SELECT 'duplicate' AS rule, sale_id FROM d GROUP BY sale_id HAVING COUNT(*) > 1"]
+    parts += [f"SELECT DISTINCT '{name}' AS rule, sale_id FROM d WHERE {condition}" for name, condition in rules.items()]
+    return f"WITH {SALES}, {spoilt} " + " UNION ALL ".join(parts)
+
+
 def _ids(condition: str) -> str:
     return f"WITH {SALES} SELECT DISTINCT sale_id FROM s WHERE {condition}"
 
@@ -148,8 +191,11 @@ def _build() -> dict[str, str]:
     s_one = f"WITH {SALES}, {found}, {_first('s')}"
     whole = f"WITH {SALES} SELECT {COLUMNS} FROM s"
     agg = f"WITH {SALES} {_aggregate('s')}"
-    clean = f"{s_one} SELECT {COLUMNS} FROM one WHERE sale_id NOT IN {BAD}"
-    quarantine = f"{s_one} SELECT {COLUMNS} FROM one WHERE sale_id IN {BAD}"
+    s_marked = f"{s_one}, {_marked('one')}"
+    s_lenient = f"{s_one}, {_marked('one', ROW_RULES)}"
+    clean = f"{s_marked} SELECT {COLUMNS} FROM marked WHERE NOT bad"
+    quarantine = f"{s_marked} SELECT {COLUMNS} FROM marked WHERE bad"
+    n_marked = f"WITH {SALES}, {NULL_IDS}, {_found('n', STAR_BOUNDS)}, {_first('n')}, {_marked('one')}"
     report = _report(SALES, "s", STAR_BOUNDS)
     levels = " UNION ALL ".join(
         f"SELECT {level} AS grouping_id, {region} AS region, {product} AS product_id, COUNT(sale_id) AS total_sales, "
@@ -192,32 +238,36 @@ def _build() -> dict[str, str]:
         "duplicate_counts": f"WITH {SALES} SELECT sale_id, COUNT(*) AS count FROM s GROUP BY sale_id "
         "HAVING COUNT(*) > 1",
         "dedup_keep_one": f"WITH {SALES}, {_first('s')} SELECT {COLUMNS} FROM one",
-        "dedup_stats": f"WITH {SALES} SELECT COUNT(*) AS rows_before, COUNT(DISTINCT sale_id) AS rows_after, "
-        "COUNT(*) - COUNT(DISTINCT sale_id) AS removed FROM s",
+        "dedup_stats": f"WITH {SALES} {_dedup_stats('s')}",
         "dq_rule_counts": f"{s_found}, messages AS ({MESSAGES}) SELECT m.rule, COUNT(f.rule) AS bad_ids "
         "FROM messages m LEFT JOIN found f ON f.rule = m.rule GROUP BY m.rule",
         "dq_violations": f"{s_found} SELECT rule, sale_id FROM found",
         "dq_id_samples": f"{s_found} SELECT rule, CAST(position AS INTEGER) AS position, sale_id FROM (SELECT *, "
         "ROW_NUMBER() OVER (PARTITION BY rule ORDER BY sale_id) AS position FROM found) WHERE position <= 3",
-        "dq_totals": f"""{s_found} SELECT COUNT(*) AS total_rows, COUNT(DISTINCT sale_id) AS total_ids,
-  COUNT(DISTINCT sale_id) FILTER (sale_id IN {BAD}) AS bad_ids,
-  COUNT(DISTINCT sale_id) FILTER (sale_id NOT IN {BAD}) AS clean_ids,
-  COUNT(*) FILTER (sale_id NOT IN {BAD}) AS clean_rows,
-  COUNT(*) - COUNT(DISTINCT sale_id) AS repeated_rows FROM s""",
+        "dq_totals": f"""{s_found}, {_marked('s')}, ids AS (SELECT sale_id, COUNT(*) AS n, ANY_VALUE(bad) AS bad FROM marked GROUP BY sale_id)
+  SELECT CAST(SUM(n) AS BIGINT) AS total_rows, COUNT(*) AS total_ids, COUNT(*) FILTER (bad) AS bad_ids,
+  COUNT(*) FILTER (NOT bad) AS clean_ids, CAST(COALESCE(SUM(n) FILTER (NOT bad), 0) AS BIGINT) AS clean_rows,
+  CAST(SUM(n) AS BIGINT) - COUNT(*) AS repeated_rows FROM ids""",
         "dq_report": report,
         "report_roundtrip": report,
         "clean_rows": clean,
         "quarantine_rows": quarantine,
-        "clean_rows_keep_one": f"{s_one} SELECT {COLUMNS} FROM one WHERE sale_id NOT IN "
-        "(SELECT sale_id FROM found WHERE rule <> 'duplicate')",
+        "clean_rows_keep_one": f"{s_lenient} SELECT {COLUMNS} FROM marked WHERE NOT bad",
         "clean_rows_by_id_list": clean,
         "quarantine_rows_by_id_list": quarantine,
-        "split_counts": f"""{s_one} SELECT (SELECT COUNT(*) FROM s) AS rows_before, COUNT(*) AS rows_deduplicated,
-  COUNT(*) FILTER (sale_id IN {BAD}) AS quarantine_rows,
-  COUNT(*) FILTER (sale_id NOT IN {BAD}) AS clean_rows FROM one""",
-        "split_counts_keep_one": f"""{s_one} SELECT (SELECT COUNT(*) FROM s) AS rows_before, COUNT(*) AS rows_deduplicated,
-  COUNT(*) FILTER (sale_id IN (SELECT sale_id FROM found WHERE rule <> 'duplicate')) AS quarantine_rows,
-  COUNT(*) FILTER (sale_id NOT IN (SELECT sale_id FROM found WHERE rule <> 'duplicate')) AS clean_rows FROM one""",
+        "split_counts": f"{s_marked} {SPLIT_COUNTS}",
+        "split_counts_keep_one": f"{s_lenient} {SPLIT_COUNTS}",
+        "dq_report_keep_one": _report(SALES, "s", STAR_BOUNDS, keep_one=True),
+        "bad_ids_year_to_date": _ids("sale_date < '1998-01-01' OR sale_date > '1998-08-02'"),
+        "clean_rows_null_ids": f"{n_marked} SELECT {COLUMNS} FROM marked WHERE NOT bad",
+        "quarantine_rows_null_ids": f"{n_marked} SELECT {COLUMNS} FROM marked WHERE bad",
+        "dedup_stats_null_ids": f"WITH {SALES}, {NULL_IDS} {_dedup_stats('n')}",
+        "sample_null_key": f"""WITH {SALES}, {NULL_IDS}, {_first('n')} SELECT {COLUMNS} FROM (
+  SELECT *, ROW_NUMBER() OVER (ORDER BY CASE WHEN sale_id IS NULL THEN repeat('0', 32)
+    ELSE md5(concat(CAST(sale_id AS VARCHAR), ':sample:7')) END) AS place FROM one) WHERE place <= 500""",
+        "sample_fraction": f"WITH {SALES} SELECT {COLUMNS} FROM s WHERE {_draw('sample', 0)} < 429496730",
+        "csv_defects": _csv_defects(),
+        "snapshot_rerun_empty": _snapshot(agg, "2026-01-13 12:45:00"),
         "typed_sales": f"WITH {SALES} SELECT sale_id, customer_id, product_id, quantity, price, region, "
         "TRY_CAST(sale_date AS DATE) AS sale_date FROM s",
         "csv_roundtrip": whole,
@@ -232,10 +282,12 @@ def _build() -> dict[str, str]:
         "gen_duplicates": f"WITH {GEN_VALID}, {GEN_COPIES} SELECT * FROM copies",
         "gen_combined": f"WITH {GEN_ALL} SELECT * FROM g",
         "gen_report": _report(GEN_ALL, "g", GEN_BOUNDS),
-        "sales_e2e": _snapshot(f"{s_one}, kept AS ({clean[len(s_one):]}) {_aggregate('kept')}", "2026-01-06 12:45:00"),
+        "sales_e2e": _snapshot(
+            f"{s_marked}, kept AS (SELECT * FROM marked WHERE NOT bad) {_aggregate('kept')}", "2026-01-06 12:45:00"
+        ),
         "gen_e2e": _snapshot(
-            f"WITH {GEN_ALL}, {_found('g', GEN_BOUNDS)}, {_first('g')}, "
-            f"kept AS (SELECT {COLUMNS} FROM one WHERE sale_id NOT IN {BAD}) {_aggregate('kept')}",
+            f"WITH {GEN_ALL}, {_found('g', GEN_BOUNDS)}, {_first('g')}, {_marked('one')}, "
+            f"kept AS (SELECT * FROM marked WHERE NOT bad) {_aggregate('kept')}",
             "2026-01-06 12:45:00",
         ),
     }

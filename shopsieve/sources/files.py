@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from shopsieve.schema import CORRUPT, SALES_RAW
+from shopsieve.schema import CORRUPT, KEY, SALES_RAW
 
 
 def read_csv(
@@ -31,6 +32,16 @@ def read_csv(
     return reader.schema(schema).csv(path)
 
 
+def read_csv_text(spark: SparkSession, path: str, schema: T.StructType = SALES_RAW, key: str = KEY) -> DataFrame:
+    """CSV with a header line, all columns as text, so that rules see what the file says.
+
+    Keys that are numbers are written in one way (``07`` as ``7``), so that equal ones meet.
+    """
+    text = T.StructType([T.StructField(f.name, T.StringType(), True) for f in schema])
+    number = F.col(key).try_cast(schema[key].dataType).cast("string")
+    return read_csv(spark, path, text).withColumn(key, F.coalesce(number, key))
+
+
 def read_parquet(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
     reader = spark.read if schema is None else spark.read.schema(schema)
     return reader.parquet(path)
