@@ -7,6 +7,8 @@ import tempfile
 from collections.abc import Iterator
 from pathlib import Path
 
+import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -63,12 +65,9 @@ def words_of(text: str) -> list[bytes]:
     return utf8(text).split()
 
 
-class Numbers(dict):
-    """Numbers keys in the order in which they are first asked for."""
-
-    def __missing__(self, key: bytes) -> int:
-        self[key] = number = len(self)
-        return number
+def word_hashes(words: list[bytes]) -> np.ndarray:
+    """64-bit hashes (SipHash with a fixed key), the same on every machine."""
+    return pd.util.hash_array(np.array(words, object), categorize=False) if words else np.zeros(0, np.uint64)
 
 
 def rename_apart(df: DataFrame, *names: str) -> str:

@@ -6,8 +6,8 @@ whether that one stays or not. Lines of fewer than ``MIN_TOKENS`` distinct words
 
 The join, with n and m the sizes of two sets:
 
-* Order. A set's words are ordered by rarity: by the counts of a table of ``BUCKETS`` hash buckets,
-  counted over all lines (its size is fixed, so it can be sent to every task), ties by hash.
+* Order. A set's words are ordered by rarity: by the counts of ``BUCKETS`` hash buckets over all lines,
+  ties by bucket, then by hash. The table of ranks has a fixed size, so every task can have it.
 * Prefix filter. Similar sets share one of their first n - ceil(t n) + 1 words. Only these are
   shuffled, in packed blocks by hash of the word.
 * Length and positional filters; and the parity filter: of 64 parity bits of a set, no more differ
@@ -17,24 +17,22 @@ The join, with n and m the sizes of two sets:
   yet decided, against all their other candidates. Groups of more than ``SMALL`` lines that share a
   word are handed to the second round as lists of members, not of pairs.
 
-Words are known by 64-bit hashes (XXH64) throughout.
+Words are known by 64-bit hashes throughout.
 """
 
 from __future__ import annotations
 
 from array import array
-from collections import Counter
 from collections.abc import Callable, Iterator
 from itertools import chain
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shopsieve.llm.common import Numbers, rename_apart, runs, ship_code, utf8
+from shopsieve.llm.common import rename_apart, runs, ship_code, utf8, word_hashes
 from shopsieve.llm.filters import BitFilter, may_be_in
 from shopsieve.sinks.scratch import hand_off
 
@@ -75,9 +73,7 @@ class LineSets:
     """Lines of a run of texts as sorted hash sets in flat arrays: one row per line of MIN_TOKENS words or more."""
 
     def __init__(self, docs: list[int], texts: list[str], wanted: Callable[[np.ndarray, np.ndarray], np.ndarray] | None = None) -> None:
-        numbers = Numbers()
-        number = numbers.__getitem__
-        doc, line, size, flat = array("q"), array("i"), array("i"), array("q")
+        doc, line, size, flat = array("q"), array("i"), array("i"), []
         for key, text in zip(docs, texts, strict=True):
             sets = line_words(text)
             places = [i for i, s in enumerate(sets) if len(s) >= MIN_TOKENS]
@@ -88,19 +84,24 @@ class LineSets:
             line.extend(places)
             for i in places:
                 size.append(len(sets[i]))
-                flat.extend(map(number, sets[i]))
+                flat.extend(sets[i])
         self.doc, self.line = np.frombuffer(doc, np.int64), np.frombuffer(line, np.int32)
         self.size = np.frombuffer(size, np.int32).astype(np.int64)
-        self.numbers = np.frombuffer(flat, np.int64)
-        self.hashes = np.fromiter(map(xxhash.xxh64_intdigest, numbers), np.uint64, len(numbers))
+        self.hashes = word_hashes(flat)
         self.starts = np.cumsum(self.size) - self.size
 
-    def sorted_by(self, rank: np.ndarray) -> np.ndarray:
-        """Word numbers, line by line, in the order of ``rank`` (by number)."""
-        span = max(1, len(rank))
-        by_rank = np.argsort(rank)
-        owner = np.repeat(np.arange(len(self.size)), self.size)
-        return by_rank[np.sort(owner * span + rank[self.numbers]) % span] if len(self.numbers) else self.numbers
+    def sorted_by(self, rank: np.ndarray | None = None) -> np.ndarray:
+        """Word hashes, line by line, in the order of their bucket's ``rank`` if given, then of the hash."""
+        owner = np.repeat(np.arange(len(self.size), dtype=np.uint64), self.size)
+        place = self.hashes % np.uint64(BUCKETS)
+        place = rank[place.astype(np.int64)].astype(np.uint64) if rank is not None else np.zeros(len(place), np.uint64)
+        # line, rank and the first bits of the hash in one number; where that leaves a tie, or lines are many, by all in turn
+        key = owner << np.uint64(44) | place << np.uint64(24) | self.hashes >> np.uint64(40)
+        order = np.argsort(key)
+        ordered = key[order]
+        if len(self.size) >= 1 << 20 or (ordered[1:] == ordered[:-1]).any():
+            order = np.lexsort((self.hashes, place, owner))
+        return self.hashes[order]
 
 
 def count_buckets(docs: DataFrame) -> np.ndarray:
@@ -109,9 +110,8 @@ def count_buckets(docs: DataFrame) -> np.ndarray:
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(BUCKETS, np.int64)
         for _, texts in runs(batches, 0):
-            words = Counter(chain.from_iterable(utf8(t).lower().split() for t in texts))
-            hashes = np.fromiter(map(xxhash.xxh64_intdigest, words), np.uint64, len(words))
-            np.add.at(total, (hashes % np.uint64(BUCKETS)).astype(np.int64), np.fromiter(words.values(), np.int64, len(words)))
+            hashes = word_hashes(list(chain.from_iterable(utf8(t).lower().split() for t in texts)))
+            total += np.bincount((hashes % np.uint64(BUCKETS)).astype(np.int64), minlength=BUCKETS)
         parts = total.reshape(-1, PART)
         used = np.flatnonzero(parts.any(1))
         yield pa.RecordBatch.from_arrays([pa.array(used, pa.int32()), pa.array([p.tobytes() for p in parts[used]], pa.binary())], ["part", "counts"])
@@ -145,18 +145,16 @@ def _unpacked(blobs: list[bytes], counts: list[int]) -> dict[str, np.ndarray]:
 def postings(docs: DataFrame, counts: np.ndarray, t: float) -> DataFrame:
     """Prefix words of all lines, packed by block of words: block, n, blob."""
     blocks = max(24, int(counts.sum() * (1 - t) / BLOCK) + 1)
-    shared = docs.sparkSession.sparkContext.broadcast(counts.astype(np.int64))
+    rank = np.empty(BUCKETS, np.uint32)
+    rank[np.argsort(counts, kind="stable")] = np.arange(BUCKETS, dtype=np.uint32)
+    shared = docs.sparkSession.sparkContext.broadcast(rank)
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts = shared.value
         for batch, texts in runs(batches, 1):
             own = LineSets(batch.column(0).to_pylist(), texts)
             if not len(own.size):
                 continue
-            rank = np.empty(len(own.hashes), np.int64)
-            rank[np.lexsort((own.hashes, counts[(own.hashes % np.uint64(BUCKETS)).astype(np.int64)]))] = np.arange(len(own.hashes))
-            words = own.sorted_by(rank)
-            hashed = own.hashes[words]
+            hashed = own.sorted_by(shared.value)
             parity = np.bitwise_xor.reduceat(np.uint64(1) << (hashed >> np.uint64(20) & np.uint64(63)), own.starts)
             mark = np.bitwise_xor.reduceat(hashed * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(32), own.starts)
             prefix = own.size - _ceil(t * own.size) + 1
@@ -285,9 +283,7 @@ def _similar(pairs: DataFrame, keyed: DataFrame, t: float) -> DataFrame:
             docs = batch.column(0).to_numpy()
             some = np.flatnonzero(wanted.value.has(docs, WHOLE))
             own = LineSets(docs[some].tolist(), [texts[i] for i in some], wanted.value.has)
-            rank = np.empty(len(own.hashes), np.int64)
-            rank[np.argsort(own.hashes)] = np.arange(len(own.hashes))
-            hashed = own.hashes[own.sorted_by(rank)].tobytes()
+            hashed = own.sorted_by().tobytes()
             words = [hashed[8 * a : 8 * (a + n)] for a, n in zip(own.starts, own.size, strict=True)]
             yield pa.RecordBatch.from_arrays([pa.array(own.doc), pa.array(own.line), pa.array(words, pa.binary())], ["doc", "line", "words"])
 
