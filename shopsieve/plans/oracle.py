@@ -78,6 +78,7 @@ def _marked(table: str, which: str = "", name: str = "marked") -> str:
     )
 
 
+# The report lines, in front of the count.
 MESSAGES = """
   SELECT * FROM (VALUES ('duplicate', 'Найдены дубликаты ID: '), ('date_format', 'Неверный формат даты: '),
     ('date_range', 'Дата вне диапазона: '), ('region', 'Неверные регионы: '),

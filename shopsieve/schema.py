@@ -7,7 +7,7 @@ from pyspark.sql import types as T
 
 KEY = "sale_id"
 CORRUPT = "_corrupt_record"
-# What stands in the raw table in place of a date that could not be read.
+# Fixed value: what stands in the raw table in place of a date that could not be read.
 UNREADABLE_DATE = "invalid"
 
 PRICE = T.DecimalType(10, 2)
@@ -51,7 +51,7 @@ SNAPSHOT = _layout(
     ("import_date", T.TimestampNTZType()),
 )
 
-# The types a database declares, for the JDBC writer's createTableColumnTypes. They are written
+# The types a database declares, for the JDBC writer's createTableColumnTypes. They are written
 # as Spark types; a column left out gets what the database's dialect makes of its Spark type.
 SALES_DDL = (
     "sale_id BIGINT, customer_id BIGINT, product_id BIGINT, quantity INT, "

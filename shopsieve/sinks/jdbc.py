@@ -51,11 +51,14 @@ def save_jdbc(
     mode: str = "overwrite",
     schema: T.StructType | None = None,
     column_types: str | None = None,
+    connections: int = 16,
+    batch_rows: int = 10_000,
 ) -> None:
-    """``mode`` is ``overwrite`` or ``append``."""
+    """``mode`` is ``overwrite`` or ``append``; for the rest see ``write_options``."""
     if schema is not None:
         assert_schema(df, schema)
-    df.write.format("jdbc").options(**write_options(connection, table, column_types)).mode(mode).save()
+    options = write_options(connection, table, column_types, connections, batch_rows)
+    df.write.format("jdbc").options(**options).mode(mode).save()
 
 
 def not_yet_loaded(rows: DataFrame, table: DataFrame, import_ts: datetime) -> DataFrame:

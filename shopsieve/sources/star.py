@@ -29,8 +29,9 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def sales_from_star(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One sale per order line. Line numbers repeat within an order, so some ids do too.
 
-    The region is joined to the orders first, so that the lines, by far the largest table,
-    are shuffled for it once, by order; prices are cast per product, not per line. The join
+    The region is joined to the orders first, so that the lines, by far the largest table, are
+    shuffled for it by order alone (and by product, where prices are too many to broadcast);
+    prices are cast per product, not per line. The join
     by order comes last: after one by product, an aggregation per product would need no
     shuffle of its own, and a hot product would stay whole in one task. Join strategies are
     left to the planner.
