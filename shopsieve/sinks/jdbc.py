@@ -82,5 +82,7 @@ def append_snapshot_jdbc(
     """
     rows = snapshot_rows(aggregated, import_ts)
     if not first:
-        rows = not_yet_loaded(rows, read_jdbc(aggregated.sparkSession, connection, table), import_ts)
+        # import dates have no zone; read as instants they would shift with the session's
+        loaded = read_jdbc(aggregated.sparkSession, {**connection, "preferTimestampNTZ": "true"}, table)
+        rows = not_yet_loaded(rows, loaded, import_ts)
     save_jdbc(rows, connection, table, "append", SNAPSHOT, SNAPSHOT_DDL)
