@@ -36,9 +36,12 @@ UNIT = 4
 
 # Kinds of HTML elements, and words in class or id that name a region.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = frozenset("script style textarea noscript template iframe svg math object".split())
+RAW = frozenset("script style textarea iframe".split())  # text up to the literal end tag
+HIDDEN = frozenset("svg template annotation annotation-xml".split())  # parts of their own, which may nest
 INLINE = frozenset(
     "a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q s samp small span strike strong sub sup time tt u var".split()
+    + "noscript object math maction menclose merror mfenced mfrac mi mmultiscripts mn mo mover mpadded mphantom mroot mrow ms mspace msqrt mstyle".split()
+    + "msub msubsup msup mtable mtd mtext mtr munder munderover semantics".split()
 )
 CLOSED_BY = {  # an open element of the key ends where one of these begins
     "p": frozenset(
@@ -66,6 +69,7 @@ TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<![^>]*>?|<\?[^>]*>?|<(/?)([A-Za-z][A-Za-z0-9:-]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|\Z)|<[^A-Za-z/!?<][^<]*|</?[^<]*|[^<]+",
     re.DOTALL,
 )
+ENDS = {tag: re.compile(rf"<(/?){tag}(?=[\s/>])[^>]*(?:>|\Z)", re.IGNORECASE) for tag in RAW | HIDDEN}
 NAMED = re.compile(r"\b(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.IGNORECASE)
 
 
@@ -113,13 +117,28 @@ def _label(tag: str, attributes: str) -> str:
     return ".".join([tag, *sorted({w for w in words if w})])
 
 
+def _past(page: str, tag: str, at: int) -> int:
+    """Where the page goes on after the raw or hidden element that opened before ``at``.
+
+    As in browsers, a raw element without its end tag is the rest of the page; a hidden one is passed over.
+    """
+    depth = 1
+    for found in ENDS[tag].finditer(page, at):
+        if found.group(1):
+            depth -= 1
+        elif tag in HIDDEN and not found.group().endswith("/>"):
+            depth += 1
+        if not depth:
+            return found.end()
+    return at if tag in HIDDEN else len(page)
+
+
 def parse(page: str) -> Node:
     """The page as a tree: missing end tags are supplied, inline tags dropped, texts decoded and trimmed."""
     root = Node("")
     stack: list[tuple[str, Node]] = [("", root)]
     text: list[str] = []
-    linked = links = 0
-    skip = ""
+    linked = links = at = 0
 
     def flush() -> None:
         nonlocal linked
@@ -131,44 +150,43 @@ def parse(page: str) -> Node:
             stack[-1][1].children.append(node)
         linked = 0
 
-    for found in TOKEN.finditer(page):
-        end, tag, attributes = found.groups()
-        if skip:
-            if tag and end and tag.lower() == skip:
-                skip = ""
-            continue
-        if tag is None:
-            part = found.group()
-            if not part.startswith(("<!", "<?", "</")):
-                text.append(part)
-                linked += len(part) * bool(links)
-            continue
-        tag = tag.lower()
-        if tag in INLINE:
-            links = max(0, links + (-1 if end else 1)) if tag == "a" else links
-        elif tag in VOID:
-            if tag == "hr":
+    while at < len(page):
+        for found in TOKEN.finditer(page, at):
+            at = found.end()
+            end, tag, attributes = found.groups()
+            if tag is None:
+                part = found.group()
+                if not part.startswith(("<!", "<?", "</")):
+                    text.append(part)
+                    linked += len(part) * bool(links)
+                continue
+            tag = tag.lower()
+            if tag in INLINE:
+                links = max(0, links + (-1 if end else 1)) if tag == "a" else links
+            elif tag in VOID:
+                if tag == "hr":
+                    flush()
+                else:
+                    text.append(" ")
+            elif tag in ENDS:
+                text.append(" ")
+                if not end and not attributes.endswith("/"):
+                    at = _past(page, tag, at)
+                    break  # the search goes on from there
+            elif end:
+                place = next((i for i in range(len(stack) - 1, 0, -1) if stack[i][0] == tag), 0)
                 flush()
+                if place:
+                    del stack[place:]
+                links = 0
             else:
-                text.append(" ")
-        elif tag in RAW:
-            if not end and not attributes.endswith("/"):
-                skip = tag
-            text.append(" ")
-        elif end:
-            at = next((i for i in range(len(stack) - 1, 0, -1) if stack[i][0] == tag), 0)
-            flush()
-            if at:
-                del stack[at:]
-            links = 0
-        else:
-            flush()
-            links = 0
-            while len(stack) > 1 and tag in CLOSED_BY.get(stack[-1][0], ()):
-                stack.pop()
-            node = Node(_label(tag, attributes))
-            stack[-1][1].children.append(node)
-            stack.append((tag, node))
+                flush()
+                links = 0
+                while len(stack) > 1 and tag in CLOSED_BY.get(stack[-1][0], ()):
+                    stack.pop()
+                node = Node(_label(tag, attributes))
+                stack[-1][1].children.append(node)
+                stack.append((tag, node))
     flush()
     return root
 

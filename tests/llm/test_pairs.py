@@ -170,6 +170,33 @@ def test_main_text(spark, home):
     assert wrappers.main_text(pages.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize(
+    "raw",
+    [
+        "<script>for(i=0;i<n;i++){a[i]=0}</script>",
+        "<SCRIPT type='x'>s='<!--';t='</p>';u='</scripty>'</Script\n>",
+        "<script>if(a<b||c>'d')x()</script ><style>a::before{content:'<b \"'}</style>",
+        "<svg viewBox='0'><svg/><svg><text>no</text></svg><style>/*<i*/</style></svg>",
+        "<template><template>no</template><p>no</template>",
+        "<textarea>a <b</textarea><iframe src='x'>1<i</iframe>",
+        "</script>",
+    ],
+)
+def test_raw_elements_end_at_their_own_end_tag(raw):
+    page = wrappers.parse(f"<body>{raw}<article><h1>Title</h1>{raw}<p>One {raw} two</p><p>three</p></article>{raw}</body>")
+    assert wrappers.extract(page, wrappers.decide(wrappers.stream(page))) == "Title\n\nOne two\n\nthree"
+
+
+def test_formulas_objects_and_noscript_are_text():
+    page = wrappers.parse(
+        "<article><p>Let <math><mi>x</mi><mo>=</mo><mn>2</mn><annotation encoding='t'>x=2</annotation></math> be</p>"
+        "<object data='f'><p>A film</p></object><noscript><p>without <b>script</b></p></noscript></article>"
+    )
+    assert wrappers.extract(page, wrappers.decide(wrappers.stream(page))) == "Let x=2 be\n\nA film\n\nwithout script"
+    cut = wrappers.parse("<article><p>One</p><svg><p>two</p></article>")
+    assert wrappers.extract(cut, wrappers.decide(wrappers.stream(cut))) == "One\n\ntwo"
+
+
 def test_pipeline_on_edge_rows(spark, edge_docs, tmp_path):
     import corpus_pipeline
 
