@@ -297,6 +297,8 @@ def align(xs: list[Node], ys: list[Node]) -> list[Node]:
 
 
 def _aside(label: str) -> bool:
+    if label.startswith("("):  # a group; its members are judged one by one
+        return False
     tag, *words = label.split(".")
     return tag in ASIDE_TAGS or not ASIDE_WORDS.isdisjoint(words)
 
@@ -315,7 +317,7 @@ def _container(root: Node) -> Node:
         if _aside(node.label):
             return []
         inner = [x for c in node.children for x in within(c, wanted)]
-        return [node, *inner] if wanted(node.label) else inner
+        return [node, *inner] if wanted(node.label) and not node.label.startswith("(") else inner
 
     for wanted in (
         lambda label: label.split(".")[0] == "article",
@@ -336,12 +338,17 @@ def _container(root: Node) -> Node:
     return node
 
 
+def _named(home: Node) -> bool:
+    return home.label.split(".")[0] in ("article", "main")
+
+
 def decide(root: Node) -> Node:
-    """Mark the slots that hold the article."""
+    """Mark the slots that hold the article, and the container and its parts, where a page may have more."""
     home = _container(root)
-    named = home is not root and home.label.split(".")[0] in ("article", "main")
+    named = _named(home)
 
     def mark(node: Node, heading_only: bool) -> None:
+        node.keep = True
         for child in node.children:
             if child.label == "#":
                 # outside a named article, texts that never change or are mostly links are the site's own
@@ -355,26 +362,54 @@ def decide(root: Node) -> Node:
 
 
 def extract(page: Node, wrapper: Node) -> str:
-    """Texts of the page in the wrapper's kept slots, in page order."""
-    out: list[str] = []
+    """Texts of the page in the wrapper's kept slots, in page order.
 
-    def walk(nodes: list[Node], pattern: list[Node]) -> None:
-        folded = absorb(fold(nodes), pattern)
-        for i, j in matches(folded, pattern):
-            if i is None or j is None:
+    Parts of the article's container that the wrapper's sequence does not match are decided like the
+    container: they stay but for side regions. A page without that container has one of its own.
+    """
+    out: list[str] = []
+    home: Node | None = None  # the container, once the page has reached it
+
+    def rest(node: Node, above: str, heading_only: bool) -> None:
+        if node.label == "#":
+            stray = not _named(home) and 2 * node.linked > node.chars
+            if not stray and (not heading_only or above in HEADINGS):
+                out.append(node.text)
+        elif not _aside(node.label):
+            tag = node.label.split(".")[0]
+            for child in node.children:
+                rest(child, tag, heading_only or tag == "header")
+
+    def walk(nodes: list[Node], pattern: Node, above: str, heading_only: bool) -> None:
+        nonlocal home
+        if pattern.keep and home is None:
+            home = pattern
+        folded = absorb(fold(nodes), pattern.children)
+        for i, j in matches(folded, pattern.children):
+            if i is None:
+                continue
+            if j is None:
+                if pattern.keep:
+                    for part in folded[i].parts:
+                        for node in part:
+                            rest(node, above, heading_only)
                 continue
+            slot = pattern.children[j]
             for part in folded[i].parts:
-                if folded[i].label.startswith("("):
-                    walk(part, pattern[j].children)
+                if slot.label.startswith("("):
+                    walk(part, slot, above, heading_only)
                     continue
                 for node in part:
                     if node.label == "#":
-                        if pattern[j].keep:
+                        if slot.keep:
                             out.append(node.text)
                     else:
-                        walk(node.children, pattern[j].children)
+                        tag = node.label.split(".")[0]
+                        walk(node.children, slot, tag, slot.keep and (heading_only or tag == "header"))
 
-    walk(page.children, wrapper.children)
+    walk(page.children, wrapper, "", False)
+    if home is None:
+        walk(page.children, decide(stream(page)), "", False)
     return "\n\n".join(out)
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import itertools
 import random
 
 import pytest
@@ -197,6 +198,50 @@ def test_formulas_objects_and_noscript_are_text():
     assert wrappers.extract(cut, wrappers.decide(wrappers.stream(cut))) == "One\n\ntwo"
 
 
+def blocks_of(names, k):
+    """A page of these blocks in its article, and its text."""
+    made = {
+        "p": ("<p>p{0} words</p>", ["p{0} words"]),
+        "ul": ("<ul><li>l{0} one</li><li>l{0} two</li></ul>", ["l{0} one", "l{0} two"]),
+        "h3": ("<h3>h{0}</h3>", ["h{0}"]),
+        "table": ("<table><tr><td>t{0}</td></tr></table>", ["t{0}"]),
+        "quote": ("<blockquote><p>q{0}</p><ul><li>q{0} x</li></ul></blockquote>", ["q{0}", "q{0} x"]),
+        "div": ("<div class='ad.x big'>no{0}</div>", []),
+        "#": ("<hr>bare {0} text<hr>", ["bare {0} text"]),
+    }
+    body = "".join(made[n][0].format(f"{k}.{i}") for i, n in enumerate(names))
+    text = "\n\n".join(t.format(f"{k}.{i}") for i, n in enumerate(names) for t in made[n][1])
+    return f"<body><nav><a>x</a></nav><article{' class=b' * (k % 5 == 4)}>{body}</article><footer>us</footer></body>", text
+
+
+def texts_by_host(pages, parts):
+    trees = []
+    for part in range(parts):
+        own = [wrappers.stream(wrappers.parse(p)) for p in pages[part::parts]]
+        for tree in own[1:]:
+            own[0] = wrappers.merged(own[0], tree)
+        trees += own[:1]
+    for tree in trees[1:]:
+        trees[0] = wrappers.merged(trees[0], wrappers.unpack(wrappers.pack(tree)))
+    wrapper = wrappers.unpack(wrappers.pack(wrappers.decide(trees[0])))
+    return [wrappers.extract(wrappers.parse(p), wrapper) for p in pages]
+
+
+@pytest.mark.parametrize("order", list(itertools.permutations(range(3))))
+def test_blocks_that_the_wrapper_does_not_match_stay(order):
+    sequences = [["p", "ul", "h3"], ["p", "table", "ul", "h3"], ["p", "ul", "p", "ul"]]
+    pages, want = zip(*(blocks_of(sequences[k], k) for k in order), strict=True)
+    assert texts_by_host(list(pages), 1) == list(want)
+
+
+@pytest.mark.parametrize("seed", range(30))
+def test_mixed_blocks_in_any_order(seed):
+    rng = random.Random(seed)
+    sequences = [rng.choices(["p", "ul", "h3", "table", "quote", "div", "#"], k=rng.randint(1, 12)) for _ in range(12)]
+    pages, want = zip(*(blocks_of(["p", *names], k) for k, names in enumerate(sequences)), strict=True)
+    assert texts_by_host(list(pages), 1 + seed % 4) == list(want)
+
+
 def test_pipeline_on_edge_rows(spark, edge_docs, tmp_path):
     import corpus_pipeline
 
