@@ -6,11 +6,11 @@ entries: whole words (`` word ``) and stems (`` stem``). A word's weight is that
 entry; words inside an exception phrase weigh nothing. The sum, divided by ``1 + log(1 + words /
 UNIT_WORDS)``, goes through a logistic curve.
 
-The lexicon is learned from labels. Entries that ``MIN_TOXIC`` toxic documents or more hold are
-counted in all labelled documents (the ``CANDIDATES`` most frequent of them: a bound on the model,
-documented here). Weights are log odds less ``CAUTION`` standard errors; kept are at most ``ENTRIES``,
-those of at least ``MIN_SHARE`` of the heaviest one's weight. Exceptions are phrases of two words around an entry that clean documents
-hold and toxic ones do not. Counting and calibration are grouped sums over all training rows.
+The lexicon is learned from labels. All entries are counted in all labelled documents, and those that
+``MIN_TOXIC`` toxic documents or more hold are weighed. Weights are log odds less ``CAUTION`` standard
+errors; kept are those of at least ``MIN_SHARE`` of the heaviest one's weight, but for entries that a
+stem of theirs outweighs, which never count. Exceptions are phrases of two words around an entry that
+clean documents hold and toxic ones do not. Counting and calibration are grouped sums over all training rows.
 """
 
 from __future__ import annotations
@@ -30,9 +30,6 @@ from shopsieve.llm.common import runs, ship_code
 
 STEMS = (4, 5, 6, 7, 8)
 MIN_TOXIC = 5
-CANDIDATES = 100_000
-ENTRIES = 5_000
-EXCEPTIONS = 5_000
 MIN_EXCEPTION = 3
 CAUTION = 2.0
 MIN_SHARE = 0.45
@@ -60,6 +57,16 @@ def entries_of(words: list[str]) -> set[str]:
     return {f" {w} " for w in distinct} | {f" {w[:n]}" for w in distinct for n in STEMS if len(w) >= n}
 
 
+def effective(weights: dict[str, float]) -> dict[str, float]:
+    """Without entries that a stem of theirs outweighs: it is found wherever they are, so no text's weight changes."""
+
+    def stems(entry: str) -> list[str]:
+        word = entry.strip()
+        return [f" {word[:n]}" for n in STEMS if n < len(word) or (n == len(word) and entry.endswith(" "))]
+
+    return {e: w for e, w in weights.items() if all(weights.get(s, -np.inf) < w for s in stems(e))}
+
+
 @dataclass
 class Lexicon:
     weights: dict[str, float] = field(default_factory=dict)
@@ -126,21 +133,15 @@ def learn(rows: DataFrame) -> Lexicon:
     if len(totals) < 2:
         return Lexicon()
 
-    def in_toxic(texts: list[str], labels: list[int]) -> Counter:
-        return Counter((e, 1) for t, x in zip(texts, labels, strict=True) if x for e in entries_of(folded(t)))
-
-    often = _counted(rows.filter("toxic = 1"), in_toxic).filter(F.col("toxic") >= MIN_TOXIC)
-    candidates = frozenset(r["key"] for r in often.orderBy(F.desc("toxic"), "key").limit(CANDIDATES).collect())
-
-    def both(texts: list[str], labels: list[int]) -> Counter:
-        return Counter((e, x) for t, x in zip(texts, labels, strict=True) for e in entries_of(folded(t)) & candidates)
+    def entries(texts: list[str], labels: list[int]) -> Counter:
+        return Counter((e, x) for t, x in zip(texts, labels, strict=True) for e in entries_of(folded(t)))
 
     t, c = F.col("toxic") + 0.5, F.col("clean") + 0.5
     odds = F.log(t / F.lit(totals[1] + 1.0)) - F.log(c / F.lit(totals[0] + 1.0))
     weight = odds - CAUTION * F.sqrt(1 / t + 1 / c)
-    weighed = _counted(rows, both).select("key", weight.alias("weight")).filter(F.col("weight") > 0)
-    heaviest = weighed.orderBy(F.desc("weight"), "key").limit(ENTRIES).collect()
-    lexicon = Lexicon({r["key"]: r["weight"] for r in heaviest if r["weight"] >= MIN_SHARE * heaviest[0]["weight"]})
+    weighed = _counted(rows, entries).filter(F.col("toxic") >= MIN_TOXIC).select("key", weight.alias("weight")).filter(F.col("weight") > 0).collect()
+    least = MIN_SHARE * max((r["weight"] for r in weighed), default=0.0)
+    lexicon = Lexicon(effective({r["key"]: r["weight"] for r in weighed if r["weight"] >= least}))
 
     def phrases(texts: list[str], labels: list[int]) -> Counter:
         found: Counter = Counter()
@@ -161,7 +162,7 @@ def learn(rows: DataFrame) -> Lexicon:
         return found
 
     excused = _counted(rows, phrases).filter((F.col("toxic") == 0) & (F.col("clean") >= MIN_EXCEPTION))
-    lexicon.exceptions = frozenset(r["key"] for r in excused.orderBy(F.desc("clean"), "key").limit(EXCEPTIONS).collect())
+    lexicon.exceptions = frozenset(r["key"] for r in excused.select("key").collect())
 
     def bins(texts: list[str], labels: list[int]) -> Counter:
         automaton = lexicon.automaton()

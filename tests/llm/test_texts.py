@@ -195,6 +195,32 @@ def test_toxicity_learns_only_from_rows_that_are_not_held_out(spark, no_docs):
     assert toxicity.toxicity(no_docs, labels).count() == 0
 
 
+def test_rarer_words_are_weighed_among_many_frequent_ones(spark):
+    rng = np.random.default_rng(5)
+    ordinary = " ".join("".join(rng.choice(list("abcdefgh"), 10)) for _ in range(21_000))
+    rows = [(f"{ordinary} {'grubnak' if k < 10 else ''}", 1) for k in range(12)] + [(ordinary, 0) for _ in range(30)]
+    lexicon = toxicity.learn(spark.createDataFrame(rows, "text string, toxic int").repartition(8))
+    automaton = lexicon.automaton()
+    assert lexicon.measure(automaton, "a grubnak") > 0 and lexicon.measure(automaton, rows[-1][0]) == 0
+
+
+def test_all_exception_phrases_count(spark):
+    phrases = " ".join(f"vile x{chr(97 + k // 676)}{chr(97 + k // 26 % 26)}{chr(97 + k % 26)}" for k in range(6_000))
+    rows = [(f"so vile {'abcdefghijklmnopqrstuvwxyz'[k % 26] * 3}", 1) for k in range(30)] + [("so good", 0)] * 37 + [(phrases, 0)] * 3
+    lexicon = toxicity.learn(spark.createDataFrame(rows, "text string, toxic int").repartition(4))
+    automaton = lexicon.automaton()
+    assert lexicon.measure(automaton, "vile") > 0 and lexicon.measure(automaton, phrases) == 0
+
+
+def test_outweighed_entries_never_count():
+    weights = {" trash ": 2.0, " tras": 2.0, " trashy": 3.0, " trashier ": 1.0, " idiot ": 3.0, " idio": 2.0, " bad ": 1.0, " moro": 1.0, " moro ": 1.5}
+    few = toxicity.effective(weights)
+    assert set(few) == set(weights) - {" trash ", " trashier "}
+    for text in ("trash trashy trashier trasher", "idiot idiotic idio bad badly", "moro moron"):
+        a, b = (toxicity.Lexicon(w) for w in (weights, few))
+        assert a.hits(a.automaton(), text.split()) == b.hits(b.automaton(), text.split())
+
+
 def test_exception_phrases_and_folding():
     lexicon = toxicity.Lexicon({" trash ": 5.0, " idio": 3.0}, frozenset([" trash can "]), 1.0, -2.0)
     automaton = lexicon.automaton()
