@@ -3,20 +3,23 @@
 Folding lower-cases, strips accents, maps homoglyphs to Latin letters and digits or signs to the
 letters they stand for. The folded words, one space between them, are searched for the lexicon's
 entries: whole words (`` word ``) and stems (`` stem``). A word's weight is that of its heaviest
-entry; words inside an exception phrase weigh nothing. The sum, divided by ``1 + log(1 + words /
-UNIT_WORDS)``, goes through a logistic curve.
+entry; words inside an exception phrase weigh nothing. The sums over bands of weights (``BANDS``),
+divided by ``1 + log(1 + words / UNIT_WORDS)``, go through a logistic curve with a slope for each band,
+so that many weak entries of a large corpus do not drown the strong ones.
 
 The lexicon is learned from labels. All entries are counted in all labelled documents, and those that
 ``MIN_TOXIC`` toxic documents or more hold are weighed. Weights are log odds less ``CAUTION`` standard
-errors; kept are those of at least ``MIN_SHARE`` of the heaviest one's weight, but for entries that a
-stem of theirs outweighs, which never count. Exceptions are phrases of two words around an entry that
+errors, that is a lower bound; kept are those above ``MIN_WEIGHT``, a test that is the same at any size,
+but for entries that a stem of theirs outweighs, which never count. Exceptions are phrases of two words around an entry that
 clean documents hold and toxic ones do not. Counting and calibration are grouped sums over all training rows.
 """
 
 from __future__ import annotations
 
+import math
 import re
 import unicodedata
+from bisect import bisect_right
 from collections import Counter, defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass, field
@@ -26,15 +29,20 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shopsieve.llm.common import runs, ship_code
+from shopsieve.llm.common import runs, ship_code, utf8, word_hashes
+from shopsieve.llm.filters import BitFilter, may_be_in
+from shopsieve.sinks.scratch import hand_off
 
 STEMS = (4, 5, 6, 7, 8)
 MIN_TOXIC = 5
 MIN_EXCEPTION = 3
 CAUTION = 2.0
-MIN_SHARE = 0.45
+MIN_WEIGHT = 1.0
 UNIT_WORDS = 100
-BINS, BIN = 800, 0.05
+#: Lower ends of the bands of weights.
+BANDS = (0.0, 2.0, 3.0, 4.0, 5.0)
+#: Steps of a band's sum in the calibration, a power of e apart; sums beyond the last count as it.
+STEPS, LAST = 16, 64
 
 # Letters of other scripts that look like Latin ones, and signs that stand for letters.
 HOMOGLYPHS = dict(zip("абвгеорсухікмнтјѕԁӏαβεικνορτυχ", "abbreopcyxikmhtjsdiabeikvoptux", strict=True))
@@ -71,7 +79,7 @@ def effective(weights: dict[str, float]) -> dict[str, float]:
 class Lexicon:
     weights: dict[str, float] = field(default_factory=dict)
     exceptions: frozenset[str] = frozenset()
-    slope: float = 0.0
+    slope: float | np.ndarray = 0.0
     offset: float = -10.0
 
     def automaton(self):
@@ -103,12 +111,20 @@ class Lexicon:
                 del found[at]
         return found
 
-    def measure(self, automaton, text: str) -> float:
+    def bands(self, automaton, text: str) -> list[float]:
+        """Weights found in the text, summed by band, for its length."""
         words = folded(text)
-        return sum(self.hits(automaton, words).values()) / (1 + np.log1p(len(words) / UNIT_WORDS))
+        sums, unit = [0.0] * len(BANDS), 1 + math.log1p(len(words) / UNIT_WORDS)
+        for weight in self.hits(automaton, words).values():
+            sums[bisect_right(BANDS, weight) - 1] += weight / unit
+        return sums
+
+    def measure(self, automaton, text: str) -> float:
+        return sum(self.bands(automaton, text))
 
     def score(self, measured: np.ndarray) -> np.ndarray:
-        return 1 / (1 + np.exp(-np.clip(self.slope * measured + self.offset, -30, 30)))
+        """Of rows of band sums."""
+        return 1 / (1 + np.exp(-np.clip((measured * self.slope).sum(1) + self.offset, -30, 30)))
 
 
 def _counted(rows: DataFrame, count) -> DataFrame:
@@ -126,6 +142,12 @@ def _counted(rows: DataFrame, count) -> DataFrame:
     return mapped.groupBy("key").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
 
 
+def _hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        hashes = word_hashes([utf8(k) for k in batch.column(0).to_pylist()])
+        yield pa.RecordBatch.from_arrays([pa.array(hashes.view(np.int64))], ["hash"])
+
+
 def learn(rows: DataFrame) -> Lexicon:
     """Fit on ``rows`` (text, toxic 0 or 1); without rows of both kinds every text scores near 0."""
     ship_code(rows.sparkSession)
@@ -136,12 +158,21 @@ def learn(rows: DataFrame) -> Lexicon:
     def entries(texts: list[str], labels: list[int]) -> Counter:
         return Counter((e, x) for t, x in zip(texts, labels, strict=True) for e in entries_of(folded(t)))
 
+    often = _counted(rows.filter("toxic = 1"), entries).filter(F.col("toxic") >= MIN_TOXIC).select("key")
+    # a table of a fixed size that loses no entry held by MIN_TOXIC toxic documents and spares the shuffle most others
+    wanted = rows.sparkSession.sparkContext.broadcast(BitFilter.of(often.mapInArrow(_hashed, "hash long")))
+
+    def wanted_entries(texts: list[str], labels: list[int]) -> Counter:
+        found = entries(texts, labels)
+        keys = list(found)
+        passed = wanted.value.has(word_hashes([utf8(k) for k, _ in keys]).view(np.int64)) if keys else []
+        return Counter({k: found[k] for k, ok in zip(keys, passed, strict=True) if ok})
+
     t, c = F.col("toxic") + 0.5, F.col("clean") + 0.5
     odds = F.log(t / F.lit(totals[1] + 1.0)) - F.log(c / F.lit(totals[0] + 1.0))
     weight = odds - CAUTION * F.sqrt(1 / t + 1 / c)
-    weighed = _counted(rows, entries).filter(F.col("toxic") >= MIN_TOXIC).select("key", weight.alias("weight")).filter(F.col("weight") > 0).collect()
-    least = MIN_SHARE * max((r["weight"] for r in weighed), default=0.0)
-    lexicon = Lexicon(effective({r["key"]: r["weight"] for r in weighed if r["weight"] >= least}))
+    weighed = _counted(rows, wanted_entries).filter(F.col("toxic") >= MIN_TOXIC).select("key", weight.alias("weight")).filter(F.col("weight") > MIN_WEIGHT).collect()
+    lexicon = Lexicon(effective({r["key"]: r["weight"] for r in weighed}))
 
     def phrases(texts: list[str], labels: list[int]) -> Counter:
         found: Counter = Counter()
@@ -164,30 +195,49 @@ def learn(rows: DataFrame) -> Lexicon:
     excused = _counted(rows, phrases).filter((F.col("toxic") == 0) & (F.col("clean") >= MIN_EXCEPTION))
     lexicon.exceptions = frozenset(r["key"] for r in excused.select("key").collect())
 
-    def bins(texts: list[str], labels: list[int]) -> Counter:
+    def steps(texts: list[str], labels: list[int]) -> Counter:
         automaton = lexicon.automaton()
-        return Counter((str(min(BINS, int(lexicon.measure(automaton, t) / BIN))), x) for t, x in zip(texts, labels, strict=True))
+        return Counter((",".join(str(_step(v)) for v in lexicon.bands(automaton, t)), x) for t, x in zip(texts, labels, strict=True))
 
-    counted = _counted(rows, bins).collect()
-    x = np.array([(int(r["key"]) + 0.5) * BIN for r in counted])
+    counted = _counted(rows, steps).collect()
+    x = np.array([[_amount(int(k)) for k in r["key"].split(",")] for r in counted])
     lexicon.slope, lexicon.offset = _logistic(x, np.array([r["toxic"] for r in counted], float), np.array([r["clean"] for r in counted], float))
     return lexicon
 
 
-def _logistic(x: np.ndarray, toxic: np.ndarray, clean: np.ndarray, ridge: float = 0.1) -> tuple[float, float]:
-    """Slope and offset of the likeliest logistic curve, by damped Newton steps."""
+def _step(amount: float) -> int:
+    return min(LAST, 1 + int(STEPS * math.log1p(amount))) if amount else 0
+
+
+def _amount(step: int) -> float:
+    return math.expm1((step - 0.5) / STEPS) if step else 0.0
+
+
+def _logistic(x: np.ndarray, toxic: np.ndarray, clean: np.ndarray, ridge: float = 0.1) -> tuple[np.ndarray, float]:
+    """Slopes (none negative) and offset of the likeliest logistic curve, by damped Newton steps."""
     scale = 2000 / max((toxic + clean).sum(), 1)
     toxic, clean = toxic * scale, clean * scale
-    design, beta = np.column_stack([x, np.ones_like(x)]), np.zeros(2)
+    used = np.ones(x.shape[1], bool)
+    while True:
+        beta = _newton(np.column_stack([x[:, used], np.ones(len(x))]), toxic, clean, ridge)
+        if (beta[:-1] >= 0).all():
+            slope = np.zeros(len(used))
+            slope[used] = beta[:-1]
+            return slope, float(beta[-1])
+        used[np.flatnonzero(used)[np.argmin(beta[:-1])]] = False
+
+
+def _newton(design: np.ndarray, toxic: np.ndarray, clean: np.ndarray, ridge: float) -> np.ndarray:
+    beta = np.zeros(design.shape[1])
     for _ in range(100):
         p = 1 / (1 + np.exp(-np.clip(design @ beta, -30, 30)))
         slope = design.T @ (toxic - (toxic + clean) * p) - ridge * beta
-        curve = (design * ((toxic + clean) * p * (1 - p))[:, None]).T @ design + ridge * np.eye(2)
+        curve = (design * ((toxic + clean) * p * (1 - p))[:, None]).T @ design + ridge * np.eye(len(beta))
         step = np.linalg.solve(curve, slope)
         beta = beta + step * min(1.0, 4.0 / max(np.abs(step).max(), 1e-9))
         if np.abs(step).max() < 1e-6:
             break
-    return float(beta[0]), float(beta[1])
+    return beta
 
 
 def score(docs: DataFrame, lexicon: Lexicon) -> DataFrame:
@@ -200,7 +250,7 @@ def score(docs: DataFrame, lexicon: Lexicon) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         automaton = lexicon.automaton()
         for batch, texts in runs(batches, 1):
-            scores = lexicon.score(np.array([lexicon.measure(automaton, t) for t in texts]))
+            scores = lexicon.score(np.array([lexicon.bands(automaton, t) for t in texts]))
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(scores), pa.array((scores >= 0.5).astype(np.int32))], ["doc_id", "score", "predicted"]
             )
@@ -219,6 +269,8 @@ def toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
     Null ids and null labels teach nothing; an id labelled twice is toxic if any label says so.
     """
     taught = labels.filter("doc_id is not null and toxic is not null").groupBy(F.col("doc_id").cast("long").alias("label_id")).agg((F.max("toxic") > 0).cast("int").alias("toxic"))
-    rows = docs.filter(~held_out()).select(F.col("doc_id").cast("long").alias("label_id"), F.col("text").alias("text"))
-    train = rows.join(taught, "label_id").select("text", "toxic")
+    rows = docs.filter(~held_out() & F.col("doc_id").cast("long").isNotNull()).select(F.col("doc_id").cast("long").alias("label_id"), F.col("text").alias("text"))
+    # only texts that may have a label are shuffled, once for all passes over them
+    rows = rows.filter(may_be_in(taught.select("label_id"), F.col("label_id")))
+    train = hand_off(rows.join(taught, "label_id").select("text", "toxic"), "toxicity-training")
     return score(docs, learn(train)).select("doc_id", held_out().alias("held_out"), "score", "predicted")

@@ -212,6 +212,26 @@ def test_all_exception_phrases_count(spark):
     assert lexicon.measure(automaton, "vile") > 0 and lexicon.measure(automaton, phrases) == 0
 
 
+def test_weaker_entries_count_at_any_size(spark):
+    """The heaviest entry's weight grows with the rows; a word of few toxic rows counts all the same."""
+    for times in (1, 30):
+        rows = [(f"so you grubnak {k}", 1) for k in range(400 * times)] + [(f"a plain day {k}", 0) for k in range(600 * times)]
+        rows += [("such a vorwick day", 1)] * 40 + [("such a plain day", 0)] * 40
+        lexicon = toxicity.learn(spark.createDataFrame(rows, "text string, toxic int"))
+        automaton = lexicon.automaton()
+        assert lexicon.measure(automaton, "vorwick") > 0 and lexicon.measure(automaton, "such a plain day") == 0
+        weak, clean = lexicon.score(np.array([lexicon.bands(automaton, t) for t in ("such a vorwick day", "such a plain day")]))
+        assert weak >= 0.5 > clean
+
+
+def test_weak_bands_do_not_drown_strong_ones():
+    """Rows: sums of two bands; the first is noise, the second tells."""
+    x = np.array([[v, s] for v in (0.0, 4.0, 8.0) for s in (0.0, 3.0)])
+    slope, offset = toxicity._logistic(x, np.array([0, 9, 0, 6, 0, 5.0]), np.array([40, 0, 60, 0, 80, 0.0]))
+    predicted = x @ slope + offset >= 0
+    assert (slope >= 0).all() and (predicted == (x[:, 1] > 0)).all()
+
+
 def test_outweighed_entries_never_count():
     weights = {" trash ": 2.0, " tras": 2.0, " trashy": 3.0, " trashier ": 1.0, " idiot ": 3.0, " idio": 2.0, " bad ": 1.0, " moro": 1.0, " moro ": 1.5}
     few = toxicity.effective(weights)
