@@ -90,6 +90,34 @@ def test_components_of_shingle_sets(spark, words):
     assert kept == sorted([*alone, 900, 901, None], key=str)
 
 
+def test_large_groups_are_compared_by_tiles(spark, monkeypatch):
+    monkeypatch.setattr(shingles, "TILE", 20)
+    groups = {1: [f"a{i}" for i in range(15)], 2: [f"b{i}" for i in range(300)], 3: [f"a{i}" for i in range(21)]}
+    placed = spark.createDataFrame([(g, n, n) for g, names in groups.items() for n in names], "grp long, name string, root string")
+    held = {}
+    for r in shingles._tiled(placed).collect():
+        held.setdefault(r.grp, []).append((r.name, r.tile))
+    assert max(map(len, held.values())) <= 4 * shingles.TILE
+    met = sorted(tuple(sorted((a, b))) for rows in held.values() for (a, s), (b, t) in itertools.combinations(rows, 2) if s != t or s < 0)
+    assert met == sorted(tuple(sorted(p)) for names in groups.values() for p in itertools.combinations(names, 2))
+
+
+def test_components_of_documents_with_a_common_passage(spark, monkeypatch):
+    """Pairs that only a group of all documents brings together, with tiles and without."""
+    rng = random.Random(9)
+    passage = " ".join(f"p{i}" for i in range(6))
+    rows = []
+    for d in range(60):
+        own = " ".join(f"w{rng.randrange(500)}" for _ in range(30))
+        rows.append((d, f"{own} {passage}"))
+        if d % 3 == 0:
+            rows.append((100 + d, f"{own} {passage} x{d}"))
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    for tile in (5, 8_000):
+        monkeypatch.setattr(shingles, "TILE", tile)
+        assert sorted(map(tuple, shingles.jaccard_components(df).collect()), key=str) == plain_components(rows)
+
+
 def test_components_edge(edge_docs, no_docs):
     assert shingles.jaccard_components(edge_docs).count() == edge_docs.count()
     assert shingles.keep_one(edge_docs).columns == edge_docs.columns
