@@ -2,7 +2,7 @@
 
 A line is the set of its words (A-Z lower-cased). A line is removed if an earlier line, in the order
 of doc_id (null first) and place in the text, has a Jaccard similarity of ``THRESHOLD`` or more to it,
-whether that one stays or not. Lines of fewer than ``MIN_TOKENS`` distinct words are left alone.
+whether that one stays or not. Only lines of fewer than ``MIN_TOKENS`` distinct words, that is without words, are left alone.
 
 The join, with n and m the sizes of two sets:
 
@@ -37,7 +37,7 @@ from shopsieve.llm.filters import BitFilter, may_be_in
 from shopsieve.sinks.scratch import hand_off
 
 THRESHOLD = 0.9
-MIN_TOKENS = 2
+MIN_TOKENS = 1
 BUCKETS = 1 << 20
 #: Buckets that are summed together.
 PART = 1 << 12

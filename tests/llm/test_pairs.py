@@ -37,6 +37,13 @@ def test_lines(spark, small, monkeypatch):
     assert {(r.doc, r.line) for r in lines.removed_lines(df, 0.75).collect()} == plain_lines(rows, 0.75)
 
 
+def test_lines_of_one_word(spark):
+    rows = [(0, "Les.\n\nha ha ha\n 日本語の文です。\none two"), (1, "les.\n\n\t\nHA\nhttp://x.example/a"), (2, "日本語の文です。\nhttp://x.example/a\nthree"), (3, "\nLes.")]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(2)
+    got = {r.doc_id: r.text for r in lines.dedup_lines(df).collect()}
+    assert got == {0: rows[0][1], 1: "\n\t\nhttp://x.example/a", 2: "three", 3: ""}
+
+
 def test_lines_edge(edge_docs, no_docs):
     got = lines.dedup_lines(edge_docs)
     assert got.columns == edge_docs.columns and got.count() == edge_docs.count()
