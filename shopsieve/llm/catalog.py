@@ -6,7 +6,21 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from shopsieve.llm import decontaminate, lines, packing, quality, secret_scan, shingles, token_counts, token_files, toxicity, wrappers
+from shopsieve.llm import (
+    conversations,
+    decontaminate,
+    interactions,
+    lines,
+    packing,
+    pieces,
+    quality,
+    secret_scan,
+    shingles,
+    token_counts,
+    token_files,
+    toxicity,
+    wrappers,
+)
 from shopsieve.llm.common import documents, table
 from shopsieve.llm.pretokens import vocabulary_file
 from shopsieve.sinks.scratch import new_folder
@@ -57,6 +71,19 @@ def op10_pretoken_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(documents(spark, sf_dir), vocabulary_file("byte_bpe_50k.json"))
 
 
+def op11_survivor_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversations.repair(conversations.damaged(table(spark, sf_dir, "conversations")))
+
+
+def op12_chunk_table_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    encoded = pieces.encode_pieces(documents(spark, sf_dir), vocabulary_file("piece_bpe_32k.model"), decoded=True)
+    return pieces.digests(encoded)
+
+
+def op13_filter_interactions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return interactions.audit(documents(spark, sf_dir), table(spark, sf_dir, "labels"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     query.__name__: query
     for query in (
@@ -70,5 +97,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_isolation_quality,
         op9_lexicon_toxicity,
         op10_pretoken_counts,
+        op11_survivor_repair,
+        op12_chunk_table_pieces,
+        op13_filter_interactions,
     )
 }
