@@ -11,15 +11,19 @@ from pyspark.sql import functions as F
 
 from shopsieve.functions.casts import as_text, to_schema
 from shopsieve.operators import analytics, clean, quality
+from shopsieve.operators.incremental import CheckState
 from shopsieve.operators.rules import RuleSet, sales_rules, text_sales_rules, year_to_date
 from shopsieve.operators.sampling import sample_exact, sample_fraction
-from shopsieve.plans import flow
+from shopsieve.plans import chain, flow
 from shopsieve.schema import AGGREGATED, KEY, SALES_RAW, SALES_TYPED, assert_schema
 from shopsieve.sinks.files import write_csv, write_json, write_parquet
+from shopsieve.sinks.keyed import KeyedTable
 from shopsieve.sinks.scratch import hand_off, new_folder
 from shopsieve.sinks.snapshot import append_snapshot, by_region, read_snapshots, snapshot_rows
+from shopsieve.sinks.snapshot_log import SnapshotLog
 from shopsieve.sources import generate
 from shopsieve.sources.files import read_csv, read_csv_text, read_json, read_parquet
+from shopsieve.sources.rejects import split_csv
 from shopsieve.sources.star import sales_from_star, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -346,6 +350,104 @@ def gen_e2e(spark: SparkSession, sf_dir: str) -> DataFrame:
     return flow.run(gen_combined(spark, sf_dir), config)["snapshots"]
 
 
+# Tables with commits
+
+
+def _two_imports(spark: SparkSession, sf_dir: str) -> tuple[SnapshotLog, int]:
+    """Two imports, then the first once more for Asia alone; the log and its version before that."""
+    table = SnapshotLog(spark, new_folder(spark, "snapshots"))
+    aggregated = hand_off(agg_region_product(spark, sf_dir), "aggregated")
+    table.add(aggregated, FIRST_IMPORT)
+    before = table.add(aggregated, SECOND_IMPORT)
+    table.add(aggregated.filter("region = 'ASIA'"), FIRST_IMPORT)
+    return table, before
+
+
+def snapshot_newest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _two_imports(spark, sf_dir)[0].read()
+
+
+def snapshot_as_of(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The table as it was before its first import was replaced."""
+    table, before = _two_imports(spark, sf_dir)
+    return table.read(before)
+
+
+def snapshot_region(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One region's products from 100 to 900, from the files that may hold them."""
+    return _two_imports(spark, sf_dir)[0].read_region(["EUROPE"], (100, 900))
+
+
+def sales_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two loads that share ids: the second brings new ids and replaces shared ones with one piece more."""
+    one_each = to_schema(clean.dedup_keep_one(sales_from_star(spark, sf_dir)))
+    sales = hand_off(one_each, "sales")
+    target = KeyedTable(spark, new_folder(spark, "sales-keyed"), SALES_TYPED, KEY, width=20_000)
+    target.merge(sales.filter(F.col(KEY) % 3 != 0), "first")
+    target.merge(sales.filter(F.col(KEY) % 2 == 0).withColumn("quantity", F.col("quantity") + 1), "second")
+    return target.read()
+
+
+def _batches(spark: SparkSession, sf_dir: str) -> CheckState:
+    """The sales in two batches that share ids, the first of them run twice."""
+    sales = hand_off(sales_from_star(spark, sf_dir), "sales")
+    state = CheckState(spark, new_folder(spark, "check-state"), star_rules(), buckets=16)
+    for number in (0, 1, 0):
+        state.add(sales.filter(F.col("product_id") % 2 == number), f"batch-{number}")
+    return state
+
+
+def dq_report_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.report(_batches(spark, sf_dir).per_id(), star_rules())
+
+
+def bad_ids_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _batches(spark, sf_dir).per_id().filter(F.col(quality.BROKEN) != 0).select(KEY)
+
+
+class _BrokenOff(Exception):
+    pass
+
+
+def pipeline_e2e(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The chain, broken off before its load and run again: the second run goes on from there."""
+    config = chain.ChainConfig(star_rules(), new_folder(spark, "chain"), FIRST_IMPORT)
+    raw = sales_from_star(spark, sf_dir)
+
+    def fail_at_load(stage: str) -> None:
+        if stage == "load":
+            raise _BrokenOff
+
+    try:
+        chain.run_chain(raw, config, "sales_from_star", fail_at_load)
+    except _BrokenOff:
+        pass
+    return chain.run_chain(raw, config, "sales_from_star")["snapshots"]
+
+
+def _spoilt_lines(spark: SparkSession, sf_dir: str) -> str:
+    """The view as CSV lines, some cut short, some with a field too many, some with words for numbers."""
+    text = as_text(sales_from_star(spark, sf_dir))
+    number = F.col(KEY).cast("bigint")
+    quantity = F.when(number % 83 == 1, F.lit("abc")).otherwise(F.col("quantity"))
+    price = F.when(number % 79 == 2, F.lit("n/a")).otherwise(F.col("price"))
+    begin = F.concat_ws(",", KEY, "customer_id", "product_id", quantity, price, "region")
+    end = F.when(number % 97 == 0, F.lit("")).when(number % 89 == 1, F.concat(F.lit(","), "sale_date", F.lit(",x")))
+    path = new_folder(spark, "spoilt-csv")
+    text.select(F.concat(begin, end.otherwise(F.concat(F.lit(","), "sale_date"))).alias("value")).write.text(path)
+    return path
+
+
+def csv_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines that do not fit, with their reason and the columns that could not be read."""
+    _, rejected = split_csv(spark, _spoilt_lines(spark, sf_dir), header=False)
+    return rejected.filter(F.col("file").isNotNull()).select("line", "reason", F.array_join("columns", ",").alias("columns"))
+
+
+def csv_accepted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return split_csv(spark, _spoilt_lines(spark, sf_dir), header=False)[0]
+
+
 QUERIES: dict[str, Query] = {
     "agg_region_product": agg_region_product,
     "agg_preview": agg_preview,
@@ -401,4 +503,13 @@ QUERIES: dict[str, Query] = {
     "gen_report": gen_report,
     "sales_e2e": sales_e2e,
     "gen_e2e": gen_e2e,
+    "snapshot_newest": snapshot_newest,
+    "snapshot_as_of": snapshot_as_of,
+    "snapshot_region": snapshot_region,
+    "sales_upsert": sales_upsert,
+    "dq_report_incremental": dq_report_incremental,
+    "bad_ids_incremental": bad_ids_incremental,
+    "pipeline_e2e": pipeline_e2e,
+    "csv_rejects": csv_rejects,
+    "csv_accepted": csv_accepted,
 }

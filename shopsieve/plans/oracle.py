@@ -181,6 +181,14 @@ def _csv_defects() -> str:
     return f"WITH {SALES}, {spoilt} " + " UNION ALL ".join(parts)
 
 
+# Lines spoilt as in the query; too many or too few fields come before words for numbers.
+SPOILT_LINES = """l AS (SELECT s.*, sale_id % 97 = 0 AS short, sale_id % 97 <> 0 AND sale_id % 89 = 1 AS long,
+  sale_id % 83 = 1 AS no_quantity, sale_id % 79 = 2 AS no_price,
+  concat_ws(',', sale_id, customer_id, product_id, CASE WHEN sale_id % 83 = 1 THEN 'abc' ELSE CAST(quantity AS VARCHAR) END,
+    CASE WHEN sale_id % 79 = 2 THEN 'n/a' ELSE CAST(price AS VARCHAR) END, region)
+  || CASE WHEN sale_id % 97 = 0 THEN '' WHEN sale_id % 89 = 1 THEN ',' || sale_date || ',x' ELSE ',' || sale_date END AS line FROM s)"""
+
+
 def _ids(condition: str) -> str:
     return f"WITH {SALES} SELECT DISTINCT sale_id FROM s WHERE {condition}"
 
@@ -215,7 +223,26 @@ def _build() -> dict[str, str]:
         f"AS outcome FROM gaps"
         for name, c in rule.items()
     )
+    asia = f"SELECT * FROM ({agg}) WHERE region = 'ASIA'"
+    newest = f"{_snapshot(asia, '2026-01-06 12:45:00')} UNION ALL {_snapshot(agg, '2026-01-13 12:45:00')}"
+    loaded = f"t AS (SELECT {COLUMNS[: -len('sale_date')]}TRY_CAST(sale_date AS DATE) AS sale_date FROM one)"
     return {
+        "snapshot_newest": newest,
+        "snapshot_as_of": f"{_snapshot(agg, '2026-01-06 12:45:00')} UNION ALL {_snapshot(agg, '2026-01-13 12:45:00')}",
+        "snapshot_region": f"SELECT * FROM ({newest}) WHERE region = 'EUROPE' AND product_id BETWEEN 100 AND 900",
+        "sales_upsert": f"""WITH {SALES}, {_first('s')}, {loaded}
+  SELECT {COLUMNS} FROM t WHERE sale_id % 3 <> 0 AND sale_id % 2 <> 0
+  UNION ALL SELECT sale_id, customer_id, product_id, quantity + 1 AS quantity, price, region, sale_date FROM t WHERE sale_id % 2 = 0""",
+        "dq_report_incremental": report,
+        "bad_ids_incremental": f"{s_found} SELECT DISTINCT sale_id FROM found",
+        "pipeline_e2e": _snapshot(
+            f"{s_marked}, kept AS (SELECT * FROM marked WHERE NOT bad) {_aggregate('kept')}", "2026-01-06 12:45:00"
+        ),
+        "csv_rejects": f"""WITH {SALES}, {SPOILT_LINES}
+  SELECT line, CASE WHEN short OR long THEN 'ragged' ELSE 'unreadable' END AS reason,
+  CASE WHEN NOT short AND NOT long THEN concat_ws(',', CASE WHEN no_quantity THEN 'quantity' END, CASE WHEN no_price THEN 'price' END) END AS columns
+  FROM l WHERE short OR long OR no_quantity OR no_price""",
+        "csv_accepted": f"WITH {SALES}, {SPOILT_LINES} SELECT {COLUMNS} FROM l WHERE NOT (short OR long OR no_quantity OR no_price)",
         "agg_region_product": agg,
         "agg_preview": f"{agg} ORDER BY region, product_id LIMIT 20",
         "agg_sale_amount": f"WITH {SALES} {_aggregate('s', LINE_AMOUNT)}",

@@ -12,7 +12,10 @@ from shopsieve.operators.clean import CLEAN, QUARANTINE, label_by_ids, split_by_
 from shopsieve.operators.quality import bad_ids
 from shopsieve.operators.rules import sales_rules
 from shopsieve.plans.flow import FlowConfig, run
+from shopsieve.schema import SALES_TYPED
+from shopsieve.sinks.keyed import WIDTH, KeyedTable
 from shopsieve.sinks.snapshot import read_snapshots
+from shopsieve.sinks.snapshot_log import SnapshotLog
 from shopsieve.sources.files import read_json
 
 AS_OF = date(2026, 6, 30)
@@ -68,3 +71,71 @@ def test_quantity_counts_where_asked(spark, tmp_path):
 def test_arguments_are_checked():
     with pytest.raises(SystemExit):
         jobs.arguments().parse_args(["clean", "--to", "x"])
+
+
+def test_chain_job(spark, tmp_path):
+    raw, to = str(tmp_path / "raw"), str(tmp_path / "chain")
+    jobs.generate(spark, raw, 2000, AS_OF, 3)
+    argv = ["chain", "--sales", raw, "--as-of", "2026-06-30", "--import-ts", "2026-06-30T12:45:00", "--to", to]
+    jobs.main(spark, argv)
+    written = sorted(p.name for p in (tmp_path / "chain" / "tables").iterdir())
+    jobs.main(spark, argv)
+    assert sorted(p.name for p in (tmp_path / "chain" / "tables").iterdir()) == written
+    whole = run(jobs.read_sales(spark, raw, "parquet"), FlowConfig(sales_rules(date(2026, 1, 1), AS_OF), str(tmp_path / "flow"), T1))
+    assert bag(SnapshotLog(spark, f"{to}/snapshots").read()) == bag(whole["snapshots"])
+
+
+def test_text_jobs_keep_every_value(spark, tmp_path):
+    """Fields that do not parse are found, not lost: CSV to CSV outputs, an upsert, and a versioned snapshot."""
+    at = {name: str(tmp_path / name) for name in ("csv", "checks", "split", "out", "sales", "aggregated", "snapshots", "sorted")}
+    (tmp_path / "csv").mkdir()
+    lines = [
+        "sale_id,customer_id,product_id,quantity,price,region,sale_date",
+        "1,1,1,2,10.00,North,2026-01-01",
+        "2,1,1,two,10.00,North,2026-01-01",
+        "3,1,1,2,1e400,North,2026-01-01",
+        "4,1,1,2,10.00,North,2026-02-30",
+        "5,1,1,2,7.00,South,2026-01-02",
+        "05,1,1,2,7.00,South,2026-01-02",
+        "6,1,1,2,2000,Elsewhere,2026-01-01",
+        "7,1,1,2,10.00,North",
+    ]
+    (tmp_path / "csv" / "a.csv").write_text("\n".join(lines) + "\n")
+
+    def job(*argv):
+        jobs.main(spark, argv)
+
+    job("rejects", "--sales", at["csv"], "--to", at["sorted"])
+    assert {r.line[0] for r in spark.read.parquet(f"{at['sorted']}/rejected").collect()} == {"2", "3", "7"}
+    common = ("--kind", "csv", "--text", "--duplicates", "keep_one")
+    job("validate", "--sales", at["csv"], "--as-of", "2026-06-30", *common, "--regions", "North,South,Elsewhere", "--price", "0.01:5000", "--to", at["checks"])
+    found = {r.rule: r.bad_ids for r in spark.read.json(f"{at['checks']}/report").collect()}
+    assert (found["unread_quantity"], found["unread_price"], found["duplicate"], found["region"], found["price"]) == (1, 1, 1, 0, 0)
+    job("clean", "--sales", at["csv"], "--checks", at["checks"], *common, "--csv", at["out"], "--to", at["split"])
+    sides = {side: {r.sale_id for r in spark.read.option("header", True).csv(f"{at['out']}/{side}").collect()} for side in (CLEAN, QUARANTINE)}
+    assert sides == {CLEAN: {"1", "4", "5", "6", "7"}, QUARANTINE: {"2", "3"}}
+    job("load", "--sales", at["split"], "--text", "--upsert", "--to", at["sales"])
+    job("load", "--sales", at["split"], "--text", "--upsert", "--to", at["sales"])
+    assert spark.read.json(f"{at['sales']}_lost").first().sale_date == 1
+    sales = KeyedTable(spark, at["sales"], SALES_TYPED, "sale_id", width=WIDTH).read()
+    assert sorted(r.sale_id for r in sales.collect()) == [1, 4, 5, 6, 7]
+    job("aggregate", "--sales", at["sales"], "--upsert", "--to", at["aggregated"])
+    for _ in range(2):
+        job("snapshot", "--aggregated", at["aggregated"], "--import-ts", "2026-06-30T12:45:00", "--versioned", "--to", at["snapshots"])
+    assert SnapshotLog(spark, at["snapshots"]).read().count() == 3
+
+
+def test_validate_by_batches(spark, tmp_path):
+    raw, state = str(tmp_path / "raw"), str(tmp_path / "state")
+    jobs.generate(spark, raw, 1000, AS_OF, 3)
+    rows = jobs.read_sales(spark, raw, "parquet")
+    for number in range(2):
+        rows.filter(f"product_id % 2 = {number}").write.parquet(f"{raw}-{number}")
+        jobs.main(
+            spark,
+            ["validate", "--sales", f"{raw}-{number}", "--as-of", "2026-06-30", "--state", state, "--batch", f"b{number}", "--to", f"{state}-{number}"],
+        )
+    whole = jobs.validate(spark, raw, str(tmp_path / "checks"), AS_OF)
+    assert bag(read_json(spark, f"{state}-1/report", whole.schema)) == bag(whole)
+    with pytest.raises(ValueError, match="needs a name"):
+        jobs.validate(spark, raw, str(tmp_path / "x"), AS_OF, state=state)
