@@ -1,11 +1,12 @@
-"""Samples: an exact number of rows, in an order given by a hash of the key."""
+"""Samples: a fraction, an exact number of rows, or independent draws, in an order given by a hash of the key."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from shopsieve.functions.draws import digest
+from shopsieve.sinks.scratch import hand_off
 
 DIGITS_PER_LEVEL = 4
 HASH_DIGITS = 32
@@ -64,3 +65,52 @@ def _bucket_of(rows: DataFrame, start: int, wanted: int) -> tuple[str, int, int]
     found = counts.select("digits", "size", upto.alias("upto")).filter(F.col("upto") >= wanted)
     row = found.orderBy("digits").first()
     return None if row is None else (row["digits"], row["upto"] - row["size"], row["size"])
+
+
+#: Buckets of the hash order that drawn ranks are looked up in, and so the rows of the tables made from them.
+BUCKETS = 1 << 16
+
+
+def draw_ranks(spark: SparkSession, n: int, total: int, seed: int) -> DataFrame:
+    """``n`` independent draws of a rank from 0 to ``total`` - 1, as ``rank, times``."""
+    numbers = spark.range(n).select(F.conv(F.substring(digest(F.col("id"), "draw", seed), 1, 15), 16, 10).cast("long").alias("drawn"))
+    return numbers.select(F.pmod("drawn", F.lit(total)).alias("rank")).groupBy("rank").agg(F.count("*").alias("times"))
+
+
+def sample_drawn(df: DataFrame, n: int, key: str, seed: int) -> DataFrame:
+    """``n`` independent draws from the rows, so a row may come several times.
+
+    ``key`` must be unique (see ``dedup_keep_one``). Rows are ranked in the order of a hash of the key. Counts of
+    the hash's buckets, at most ``BUCKETS``, say in which bucket a drawn rank lies and at which place there. Only
+    hashes and keys move to find the rows at those places; whole rows are touched once, in a join with the drawn keys.
+    """
+    if n <= 0:
+        return df.limit(0)
+    spark = df.sparkSession
+    kind = df.schema[key].dataType
+    # a missing key has a place in the order too: the first
+    hashed = df.select(
+        F.coalesce(hash_order(key, seed), F.lit("0" * HASH_DIGITS)).alias("__hash"),
+        F.coalesce(F.col(key), F.lit(0).cast(kind)).alias("__id"),
+        F.col(key).isNull().alias("__missing"),
+    ).withColumn("__bucket", F.conv(F.substring("__hash", 1, DIGITS_PER_LEVEL), 16, 10).cast("int"))
+    counts = hand_off(hashed.groupBy("__bucket").agg(F.count("*").alias("__size")), "buckets")
+    total = counts.agg(F.coalesce(F.sum("__size"), F.lit(0))).first()[0]
+    if total == 0:
+        return df.limit(0)
+    # at most BUCKETS rows in this window, whatever the table holds
+    upto = F.sum("__size").over(Window.orderBy("__bucket"))
+    spans = counts.select("__bucket", (upto - F.col("__size")).alias("__first"), (upto - 1).alias("__last"))
+    # the ranks are cut into as many cells, and each bucket is listed with the cells it overlaps
+    cell = -(-total // BUCKETS)
+    reach = F.sequence(F.expr(f"__first DIV {cell}L"), F.expr(f"__last DIV {cell}L"))
+    listed = spans.withColumn("__cell", F.explode(reach))
+    drawn = draw_ranks(spark, n, total, seed).withColumn("__cell", F.expr(f"rank DIV {cell}L"))
+    places = drawn.join(F.broadcast(listed), "__cell").filter(F.col("rank").between(F.col("__first"), F.col("__last")))
+    places = places.select("__bucket", (F.col("rank") - F.col("__first") + 1).alias("__place"), F.col("times").alias("__times"))
+    order = Window.partitionBy("__bucket").orderBy("__hash", "__id")
+    found = hashed.withColumn("__place", F.row_number().over(order).cast("long")).join(places, ["__bucket", "__place"])
+    keys = hand_off(found.select("__id", "__missing", "__times"), "drawn-keys")
+    rows = df.withColumns({"__id": F.coalesce(F.col(key), F.lit(0).cast(kind)), "__missing": F.col(key).isNull()})
+    repeated = F.explode(F.sequence(F.lit(1).cast("long"), F.col("__times")))
+    return rows.join(keys, ["__id", "__missing"]).withColumn("__copy", repeated).select(df.columns)

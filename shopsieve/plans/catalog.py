@@ -10,9 +10,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shopsieve.functions.casts import as_text, to_schema
-from shopsieve.operators import analytics, clean, quality
+from shopsieve.operators import analytics, clean, quality, sketches
 from shopsieve.operators.incremental import CheckState
 from shopsieve.operators.rules import RuleSet, sales_rules, text_sales_rules, year_to_date
+from shopsieve.operators.running import running
 from shopsieve.operators.sampling import sample_exact, sample_fraction
 from shopsieve.plans import chain, flow
 from shopsieve.schema import AGGREGATED, KEY, SALES_RAW, SALES_TYPED, assert_schema
@@ -448,6 +449,28 @@ def csv_accepted(spark: SparkSession, sf_dir: str) -> DataFrame:
     return split_csv(spark, _spoilt_lines(spark, sf_dir), header=False)[0]
 
 
+def win_running_total(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each sale with the number and total of its region's sales up to it, by date."""
+    return running(sales_from_star(spark, sf_dir), ["region"], ["sale_date", KEY])
+
+
+def dq_rule_sketches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 256 smallest hashes of each rule's bad ids, and about how many ids there are."""
+    found = sketches.rule_sketches(_by_id(spark, sf_dir), star_rules(), 256)
+    return found.select(
+        "rule",
+        F.size("hashes").cast("bigint").alias("kept"),
+        F.array_join(F.col("hashes").cast("array<string>"), ",").alias("hashes"),
+        F.round(sketches.estimate(F.col("hashes"), 256), 3).alias("estimated"),
+    )
+
+
+def gen_duplicates_drawn(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A tenth as many draws with replacement as there are orders: some sales come several times."""
+    n, _ = _extent(_order_ids(spark, sf_dir))
+    return generate.inject_drawn_duplicates(gen_sales(spark, sf_dir), n, SEED, share=0.1, unique_key=True)
+
+
 QUERIES: dict[str, Query] = {
     "agg_region_product": agg_region_product,
     "agg_preview": agg_preview,
@@ -512,4 +535,7 @@ QUERIES: dict[str, Query] = {
     "pipeline_e2e": pipeline_e2e,
     "csv_rejects": csv_rejects,
     "csv_accepted": csv_accepted,
+    "win_running_total": win_running_total,
+    "dq_rule_sketches": dq_rule_sketches,
+    "gen_duplicates_drawn": gen_duplicates_drawn,
 }

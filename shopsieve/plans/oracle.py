@@ -243,6 +243,21 @@ def _build() -> dict[str, str]:
   CASE WHEN NOT short AND NOT long THEN concat_ws(',', CASE WHEN no_quantity THEN 'quantity' END, CASE WHEN no_price THEN 'price' END) END AS columns
   FROM l WHERE short OR long OR no_quantity OR no_price""",
         "csv_accepted": f"WITH {SALES}, {SPOILT_LINES} SELECT {COLUMNS} FROM l WHERE NOT (short OR long OR no_quantity OR no_price)",
+        "win_running_total": f"""WITH {SALES} SELECT {COLUMNS}, COUNT(*) OVER w AS running_count,
+  CAST(SUM(price) OVER w AS DECIMAL(20,2)) AS running_total FROM s
+  WINDOW w AS (PARTITION BY region ORDER BY sale_date, sale_id, customer_id, product_id, quantity, price
+               ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)""",
+        "dq_rule_sketches": f"""{s_found}, messages AS ({MESSAGES}),
+  hashed AS (SELECT rule, CAST('0x' || SUBSTRING(md5(CAST(sale_id AS VARCHAR)), 1, 15) AS BIGINT) AS hash FROM found),
+  kept AS (SELECT rule, hash FROM hashed QUALIFY ROW_NUMBER() OVER (PARTITION BY rule ORDER BY hash) <= 256)
+  SELECT m.rule, COUNT(hash) AS kept, COALESCE(string_agg(CAST(hash AS VARCHAR), ',' ORDER BY hash), '') AS hashes,
+  ROUND(CASE WHEN COUNT(hash) < 256 THEN CAST(COUNT(hash) AS DOUBLE) ELSE 255.0::DOUBLE * 1152921504606846976::DOUBLE / CAST(MAX(hash) AS DOUBLE) END, 3) AS estimated
+  FROM messages m LEFT JOIN kept k ON k.rule = m.rule GROUP BY m.rule""",
+        "gen_duplicates_drawn": f"""WITH {GEN_VALID}, ranked AS (
+    SELECT {COLUMNS}, ROW_NUMBER() OVER (ORDER BY md5(concat(CAST(sale_id AS VARCHAR), ':sample:7'))) - 1 AS place FROM valid),
+  drawn AS (SELECT CAST('0x' || SUBSTRING(md5(concat(CAST(i AS VARCHAR), ':draw:7')), 1, 15) AS BIGINT) % (SELECT COUNT(*) FROM valid) AS place
+            FROM (SELECT unnest(range(CAST(FLOOR((SELECT COUNT(*) FROM valid) * 0.1) AS BIGINT))) AS i))
+  SELECT {COLUMNS} FROM ranked JOIN drawn USING (place)""",
         "agg_region_product": agg,
         "agg_preview": f"{agg} ORDER BY region, product_id LIMIT 20",
         "agg_sale_amount": f"WITH {SALES} {_aggregate('s', LINE_AMOUNT)}",

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from shopsieve.functions.draws import choice, day_text, digest, draw, uniform_cents, uniform_int
 from shopsieve.operators.clean import dedup_keep_one
 from shopsieve.operators.rules import REGIONS
-from shopsieve.operators.sampling import sample_exact
+from shopsieve.operators.sampling import sample_drawn, sample_exact
 from shopsieve.schema import KEY, SALES_RAW, UNREADABLE_DATE, assert_schema
 
 # The domains of the synthetic columns and the shares of defects.
@@ -95,6 +95,14 @@ def inject_duplicates(
     return sample_exact(base, share_of(n, share), key, seed)
 
 
+def inject_drawn_duplicates(
+    df: DataFrame, n: int, seed: int, share: float = DUPLICATE_SHARE, key: str = KEY, unique_key: bool = False
+) -> DataFrame:
+    """Exact copies by ``share`` of ``n`` independent draws from ``df``: a row may be copied several times."""
+    base = df if unique_key else dedup_keep_one(df, key)
+    return sample_drawn(base, share_of(n, share), key, seed)
+
+
 def gen_combined(ids: DataFrame, n: int, last_id: int, seed: int, start: date, end: date) -> DataFrame:
     """Valid sales for ``n`` given unique ids, copies of some, and bad dates after ``last_id``."""
     valid = sales_for(ids, seed, start, end)
