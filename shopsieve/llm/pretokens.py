@@ -3,8 +3,9 @@
 A pre-token here is a stretch between spaces, with the space before it where the vocabulary counts
 that as part of the word. No merge of a byte-pair vocabulary crosses such a boundary, so the ids of a
 text are those of its pre-tokens one after the other. All of the library's rules (its own finer
-splits, normalisation, merges) are left to it: it encodes the pre-tokens, many at a time with its own
-special token between them. Texts in which boundaries might be read differently are given to it
+splits, normalisation, merges) are left to it: it encodes the pre-tokens, many at a time. Plain ones are laid
+end to end as in a text, and the known lengths of tokens say where each of them ends; others are told apart by
+the library's own special token between them. Texts in which boundaries might be read differently are given to it
 whole: those with strings of special tokens or with unusual white space, and all texts of a
 vocabulary of an unknown kind.
 """
@@ -15,10 +16,13 @@ import json
 import os
 import re
 from array import array
+from unicodedata import is_normalized
 
 import numpy as np
 
-#: Distinct pre-tokens a worker remembers; beyond that it starts afresh.
+from shopsieve.llm.common import utf8
+
+#: Distinct pre-tokens a worker remembers; beyond that it keeps at most half, those that came more often.
 REMEMBERED = 700_000
 #: Pre-tokens encoded in one call of the library.
 AT_ONCE = 50
@@ -64,29 +68,103 @@ class Encoder:
         if self.known:
             self.between = self.special[-1]
             self.between_id = self.library.token_to_id(self.between)
-        self._forget()
-
-    def _forget(self) -> None:
+            self.lengths = self._token_lengths()
+        self._start()
+
+    def _token_lengths(self) -> np.ndarray:
+        """Bytes that each id stands for: both kinds write a byte as one character, and one marks the ends of words."""
+        vocabulary = self.library.get_vocab(with_added_tokens=False)
+        lengths = np.full(max(self.library.get_vocab_size(), *vocabulary.values()) + 1, 1 << 40, np.int64)
+        for token, number in vocabulary.items():
+            if token not in self.special:
+                lengths[number] = len(token.removesuffix("</w>"))
+        return lengths
+
+    def _start(self) -> None:
         self.numbers = _Numbering()
         self.begins, self.sizes, self.ids = array("q"), array("q"), array("i")
+        self.uses = np.zeros(0, np.int64)
+
+    def _forget(self) -> None:
+        """Keep the pre-tokens that came more than once, at most half as many as a worker remembers."""
+        keys, uses = list(self.numbers), self.uses
+        least = 2
+        if len(uses) > REMEMBERED // 2:
+            least = max(least, int(np.partition(uses, -(REMEMBERED // 2))[-(REMEMBERED // 2)]) + 1)
+        kept = np.flatnonzero(uses >= least)
+        known, begins, sizes = (np.array(a) for a in (self.ids, self.begins, self.sizes))
+        self._start()
+        for number in kept.tolist():
+            self.numbers[keys[number]]  # numbers it
+        self.numbers.fresh = []
+        n = sizes[kept]
+        ends = np.cumsum(n)
+        self.begins.frombytes((ends - n).tobytes())
+        self.sizes.frombytes(n.tobytes())
+        if len(kept):
+            self.ids.frombytes(known[np.repeat(begins[kept] - ends + n, n) + np.arange(int(ends[-1]))].tobytes())
+        self.uses = np.ones(len(kept), np.int64)
+
+    def _encoded(self, joined: list[str]) -> np.ndarray:
+        return np.concatenate([np.array(e.ids, np.int32) for e in self.library.encode_batch_fast(joined, add_special_tokens=False)])
 
     def _learn(self) -> None:
-        """Encode the new pre-tokens, each once. With ``leads``, one that starts with a zero byte is taken as it stands."""
+        """Encode the new pre-tokens, each once."""
         fresh, self.numbers.fresh = self.numbers.fresh, []
+        if not fresh:
+            return
         if self.leads:
-            fresh = [p[1:] if p[:1] == "\0" else f" {p}" for p in fresh]
-        for first in range(0, len(fresh), 100 * AT_ONCE):
-            some = fresh[first : first + 100 * AT_ONCE]
-            joined = [self.between.join([*some[at : at + AT_ONCE], ""]) for at in range(0, len(some), AT_ONCE)]
-            ids = np.concatenate([np.array(e.ids, np.int32) for e in self.library.encode_batch_fast(joined, add_special_tokens=False)])
-            ends = np.flatnonzero(ids == self.between_id)
-            if len(ends) != len(some):
-                raise ValueError("the library joined or split the special token between pre-tokens")
-            sizes = np.diff(ends, prepend=-1) - 1
-            own = ids[ids != self.between_id]
-            self.begins.extend((len(self.ids) + np.cumsum(sizes) - sizes).tolist())
-            self.sizes.extend(sizes.tolist())
+            # one that starts with a zero byte is taken as it stands, and may be or hold any white space
+            plain = [at for at, p in enumerate(fresh) if p and p[0] != "\0"]
+        else:
+            # not where composition or lower case changes the length
+            plain = [at for at, p in enumerate(fresh) if p.isascii() or is_normalized("NFC", p) and len(utf8(p)) == len(utf8(p.lower()))]
+        sizes, found = np.zeros(len(fresh), np.int64), {}
+        other = np.ones(len(fresh), bool)
+        for first in range(0, len(plain), 100 * AT_ONCE):
+            places = plain[first : first + 100 * AT_ONCE]
+            ids = self._laid_out([fresh[at] for at in places])
+            if ids is not None:
+                sizes[places], found[first] = ids[0], (places, ids[1])
+                other[places] = False
+        rest = np.flatnonzero(other).tolist()
+        for first in range(0, len(rest), 100 * AT_ONCE):
+            places = rest[first : first + 100 * AT_ONCE]
+            sizes[places], own = self._told_apart([fresh[at] for at in places])
+            found[-1 - first] = (places, own)
+        begins, at = np.zeros(len(fresh), np.int64), len(self.ids)
+        for places, own in found.values():
+            n = sizes[places]
+            begins[places] = at + np.cumsum(n) - n
             self.ids.frombytes(own.tobytes())
+            at += len(own)
+        self.begins.frombytes(begins.tobytes())
+        self.sizes.frombytes(sizes.tobytes())
+
+    def _laid_out(self, some: list[str]) -> tuple[np.ndarray, np.ndarray] | None:
+        """Sizes and ids of plain pre-tokens encoded as one text; none unless each is found to end where a token ends."""
+        if self.leads:
+            joined = [" " + " ".join(some[at : at + AT_ONCE]) for at in range(0, len(some), AT_ONCE)]
+            n_bytes = [1 + len(utf8(p)) for p in some]
+        else:
+            joined = [" ".join(some[at : at + AT_ONCE]) for at in range(0, len(some), AT_ONCE)]
+            n_bytes = [len(utf8(p)) for p in some]
+        ids = self._encoded(joined)
+        ends, wanted = np.cumsum(self.lengths[ids]), np.cumsum(n_bytes)
+        last = np.searchsorted(ends, wanted)
+        if len(ends) == 0 or last[-1] != len(ends) - 1 or not np.array_equal(ends[last], wanted):
+            return None
+        return np.diff(last, prepend=-1), ids
+
+    def _told_apart(self, some: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The same for any pre-tokens, with the special token between them."""
+        if self.leads:
+            some = [p[1:] if p[:1] == "\0" else f" {p}" for p in some]
+        ids = self._encoded([self.between.join([*some[at : at + AT_ONCE], ""]) for at in range(0, len(some), AT_ONCE)])
+        ends = np.flatnonzero(ids == self.between_id)
+        if len(ends) != len(some):
+            raise ValueError("the library joined or split the special token between pre-tokens")
+        return np.diff(ends, prepend=-1) - 1, ids[ids != self.between_id]
 
     def _split(self, text: str) -> list[str] | None:
         """The text's pre-tokens; none if the library should see it whole."""
@@ -120,7 +198,11 @@ class Encoder:
             counts.append(len(pieces))
             flat.extend(map(number, pieces))
         self._learn()
-        return np.frombuffer(flat, np.int64), counts, whole
+        numbers = np.frombuffer(flat, np.int64) if flat else np.zeros(0, np.int64)
+        uses = np.bincount(numbers, minlength=len(self.numbers))
+        uses[: len(self.uses)] += self.uses
+        self.uses = uses
+        return numbers, counts, whole
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         """Ids of each text as int32."""
