@@ -19,8 +19,8 @@ from array import array
 from unicodedata import is_normalized
 
 import numpy as np
-
-from shopsieve.llm.common import utf8
+import pyarrow as pa
+import pyarrow.compute as pc
 
 #: Distinct pre-tokens a worker remembers; beyond that it keeps at most half, those that came more often.
 REMEMBERED = 700_000
@@ -113,17 +113,18 @@ class Encoder:
         fresh, self.numbers.fresh = self.numbers.fresh, []
         if not fresh:
             return
+        n_bytes = pc.binary_length(pa.array(fresh, pa.large_string())).to_numpy()
         if self.leads:
             # one that starts with a zero byte is taken as it stands, and may be or hold any white space
             plain = [at for at, p in enumerate(fresh) if p and p[0] != "\0"]
         else:
             # not where composition or lower case changes the length
-            plain = [at for at, p in enumerate(fresh) if p.isascii() or is_normalized("NFC", p) and len(utf8(p)) == len(utf8(p.lower()))]
+            plain = [at for at, p in enumerate(fresh) if p.isascii() or is_normalized("NFC", p) and len(p.lower().encode()) == n_bytes[at]]
         sizes, found = np.zeros(len(fresh), np.int64), {}
         other = np.ones(len(fresh), bool)
         for first in range(0, len(plain), 100 * AT_ONCE):
             places = plain[first : first + 100 * AT_ONCE]
-            ids = self._laid_out([fresh[at] for at in places])
+            ids = self._laid_out([fresh[at] for at in places], n_bytes[places])
             if ids is not None:
                 sizes[places], found[first] = ids[0], (places, ids[1])
                 other[places] = False
@@ -141,16 +142,11 @@ class Encoder:
         self.begins.frombytes(begins.tobytes())
         self.sizes.frombytes(sizes.tobytes())
 
-    def _laid_out(self, some: list[str]) -> tuple[np.ndarray, np.ndarray] | None:
+    def _laid_out(self, some: list[str], n_bytes: np.ndarray) -> tuple[np.ndarray, np.ndarray] | None:
         """Sizes and ids of plain pre-tokens encoded as one text; none unless each is found to end where a token ends."""
-        if self.leads:
-            joined = [" " + " ".join(some[at : at + AT_ONCE]) for at in range(0, len(some), AT_ONCE)]
-            n_bytes = [1 + len(utf8(p)) for p in some]
-        else:
-            joined = [" ".join(some[at : at + AT_ONCE]) for at in range(0, len(some), AT_ONCE)]
-            n_bytes = [len(utf8(p)) for p in some]
+        joined = [" " * self.leads + " ".join(some[at : at + AT_ONCE]) for at in range(0, len(some), AT_ONCE)]
         ids = self._encoded(joined)
-        ends, wanted = np.cumsum(self.lengths[ids]), np.cumsum(n_bytes)
+        ends, wanted = np.cumsum(self.lengths[ids]), np.cumsum(n_bytes + self.leads)
         last = np.searchsorted(ends, wanted)
         if len(ends) == 0 or last[-1] != len(ends) - 1 or not np.array_equal(ends[last], wanted):
             return None
@@ -166,43 +162,60 @@ class Encoder:
             raise ValueError("the library joined or split the special token between pre-tokens")
         return np.diff(ends, prepend=-1) - 1, ids[ids != self.between_id]
 
-    def _split(self, text: str) -> list[str] | None:
-        """The text's pre-tokens; none if the library should see it whole."""
+    def _split(self, text: str) -> str | list[str] | None:
+        """The text's pre-tokens, or a text that holds them between spaces; none if the library should see it whole."""
         if not self.known or any(map(text.__contains__, UNUSUAL_ASCII)) or not text.isascii() and UNUSUAL.search(text):
             return None
         for string in self.special:
             if string in text:
                 return None
         if not self.leads:
-            return text.split()
+            return text
+        if not text:
+            return []
         if "\t" in text or "\r" in text or "  " in text or " \n" in text or "\n " in text or "\n\n" in text:
             return ["\0" + chunk for chunk in CHUNK.findall(text)]
         # line breaks between words are pre-tokens of their own
-        pieces = text.replace("\n", " \0\n \0").split(" ")
-        pieces[0] = "\0" + pieces[0]
-        if pieces[0] == "\0":
-            del pieces[0]
-        return pieces
-
-    def _numbered(self, texts: list[str]) -> tuple[np.ndarray, list[int], dict[int, np.ndarray]]:
-        """Numbers of all pre-tokens, how many each text has, and the texts that the library did whole."""
+        spaced = text.replace("\n", " \0\n \0")
+        return spaced[1:] if spaced[0] == " " else "\0" + spaced
+
+    def _numbered(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, dict[int, np.ndarray]]:
+        """Numbers of all pre-tokens, how many each text has, and the texts that the library did whole.
+
+        Arrow finds the distinct pre-tokens of these texts, so that each is looked up once.
+        """
         if len(self.numbers) > REMEMBERED:
             self._forget()
-        whole, counts, number = {}, [], self.numbers.__getitem__
-        flat = array("q")
+        whole, spaced, listed, number = {}, {}, {}, self.numbers.__getitem__
         for at, text in enumerate(texts):
             pieces = self._split(text)
             if pieces is None:
                 whole[at] = np.array(self.library.encode(text, add_special_tokens=False).ids, np.int32)
-                pieces = []
-            counts.append(len(pieces))
-            flat.extend(map(number, pieces))
+            else:
+                (spaced if isinstance(pieces, str) else listed)[at] = pieces
+        split = pa.array(list(spaced.values()), pa.large_string())
+        split = pc.split_pattern(split, " ") if self.leads else pc.ascii_split_whitespace(split)
+        found = split.flatten().dictionary_encode()
+        distinct = np.fromiter(map(number, found.dictionary.to_pylist()), np.int64, len(found.dictionary))
+        flat = distinct[found.indices.to_numpy()] if len(found) else np.zeros(0, np.int64)
+        counts = np.zeros(len(texts), np.int64)
+        counts[list(spaced)] = split.value_lengths().to_numpy()
+        if any(listed.values()):
+            # these have their places between the others
+            cuts = dict(zip(spaced, np.cumsum(counts[list(spaced)]), strict=True))
+            parts = []
+            for at in sorted([*spaced, *listed]):
+                if at in listed:
+                    parts.append(np.fromiter(map(number, listed[at]), np.int64, len(listed[at])))
+                    counts[at] = len(listed[at])
+                else:
+                    parts.append(flat[cuts[at] - counts[at] : cuts[at]])
+            flat = np.concatenate(parts)
         self._learn()
-        numbers = np.frombuffer(flat, np.int64) if flat else np.zeros(0, np.int64)
-        uses = np.bincount(numbers, minlength=len(self.numbers))
+        uses = np.bincount(flat, minlength=len(self.numbers))
         uses[: len(self.uses)] += self.uses
         self.uses = uses
-        return numbers, counts, whole
+        return flat, counts, whole
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         """Ids of each text as int32."""
@@ -212,7 +225,7 @@ class Encoder:
         ends = np.cumsum(n)
         total = int(ends[-1]) if len(ends) else 0
         ids = known[np.repeat(begins[numbers] - ends + n, n) + np.arange(total)] if total else np.zeros(0, np.int32)
-        cuts = np.append(0, ends)[np.cumsum(counts)] if counts else []
+        cuts = np.append(0, ends)[np.cumsum(counts)]
         del known, begins, sizes  # else the arrays could not grow
         out, start = [], 0
         for k, end in enumerate(cuts):
