@@ -25,8 +25,10 @@ from pyspark.sql import functions as F
 from shopsieve.llm.common import runs, ship_code
 
 RATE = 0.07
-#: Shorter items (as compared) say too little to be found: a few common words stand in any text.
+#: Shorter items (as compared) are found word for word only, from one word bound to another.
 MIN_CHARS = 40
+#: Items of fewer words are reported, but do not make a filter reject a document: they stand in any text.
+MIN_WORDS = 5
 BLOCK_CHARS = 4_000_000
 OTHER = re.compile(r"[\W_]+")
 
@@ -117,17 +119,18 @@ class Items:
         return found
 
 
-def blocks(items: DataFrame, rate: float = RATE) -> Iterator[Items]:
-    """The items with a text of ``MIN_CHARS`` or more, each distinct one once, in bounded blocks."""
+def blocks(items: DataFrame, rate: float = RATE, min_words: int = 1) -> Iterator[Items]:
+    """The items of ``min_words`` words or more, each distinct one once, in bounded blocks."""
     distinct = items.filter("text is not null").select("item_id", "text").distinct()
     total = distinct.agg(F.sum(F.length("text")).alias("n")).first()["n"] or 0
-    n = -(-total // BLOCK_CHARS)
-    for block in range(n):
+    n_blocks = -(-total // BLOCK_CHARS)
+    for block in range(n_blocks):
         rows = []
-        for item_id, text in distinct.filter(F.pmod(F.xxhash64("text"), F.lit(n)) == block).orderBy("item_id", "text").collect():
+        for item_id, text in distinct.filter(F.pmod(F.xxhash64("text"), F.lit(n_blocks)) == block).orderBy("item_id", "text").collect():
             item = compared(text)
-            if len(item) - 2 >= MIN_CHARS:
-                rows.append((item_id, item, int(rate * (len(item) - 2))))
+            n = len(item) - 2
+            if n > 0 and len(item.split()) >= min_words:
+                rows.append((item_id, item, int(rate * n) if n >= MIN_CHARS else 0))
         if rows:
             yield Items(rows)
 
@@ -135,7 +138,7 @@ def blocks(items: DataFrame, rate: float = RATE) -> Iterator[Items]:
 def contaminations(docs: DataFrame, items: DataFrame, rate: float = RATE) -> DataFrame:
     """doc_id, item_id, distance, budget for each item that a row of ``docs`` holds within its budget.
 
-    Null or empty texts hold nothing. Null and repeated ids stay rows of their own; an item given
+    Null or empty texts hold nothing, and items without a letter or digit are in no text. Null and repeated ids stay rows of their own; an item given
     twice with the same id and text counts once; other columns are ignored.
     """
     ship_code(docs.sparkSession)
@@ -159,10 +162,11 @@ def contaminations(docs: DataFrame, items: DataFrame, rate: float = RATE) -> Dat
 
 
 def without_contaminated(docs: DataFrame, items: DataFrame, rate: float = RATE) -> DataFrame:
-    """The rows of ``docs`` that hold no item, with all their columns; each is judged where it is."""
+    """The rows of ``docs`` that hold no item of ``MIN_WORDS`` words or more, with all their columns; each is judged
+    where it is."""
     ship_code(docs.sparkSession)
     text = docs.columns.index("text")
-    for block in blocks(items, rate):
+    for block in blocks(items, rate, MIN_WORDS):
 
         def judge(batches: Iterator[pa.RecordBatch], block: Items = block) -> Iterator[pa.RecordBatch]:
             automaton = block.automaton()

@@ -350,10 +350,11 @@ def removed_lines(docs: DataFrame, t: float = THRESHOLD) -> DataFrame:
     return hand_off(done.unionAll(_similar(second, keyed, t)).distinct(), "lines-removed")
 
 
-def dedup_lines(docs: DataFrame, t: float = THRESHOLD, counts: bool = False) -> DataFrame:
+def dedup_lines(docs: DataFrame, t: float = THRESHOLD, counts: bool = False, drop_emptied: bool = False) -> DataFrame:
     """``docs`` with its later similar lines removed from ``text``; all rows and columns stay.
 
-    A null text stays null; a text whose lines are all removed becomes empty. With ``counts``, the
+    A null text stays null; a text whose lines are all removed becomes empty. ``drop_emptied`` leaves out rows that
+    have no word left by it, as all they said stands in earlier documents. With ``counts``, the
     columns n_lines and n_removed are added. Rows with a null doc_id come first in the order, by hash of
     their text.
     """
@@ -373,6 +374,8 @@ def dedup_lines(docs: DataFrame, t: float = THRESHOLD, counts: bool = False) ->
     places = F.array_except(F.sequence(F.lit(0), F.size(parts) - 1), F.col(gone))
     kept = F.array_join(F.transform(places, lambda i: F.get(F.col(parts), i)), "\n")
     text = F.when(F.col(gone).isNull(), F.col("text")).otherwise(kept)
+    if drop_emptied:
+        every = every.filter(F.col(gone).isNull() | (F.trim(kept, F.lit(" \t\n\x0b\x0c\r")) != ""))
     extra = [F.coalesce(F.size(parts).cast("long"), F.lit(0)).alias("n_lines"), F.coalesce(F.size(gone).cast("long"), F.lit(0)).alias("n_removed")] if counts else []
     return every.select(*(text.alias(c) if c == "text" else F.col(c) for c in docs.columns), *extra)
 

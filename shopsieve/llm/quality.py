@@ -23,6 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shopsieve.llm.common import runs, ship_code, words_of
+from shopsieve.llm.filters import may_be_in
 from shopsieve.sinks.scratch import hand_off
 
 SAMPLE_ROWS = 8192
@@ -270,7 +271,10 @@ def keep_good(docs: DataFrame, labels: DataFrame) -> DataFrame:
     so rows with null or repeated ids get a verdict of their own.
     """
     known = labels.select(F.col("doc_id").cast("long").alias("__id")).filter("__id is not null").distinct()
-    stats = hand_off(with_statistics(docs.join(known, docs["doc_id"] == known["__id"], "left_semi")), "quality-statistics")
+    # texts stay where they are: only statistics of documents that may have a label are joined
+    ids = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").filter("doc_id is not null")
+    found = with_statistics(ids.filter(may_be_in(known, F.col("doc_id"))))
+    stats = hand_off(found.join(known, found["doc_id"] == known["__id"], "left_semi"), "quality-statistics")
     model = fit(stats, labels)
 
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -13,6 +13,7 @@ whose length counts and the least length. Offsets are code points, ends exclusiv
 
 from __future__ import annotations
 
+import hashlib
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -49,8 +50,6 @@ MORE = (
     Rule("jwt", "eyJ[A-Za-z0-9_-]{10,}\\.eyJ[A-Za-z0-9_-]{10,}\\.[A-Za-z0-9_-]{10,}"),
 )
 RULES = (*BASE, *MORE)
-#: Change it with every change of the rules: blobs are then scanned anew.
-RULES_VERSION = "2"
 FINDINGS = "kind string, order int, start int, end int"
 
 
@@ -84,6 +83,11 @@ def scan_text(text: Column, rules: tuple[Rule, ...] = RULES) -> Column:
     return F.transform(ordered, lambda s: F.struct(s["kind"].alias("kind"), s["start"].alias("start"), s["end"].alias("end")))
 
 
+def version_of(rules: tuple[Rule, ...]) -> str:
+    """The rules by their content, so that blobs are scanned anew with other rules."""
+    return hashlib.sha256(repr(rules).encode()).hexdigest()[:16]
+
+
 def blob_of(text: str = "text") -> Column:
     return F.sha2(text_or_empty(text), 256)
 
@@ -96,13 +100,13 @@ def _ledger(spark: SparkSession, folder: str, name: str, like: DataFrame) -> Dat
     return like.limit(0)
 
 
-def update(history: DataFrame, folder: str, rules: tuple[Rule, ...] = RULES, version: str = RULES_VERSION) -> None:
+def update(history: DataFrame, folder: str, rules: tuple[Rule, ...] = RULES, version: str | None = None) -> None:
     """Scan the blobs of ``history`` (column text) that the ledger in ``folder`` lacks, and append them.
 
     Findings are written before the blobs are marked as scanned. A run that dies between the two is
     repeated by the next one; readers take each blob's findings once.
     """
-    spark = history.sparkSession
+    spark, version = history.sparkSession, version or version_of(rules)
     blobs = history.select(text_or_empty().alias("text")).withColumn("blob", F.sha2("text", 256))
     mark = F.lit(version).alias("rules")
     seen = _ledger(spark, folder, "scanned", blobs.select("blob", mark)).filter(F.col("rules") == version).select("blob")
@@ -114,13 +118,14 @@ def update(history: DataFrame, folder: str, rules: tuple[Rule, ...] = RULES, ver
     written.join(seen, "blob", "left_anti").distinct().write.mode("append").parquet(f"{folder}/scanned")
 
 
-def findings(spark: SparkSession, folder: str, version: str = RULES_VERSION) -> DataFrame:
+def findings(spark: SparkSession, folder: str, rules: tuple[Rule, ...] = RULES, version: str | None = None) -> DataFrame:
     """blob and its spans, for blobs with any."""
+    version = version or version_of(rules)
     every = spark.read.parquet(f"{folder}/findings").filter((F.col("rules") == version) & (F.size("spans") > 0))
     return every.groupBy("blob").agg(F.first("spans").alias("spans"))
 
 
-def scan(history: DataFrame, folder: str, keep: tuple[str, ...] = ("doc_id",), rules: tuple[Rule, ...] = RULES, version: str = RULES_VERSION) -> DataFrame:
+def scan(history: DataFrame, folder: str, keep: tuple[str, ...] = ("doc_id",), rules: tuple[Rule, ...] = RULES, version: str | None = None) -> DataFrame:
     """Bring the ledger up to date and return ``keep``, blob and spans of every row of ``history``.
 
     A null text counts as empty; null and repeated paths stay rows of their own; other columns are
@@ -129,7 +134,7 @@ def scan(history: DataFrame, folder: str, keep: tuple[str, ...] = ("doc_id",), r
     update(history, folder, rules, version)
     paths = history.select(*(F.col(c).alias(f"k_{c}") for c in keep), blob_of().alias("blob"))
     # few blobs have findings; a blob with many paths is split by adaptive execution
-    joined = paths.join(findings(history.sparkSession, folder, version), "blob", "left")
+    joined = paths.join(findings(history.sparkSession, folder, rules, version), "blob", "left")
     none = F.array().cast("array<struct<kind:string,start:int,end:int>>")
     return joined.select(*(F.col(f"k_{c}").alias(c) for c in keep), "blob", F.coalesce("spans", none).alias("spans"))
 

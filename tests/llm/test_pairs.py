@@ -189,6 +189,24 @@ PAGE = (
 )
 
 
+def test_short_items_are_found_word_for_word(spark):
+    items = spark.createDataFrame([(1, "What is the capital of France?"), (2, "Paris"), (3, "?!"), (4, ""), (5, "x y")], "item_id long, text string")
+    texts = ["Q: what is the CAPITAL of france - Paris.", "what is the capital of frances", "Parisian", "xx y, x yy", None, "", "x, Y!"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {(r.doc_id, r.item_id, r.distance, r.budget) for r in decontaminate.contaminations(docs, items).collect()}
+    assert got == {(0, 1, 0, 0), (0, 2, 0, 0), (6, 5, 0, 0)}
+    assert {r.doc_id for r in decontaminate.without_contaminated(docs, items).collect()} == {1, 2, 3, 4, 5, 6}
+
+
+def test_documents_that_lose_all_lines_may_go(spark):
+    line = "one two three four five six seven eight nine ten eleven"
+    texts = [line, line, f"{line}\n{line}", f"{line}\nand something of its own here", "", None, " \n", f" \n{line}\n\t"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    left = {r.doc_id: r.text for r in lines.dedup_lines(docs, drop_emptied=True).collect()}
+    assert left == {0: line, 3: "and something of its own here", 4: "", 5: None, 6: " \n"}
+    assert lines.dedup_lines(docs).count() == len(texts)
+
+
 @pytest.mark.parametrize("home", ["article", 'div class="content"', "div"])
 def test_main_text(spark, home):
     rows, want = [], {}

@@ -136,6 +136,45 @@ def test_ledger_scans_only_what_is_new(spark, tmp_path):
     assert spark.read.parquet(f"{folder}/findings").filter("rules = 'next'").count() == 2
 
 
+def test_other_rules_scan_anew(spark, tmp_path):
+    docs = spark.createDataFrame([(1, "token=aaaaaaaa XYZ-1234")], "doc_id long, text string")
+    rules = (*secret_scan.RULES[:1], secret_scan.Rule("ticket", "XYZ-[0-9]+"))
+    for _ in range(2):
+        first = secret_scan.scan(docs, str(tmp_path)).first().spans
+        second = secret_scan.scan(docs, str(tmp_path), rules=rules).first().spans
+        assert [s.kind for s in first] == ["assign"] and [s.kind for s in second] == ["assign", "ticket"]
+    assert spark.read.parquet(f"{tmp_path}/findings").count() == 2
+
+
+def test_quality_statistics_against_plain_python(spark, edge_docs):
+    import re
+
+    docs = [r.text for r in spark.read.parquet(f"{SMALL}/documents.parquet").select("text").collect()] + [r.text for r in edge_docs.collect()]
+    for text in docs:
+        text = text or ""
+        words = re.findall(r"[^\x20\x09-\x0D]+", text)
+        seen, again = set(), 0
+        for line in text.split("\n"):
+            if re.search(r"[^\x20\x09-\x0D]", line):
+                again += line in seen
+                seen.add(line)
+        repeats = plain_repeats(words)
+        counts = dict(zip(quality.COUNTS, quality.statistics(text)[0], strict=True))
+        assert counts == {
+            "n_words": len(words), "word_chars": sum(map(len, words)), "n_symbols": len(re.findall(r"[#*$%&|<>]", text)),
+            "n_dup_lines": again, "n_repeat_words": repeats,
+        }
+        assert quality.base_failed(list(counts.values())) == (len(words) < 20 or 100 * repeats > 30 * len(words))
+
+
+def test_quality_in_place_agrees_with_the_table(spark):
+    docs, labels = (spark.read.parquet(f"{SMALL}/{t}.parquet") for t in ("documents", "labels"))
+    kept = {r.doc_id for r in quality.quality_rules(docs, labels).filter("kept").collect()}
+    assert {r.doc_id for r in quality.keep_good(docs, labels).collect()} == kept
+    plan = quality.keep_good(docs, labels)._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in plan
+
+
 def plain_repeats(words):
     seen = Counter(tuple(words[i : i + 8]) for i in range(len(words) - 7))
     hit = set()
