@@ -23,8 +23,8 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Lines similar to an earlier one go; documents stay."""
-    return lines.dedup_lines(docs)
+    """Lines similar to an earlier one go, and documents that have no word left by it."""
+    return lines.dedup_lines(docs, drop_emptied=True)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
