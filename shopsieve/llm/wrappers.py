@@ -7,7 +7,11 @@ a part that occurs once here and again there becomes repeated, differing texts b
 result, the host's wrapper, is a union-free expression: a sequence of tags with nested sequences,
 each optional and/or repeated, constants and text slots. Which slots hold the article is decided
 once per wrapper, from regions, link shares and text mass over all its pages; a page's text is what
-its own stream has in those slots.
+its own stream has in those slots, but for constants: lines that ``CONSTANT_PAGES`` pages or more of a host have
+in the same slot, and all of them that have the slot, are the site's own. Headings stay, and a page all of constants keeps them.
+
+Elements nested deeper than ``DEPTH`` are laid into the one at that depth, as browsers do, so that no page is
+too deep to be walked.
 
 Every task aligns its own pages first, so a host with a third of all pages is one small wrapper per
 task afterwards; these meet in two rounds, salted by task.
@@ -18,7 +22,10 @@ from __future__ import annotations
 import html
 import json
 import re
+from bisect import bisect_left
+from collections import Counter
 from collections.abc import Callable, Iterator
+from functools import lru_cache
 from zlib import crc32
 
 import pandas as pd
@@ -33,6 +40,12 @@ from shopsieve.sinks.scratch import hand_off
 SALTS = 32
 #: Longest unit of tags that is sought as a repeated group.
 UNIT = 4
+#: Levels of nested elements that are kept apart.
+DEPTH = 100
+#: A text that so many pages of a host, and no page without it, have in a slot is the site's own.
+CONSTANT_PAGES = 8
+#: Sequences with more pairs than this are aligned step by step instead of by longest common subsequence.
+PAIRS, NEAR = 1_000_000, 64
 
 # Kinds of HTML elements, and words in class or id that name a region.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -63,20 +76,24 @@ ASIDE_WORDS = frozenset(
     "sponsor sponsored subscribe toolbar widget".split()
 )
 MAIN_WORDS = frozenset("article content entry main post story".split())
+# Words that make a name speak of a page's state instead of a region, at its beginning or end.
+STATE_FIRST = frozenset("has hide is js no show with without".split())
+STATE_LAST = frozenset("active allowed closed disabled enabled layout off on open page ready supported template visible".split())
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 
+#: Attributes are names with quoted or unquoted values; a quote elsewhere begins nothing.
 TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)|<![^>]*>?|<\?[^>]*>?|<(/?)([A-Za-z][A-Za-z0-9:-]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|\Z)|<[^A-Za-z/!?<][^<]*|</?[^<]*|[^<]+",
+    r"<!--.*?(?:-->|\Z)|<![^>]*>?|<\?[^>]*>?|<(/?)([A-Za-z][A-Za-z0-9:-]*)((?:[^>=]++|=\s*+(?:\"[^\"]*+\"?|'[^']*+'?|[^\s>\"'][^\s>]*+)?)*+)(?:>|\Z)|<[^A-Za-z/!?<][^<]*|</?[^<]*|[^<]+",
     re.DOTALL,
 )
 ENDS = {tag: re.compile(rf"<(/?){tag}(?=[\s/>])[^>]*(?:>|\Z)", re.IGNORECASE) for tag in RAW | HIDDEN}
-NAMED = re.compile(r"\b(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.IGNORECASE)
+NAMED = re.compile(r"(?<![\w-])(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.IGNORECASE)
 
 
 class Node:
     """A tag, a text ("#") or a group of tags ("(...)") of a stream or wrapper."""
 
-    __slots__ = ("label", "children", "optional", "repeated", "constant", "chars", "linked", "keep", "text", "parts")
+    __slots__ = ("label", "children", "optional", "repeated", "constant", "chars", "linked", "keep", "text", "parts", "pages", "common", "spared")
 
     def __init__(self, label: str) -> None:
         self.label = label
@@ -86,10 +103,13 @@ class Node:
         self.chars = self.linked = 0
         self.text = ""
         self.parts: list[list[Node]] = []
+        self.pages = 1
+        self.common: frozenset[int] = frozenset()  # texts of a slot that all its pages have
+        self.spared: frozenset[str] = frozenset()  # of a root: names like side regions that hold the article
 
     def pack(self) -> list:
         flags = self.optional + 2 * self.repeated + 4 * self.keep
-        return [self.label, flags, self.constant, self.chars, self.linked, [c.pack() for c in self.children]]
+        return [self.label, flags, self.constant, self.chars, self.linked, [c.pack() for c in self.children], self.pages, sorted(self.common)]
 
     @classmethod
     def unpack(cls, packed: list) -> Node:
@@ -97,6 +117,7 @@ class Node:
         node.optional, node.repeated, node.keep = (bool(packed[1] & b) for b in (1, 2, 4))
         node.constant, node.chars, node.linked = packed[2:5]
         node.children = [cls.unpack(c) for c in packed[5]]
+        node.pages, node.common = packed[6], frozenset(packed[7])
         return node
 
     def expression(self) -> str:
@@ -113,8 +134,12 @@ class Node:
 
 
 def _label(tag: str, attributes: str) -> str:
-    words = re.split(r"[^a-z]+", " ".join(a or b or c for a, b, c in NAMED.findall(attributes)).lower()) if "=" in attributes else []
-    return ".".join([tag, *sorted({w for w in words if w})])
+    """The tag and its names, each as words with hyphens; digits, which tell pages apart, are left out."""
+    names = set()
+    if "=" in attributes:
+        for given in " ".join(a or b or c for a, b, c in NAMED.findall(attributes)).split():
+            names.add("-".join(re.findall("[a-z]+", re.sub("([a-z])([A-Z])", r"\1-\2", given).lower())))
+    return ".".join([tag, *sorted(names - {""})])
 
 
 def _past(page: str, tag: str, at: int) -> int:
@@ -136,7 +161,9 @@ def _past(page: str, tag: str, at: int) -> int:
 def parse(page: str) -> Node:
     """The page as a tree: missing end tags are supplied, inline tags dropped, texts decoded and trimmed."""
     root = Node("")
-    stack: list[tuple[str, Node]] = [("", root)]
+    # tag, node that takes its texts, and whether it is a side region below the depth at which nodes end
+    stack: list[tuple[str, Node, bool]] = [("", root, False)]
+    opened: Counter[str] = Counter()
     text: list[str] = []
     linked = links = at = 0
 
@@ -144,9 +171,10 @@ def parse(page: str) -> Node:
         nonlocal linked
         whole = " ".join(html.unescape("".join(text)).split())
         text.clear()
-        if whole:
+        if whole and not stack[-1][2]:
             node = Node("#")
             node.text, node.chars, node.linked, node.constant = whole, len(whole), min(linked, len(whole)), crc32(whole.encode("utf-8", "replace"))
+            node.common = frozenset([node.constant])
             stack[-1][1].children.append(node)
         linked = 0
 
@@ -174,30 +202,42 @@ def parse(page: str) -> Node:
                     at = _past(page, tag, at)
                     break  # the search goes on from there
             elif end:
-                place = next((i for i in range(len(stack) - 1, 0, -1) if stack[i][0] == tag), 0)
                 flush()
-                if place:
-                    del stack[place:]
+                while opened[tag]:
+                    closed = stack.pop()[0]
+                    opened[closed] -= 1
+                    if closed == tag:
+                        break
                 links = 0
             else:
                 flush()
                 links = 0
                 while len(stack) > 1 and tag in CLOSED_BY.get(stack[-1][0], ()):
-                    stack.pop()
-                node = Node(_label(tag, attributes))
-                stack[-1][1].children.append(node)
-                stack.append((tag, node))
+                    opened[stack.pop()[0]] -= 1
+                label = _label(tag, attributes)
+                if len(stack) <= DEPTH:
+                    node = Node(label)
+                    stack[-1][1].children.append(node)
+                    stack.append((tag, node, False))
+                else:
+                    stack.append((tag, stack[-1][1], stack[-1][2] or _aside(label)))
+                opened[tag] += 1
     flush()
     return root
 
 
-def merged(a: Node, b: Node) -> Node:
-    """The least expression of this kind that matches what either matches."""
+def merged(a: Node, b: Node, across: bool = True) -> Node:
+    """The least expression of this kind that matches what either matches.
+
+    ``across``: of two pages, whose slots have in common what both have; else of two parts of one page.
+    """
     out = Node(a.label)
     out.optional, out.repeated = a.optional or b.optional, a.repeated or b.repeated
     out.constant = a.constant if a.constant == b.constant else None
     out.chars, out.linked = a.chars + b.chars, a.linked + b.linked
-    out.children = align(a.children, b.children) if a.children or b.children else []
+    out.pages = a.pages + b.pages if across else max(a.pages, b.pages)
+    out.common = a.common & b.common if across else a.common | b.common
+    out.children = align(a.children, b.children, across) if a.children or b.children else []
     return out
 
 
@@ -209,11 +249,11 @@ def fold(nodes: list[Node]) -> list[Node]:
     out: list[Node] = []
     for node in nodes:
         shape = Node(node.label)
-        shape.constant, shape.chars, shape.linked, shape.text = node.constant, node.chars, node.linked, node.text
+        shape.constant, shape.chars, shape.linked, shape.text, shape.common = node.constant, node.chars, node.linked, node.text, node.common
         shape.children = fold(node.children)
         shape.parts = [[node]]
         if out and out[-1].label == node.label:
-            both = merged(out[-1], shape)
+            both = merged(out[-1], shape, across=False)
             both.repeated, both.parts = True, out[-1].parts + shape.parts
             out[-1] = both
         else:
@@ -236,7 +276,7 @@ def _group(units: list[list[Node]], repeated: bool) -> Node:
     group.repeated = repeated
     group.children = units[0]
     for unit in units[1:]:
-        group.children = [merged(a, b) for a, b in zip(group.children, unit, strict=True)]
+        group.children = [merged(a, b, across=False) for a, b in zip(group.children, unit, strict=True)]
     group.parts = [[p for n in unit for part in n.parts for p in part] for unit in units]
     return group
 
@@ -256,83 +296,180 @@ def absorb(nodes: list[Node], groups: list[Node]) -> list[Node]:
 
 
 def matches(xs: list[Node], ys: list[Node]) -> list[tuple[int | None, int | None]]:
-    """Longest common subsequence by label; unmatched places stand alone, in order."""
+    """Longest common subsequence by label; unmatched places stand alone, in order.
+
+    Equal beginnings and ends match as they are. What lies between is aligned step by step if it is very
+    long, each label with the next like it that is near; so time and memory are bounded for any page.
+    """
     a, b = [n.label for n in xs], [n.label for n in ys]
-    if a == b:
-        return [(i, i) for i in range(len(a))]
+    first, last = 0, 0
+    while first < min(len(a), len(b)) and a[first] == b[first]:
+        first += 1
+    while last < min(len(a), len(b)) - first and a[-1 - last] == b[-1 - last]:
+        last += 1
+    inner_a, inner_b = a[first : len(a) - last], b[first : len(b) - last]
+    pairs = _subsequence(inner_a, inner_b) if len(inner_a) * len(inner_b) <= PAIRS else _step_by_step(inner_a, inner_b)
+    matched = [(k, k) for k in range(first)] + [(i + first, j + first) for i, j in pairs]
+    matched += [(len(a) - k, len(b) - k) for k in range(last, 0, -1)]
+    out, i, j = [], 0, 0
+    for to_i, to_j in [*matched, (len(a), len(b))]:
+        out += [(k, None) for k in range(i, to_i)] + [(None, k) for k in range(j, to_j)]
+        if to_i < len(a) and to_j < len(b):
+            out.append((to_i, to_j))
+        i, j = to_i + 1, to_j + 1
+    return out
+
+
+def _subsequence(a: list[str], b: list[str]) -> list[tuple[int, int]]:
     best = [[0] * (len(b) + 1) for _ in range(len(a) + 1)]
     for i in range(len(a) - 1, -1, -1):
         for j in range(len(b) - 1, -1, -1):
             best[i][j] = best[i + 1][j + 1] + 1 if a[i] == b[j] else max(best[i + 1][j], best[i][j + 1])
     out, i, j = [], 0, 0
-    while i < len(a) or j < len(b):
-        if i < len(a) and j < len(b) and a[i] == b[j]:
+    while i < len(a) and j < len(b):
+        if a[i] == b[j]:
             out.append((i, j))
             i, j = i + 1, j + 1
-        elif j >= len(b) or (i < len(a) and best[i + 1][j] >= best[i][j + 1]):
-            out.append((i, None))
+        elif best[i + 1][j] >= best[i][j + 1]:
             i += 1
         else:
-            out.append((None, j))
             j += 1
     return out
 
 
-def align(xs: list[Node], ys: list[Node]) -> list[Node]:
+def _step_by_step(a: list[str], b: list[str]) -> list[tuple[int, int]]:
+    where: dict[str, list[int]] = {}
+    for j, label in enumerate(b):
+        where.setdefault(label, []).append(j)
+    out, j = [], 0
+    for i, label in enumerate(a):
+        places = where.get(label, [])
+        at = bisect_left(places, j)
+        if at < len(places) and places[at] < j + NEAR:
+            out.append((i, places[at]))
+            j = places[at] + 1
+    return out
+
+
+def align(xs: list[Node], ys: list[Node], across: bool = True) -> list[Node]:
     """Two sequences as one; what either side lacks is optional."""
     xs, ys = absorb(xs, ys), absorb(ys, xs)
     out = []
     for i, j in matches(xs, ys):
         if i is not None and j is not None:
-            out.append(merged(xs[i], ys[j]))
+            out.append(merged(xs[i], ys[j], across))
         else:
             node = xs[i] if j is None else ys[j]
             if not node.optional:
                 alone = Node(node.label)
                 alone.repeated, alone.constant, alone.chars, alone.linked, alone.children = node.repeated, node.constant, node.chars, node.linked, node.children
+                alone.pages, alone.common = node.pages, node.common
                 alone.optional = True
                 node = alone
             out.append(node)
     return out
 
 
-def _aside(label: str) -> bool:
+@lru_cache(maxsize=1 << 16)
+def _side_name(label: str) -> bool:
+    """Whether a name is that of a side region; one that says how the page is made, like has-sidebar, is not."""
+    tag, *names = label.split(".")
+    if tag in ("html", "body"):
+        return False
+    for words in (name.split("-") for name in names):
+        if not ASIDE_WORDS.isdisjoint(words) and words[0] not in STATE_FIRST and (len(words) == 1 or words[-1] not in STATE_LAST):
+            return True
+    return False
+
+
+def _words(label: str) -> set[str]:
+    return {word for name in label.split(".")[1:] for word in name.split("-")}
+
+
+def _aside(label: str, spared: frozenset[str] = frozenset()) -> bool:
     if label.startswith("("):  # a group; its members are judged one by one
         return False
-    tag, *words = label.split(".")
-    return tag in ASIDE_TAGS or not ASIDE_WORDS.isdisjoint(words)
+    return label.split(".", 1)[0] in ASIDE_TAGS or label not in spared and _side_name(label)
 
 
-def _mass(node: Node) -> int:
+def _mass(node: Node, spared: frozenset[str]) -> int:
     """Characters of texts that are neither links nor in a side region."""
     if node.label == "#":
         return node.chars - node.linked
-    return 0 if _aside(node.label) else sum(map(_mass, node.children))
+    return 0 if _aside(node.label, spared) else sum(_mass(c, spared) for c in node.children)
+
+
+def _article_like(label: str) -> bool:
+    """Elements that can only be an article's by their tag or name, whatever stands around them."""
+    if label.startswith("("):
+        return False
+    tag = label.split(".", 1)[0]
+    return (tag in ("article", "main") and not _words(label) & {"comment", "comments", "reply", "replies"}) or (
+        not MAIN_WORDS.isdisjoint(_words(label)) and not _side_name(label)
+    )
+
+
+def _spared(root: Node) -> frozenset[str]:
+    """Labels like those of side regions on the way to the article, which is no side region itself.
+
+    The article is the heaviest element of its kind, if it has a fifth of the page's text or more; ``sidebar``
+    in the class of something around it then speaks of the layout.
+    """
+    masses: dict[int, int] = {}
+
+    def weigh(node: Node) -> int:
+        """Without regard to names."""
+        if node.label == "#":
+            return node.chars - node.linked
+        tag = "" if node.label.startswith("(") else node.label.split(".", 1)[0]
+        masses[id(node)] = 0 if tag in ASIDE_TAGS else sum(map(weigh, node.children))
+        return masses[id(node)]
+
+    total = weigh(root)
+    best: tuple[int, frozenset[str]] = (0, frozenset())
+
+    def walk(node: Node, above: frozenset[str]) -> None:
+        nonlocal best
+        if node.label == "#" or not masses[id(node)]:
+            return
+        if _side_name(node.label):
+            above = above | {node.label}
+        # outside of regions with such names an article counts in full
+        weight = masses[id(node)] if above else 2 * masses[id(node)]
+        if _article_like(node.label) and weight > best[0] and 5 * masses[id(node)] >= total:
+            best = (weight, above)
+        for child in node.children:
+            walk(child, above)
+
+    walk(root, frozenset())
+    return best[1]
 
 
 def _container(root: Node) -> Node:
     """Where the article is: by tag, else by name, else the deepest part with most of the text."""
+    spared = root.spared
 
     def within(node: Node, wanted: Callable[[str], bool]) -> list[Node]:
-        if _aside(node.label):
+        if _aside(node.label, spared):
             return []
         inner = [x for c in node.children for x in within(c, wanted)]
         return [node, *inner] if wanted(node.label) and not node.label.startswith("(") else inner
 
     for wanted in (
         lambda label: label.split(".")[0] == "article",
-        lambda label: label.split(".")[0] == "main" or "main" in label.split(".")[1:],
-        lambda label: not MAIN_WORDS.isdisjoint(label.split(".")[1:]),
+        lambda label: label.split(".")[0] == "main" or "main" in _words(label),
+        lambda label: not MAIN_WORDS.isdisjoint(_words(label)),
     ):
-        found = [n for n in within(root, wanted) if _mass(n)]
+        found = [n for n in within(root, wanted) if _mass(n, spared)]
         if found:
-            return max(found, key=_mass)
+            return max(found, key=lambda n: _mass(n, spared))
     node = root
     while node.children:
-        heavy = max(node.children, key=_mass)
-        if heavy.label == "#" or 2 * _mass(heavy) < _mass(node) or heavy.repeated or _mass(heavy) == 0:
+        heavy = max(node.children, key=lambda n: _mass(n, spared))
+        mass = _mass(heavy, spared)
+        if heavy.label == "#" or 2 * mass < _mass(node, spared) or heavy.repeated or mass == 0:
             break
-        if not any(c.label != "#" and not _aside(c.label) for c in heavy.children):
+        if not any(c.label != "#" and not _aside(c.label, spared) for c in heavy.children):
             break
         node = heavy
     return node
@@ -344,6 +481,7 @@ def _named(home: Node) -> bool:
 
 def decide(root: Node) -> Node:
     """Mark the slots that hold the article, and the container and its parts, where a page may have more."""
+    root.spared = _spared(root)
     home = _container(root)
     named = _named(home)
 
@@ -351,10 +489,10 @@ def decide(root: Node) -> Node:
         node.keep = True
         for child in node.children:
             if child.label == "#":
-                # outside a named article, texts that never change or are mostly links are the site's own
+                # outside a named article, texts that are mostly links are the site's own
                 stray = not named and child.repeated is False and 2 * child.linked > child.chars
                 child.keep = not stray and (not heading_only or node.label.split(".")[0] in HEADINGS)
-            elif not _aside(child.label):
+            elif not _aside(child.label, root.spared):
                 mark(child, heading_only or child.label.split(".")[0] == "header")
 
     mark(home, False)
@@ -367,15 +505,16 @@ def extract(page: Node, wrapper: Node) -> str:
     Parts of the article's container that the wrapper's sequence does not match are decided like the
     container: they stay but for side regions. A page without that container has one of its own.
     """
-    out: list[str] = []
+    out: list[tuple[str, bool, bool]] = []  # texts, whether they are constants of the host, whether headings
     home: Node | None = None  # the container, once the page has reached it
+    spared = wrapper.spared
 
     def rest(node: Node, above: str, heading_only: bool) -> None:
         if node.label == "#":
             stray = not _named(home) and 2 * node.linked > node.chars
             if not stray and (not heading_only or above in HEADINGS):
-                out.append(node.text)
-        elif not _aside(node.label):
+                out.append((node.text, False, False))
+        elif not _aside(node.label, spared):
             tag = node.label.split(".")[0]
             for child in node.children:
                 rest(child, tag, heading_only or tag == "header")
@@ -402,15 +541,19 @@ def extract(page: Node, wrapper: Node) -> str:
                 for node in part:
                     if node.label == "#":
                         if slot.keep:
-                            out.append(node.text)
+                            constant = slot.pages >= CONSTANT_PAGES and node.constant in slot.common
+                            out.append((node.text, constant, above in HEADINGS))
                     else:
                         tag = node.label.split(".")[0]
                         walk(node.children, slot, tag, slot.keep and (heading_only or tag == "header"))
 
     walk(page.children, wrapper, "", False)
     if home is None:
-        walk(page.children, decide(stream(page)), "", False)
-    return "\n\n".join(out)
+        alone = decide(stream(page))
+        spared = alone.spared
+        walk(page.children, alone, "", False)
+    varied = not all(constant for _, constant, _ in out)
+    return "\n\n".join(text for text, constant, heading in out if not constant or heading or not varied)
 
 
 def stream(page: Node) -> Node:
@@ -420,12 +563,15 @@ def stream(page: Node) -> Node:
     return root
 
 
-def pack(node: Node) -> str:
-    return json.dumps(node.pack(), separators=(",", ":"))
+def pack(root: Node) -> str:
+    return json.dumps([root.pack(), sorted(root.spared)], separators=(",", ":"))
 
 
 def unpack(packed: str) -> Node:
-    return Node.unpack(json.loads(packed))
+    tree, spared = json.loads(packed)
+    root = Node.unpack(tree)
+    root.spared = frozenset(spared)
+    return root
 
 
 def host_of(url: str = "url"):

@@ -295,6 +295,73 @@ def test_mixed_blocks_in_any_order(seed):
     assert texts_by_host(list(pages), 1 + seed % 4) == list(want)
 
 
+def alone(page):
+    tree = wrappers.parse(page)
+    return wrappers.extract(tree, wrappers.decide(wrappers.stream(tree)))
+
+
+@pytest.mark.parametrize(
+    "frame",
+    [
+        "<body class='has-sidebar single'><article>{}</article></body>",
+        "<body class='sidebar-right'><div id=content>{}</div><div class='sidebar-right'><p>side words here</p></div></body>",
+        "<body><div class='layout sidebar-right'><article>{}</article><div class=sidebar><p>side words here</p></div></div></body>",
+        "<body><article class='post comments-open type-post'>{}</article><div class='comments'><article class='comment'><p>I think so</p></article></div></body>",
+        "<body class='home blog with-footer'><div class='site'><div class='widget-layout'><main>{}</main></div></div><div class='widget'><p>w</p></div></body>",
+        "<body><div id='page' class='nav-page'><div class='entry-content'>{}</div><div class='entry-footer related-posts'><p>See also</p></div></div></body>",
+        "<body><div class='newsletterActive'><article>{}</article></div><div class='newsletterSignup'><p>Sign up</p></div></body>",
+        "<body><section class='comments-and-article notices'><article>{}</article></section><aside><p>x</p></aside></body>",
+    ],
+)
+def test_names_of_themes_do_not_hide_the_article(frame):
+    body = "<h1>Title</h1><p>One long paragraph with quite a few words in it.</p><p>Two</p>"
+    assert alone(frame.format(body)) == "Title\n\nOne long paragraph with quite a few words in it.\n\nTwo"
+
+
+@pytest.mark.parametrize(
+    ("page", "text"),
+    [
+        ("<p title=Bob's>One</p><p>It's two</p><p>three</p>", "One\n\nIt's two\n\nthree"),
+        ("<p title=\"a>b\" data-x='c>d' hidden>One</p><p a = 'x\"y' b=>two</p>", "One\n\ntwo"),
+        ("<p \"odd'>One</p><p x=a\"b'c>two</p>", "One\n\ntwo"),
+        ("<p data-id='sidebar' aria-class=nav>One</p><p id=footer>no</p>", "One"),
+        ("<p>a < b and c > d</p><br/><p/>e", "a < b and c > d\n\ne"),
+    ],
+)
+def test_attributes(page, text):
+    assert alone(page) == text
+
+
+def test_deep_and_long_pages():
+    deep = "<div>" * 50_000
+    assert alone(f"<article><p>One</p>{deep}<p>two</p><nav>no</nav>three") == "One\n\ntwo\n\nthree"
+    assert alone(deep + "x" + "</div></span></td>" * 50_000 + "<p>y</p>").startswith("x")
+    shallow = wrappers.stream(wrappers.parse("<article><p>One</p></article>"))
+    both = wrappers.merged(wrappers.stream(wrappers.parse(f"<article>{deep}<p>two</p>")), shallow)
+    assert wrappers.unpack(wrappers.pack(wrappers.decide(both))).pack() == both.pack()
+    rng = random.Random(1)
+    trees = []
+    for _ in range(2):
+        parts = rng.choices(["<p>p</p>", "<h2>h</h2>", "<ul><li>l</li></ul>", "<div>d</div>", "<table><tr><td>t</td></tr></table>", "<pre>q</pre>"], k=6000)
+        trees.append((wrappers.parse(f"<article>{''.join(parts)}</article>"), len(parts)))
+    whole = wrappers.decide(wrappers.merged(*(wrappers.stream(t) for t, _ in trees)))
+    for tree, n in trees:
+        assert len(wrappers.extract(tree, whole).split("\n\n")) == n
+
+
+def test_lines_of_all_pages_are_the_sites_own():
+    note = "Subscribe to our site and follow us today."
+    frame = "<body><article><h1>T{0}</h1><h2>Summary</h2><p>p{0} one</p><p>p{0} two</p><p>" + note + "</p></article></body>"
+    pages = [frame.format(k) for k in range(12)]
+    assert texts_by_host(pages, 3) == [f"T{k}\n\nSummary\n\np{k} one\n\np{k} two" for k in range(12)]
+    few = pages[: wrappers.CONSTANT_PAGES - 1]
+    assert all(note in text for text in texts_by_host(few, 2))
+    without = frame.replace(note, "own words {0}").format(99)
+    assert all(note in text for text in texts_by_host([*pages, without], 3)[:-1])  # not on every page
+    same = [frame.format(1)] * 12
+    assert texts_by_host(same, 3) == [f"T1\n\nSummary\n\np1 one\n\np1 two\n\n{note}"] * 12
+
+
 def test_pipeline_on_edge_rows(spark, edge_docs, tmp_path):
     import corpus_pipeline
 
