@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shopsieve.llm.common import runs, ship_code, words_of
-from shopsieve.llm.filters import may_be_in
+from shopsieve.llm.filters import BitFilter
 from shopsieve.sinks.scratch import hand_off
 
 SAMPLE_ROWS = 8192
@@ -193,12 +193,19 @@ def base_failed(counts: tuple[int, ...]) -> bool:
     return counts[0] < MIN_WORDS or 100 * counts[4] > MAX_REPEAT_PCT * counts[0]
 
 
-def with_statistics(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """doc_id, counts, features and base_failed of each row (null text: empty)."""
+def with_statistics(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", among: DataFrame | None = None) -> DataFrame:
+    """doc_id, counts, features and base_failed of each row (null text: empty).
+
+    With ``among`` (a column of ids) only rows whose id may be there are measured; none that is there is left out.
+    """
     ship_code(docs.sparkSession)
+    wanted = None if among is None else docs.sparkSession.sparkContext.broadcast(BitFilter.of(among))
     names = ["doc_id", *COUNTS, *FEATURES, "base_failed"]
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        if wanted is not None:
+            present = (b.filter(b.column(0).is_valid()) for b in batches)
+            batches = (b.filter(pa.array(wanted.value.has(b.column(0).to_numpy()))) for b in present)
         for batch, texts in runs(batches, 1):
             found = [statistics(t) for t in texts]
             columns = [pa.array([c[i] for c, _ in found], pa.int64()) for i in range(len(COUNTS))]
@@ -272,8 +279,7 @@ def keep_good(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """
     known = labels.select(F.col("doc_id").cast("long").alias("__id")).filter("__id is not null").distinct()
     # texts stay where they are: only statistics of documents that may have a label are joined
-    ids = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").filter("doc_id is not null")
-    found = with_statistics(ids.filter(may_be_in(known, F.col("doc_id"))))
+    found = with_statistics(docs, among=known)
     stats = hand_off(found.join(known, found["doc_id"] == known["__id"], "left_semi"), "quality-statistics")
     model = fit(stats, labels)
 
