@@ -17,6 +17,10 @@ from pyspark.sql import functions as F
 RUN_CHARS = 2_000_000
 #: And of no more rows than this.
 RUN_ROWS = 1 << 15
+#: Rows in a batch that Spark sends to Python, unless the session names a number of its own: Spark's default of 10,000
+#: long texts would stand several times in the memory of an executor and its workers.
+BATCH_ROWS = 1500
+_BATCH = ("spark.sql.execution.arrow.maxRecordsPerBatch", "10000")
 _ARCHIVE = "shopsieve_code"
 
 
@@ -29,8 +33,10 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def ship_code(spark: SparkSession) -> None:
-    """Send this package to the Python workers, once a session, as ``--py-files`` would."""
+    """Send this package to the Python workers, once a session, as ``--py-files`` would, and bound their batches."""
     context = spark.sparkContext
+    if spark.conf.get(_BATCH[0]) == _BATCH[1]:
+        spark.conf.set(_BATCH[0], BATCH_ROWS)
     if any(_ARCHIVE in name for name in context._python_includes):
         return
     package = Path(__file__).resolve().parents[1]
