@@ -3,15 +3,19 @@
 Folding lower-cases, strips accents, maps homoglyphs to Latin letters and digits or signs to the
 letters they stand for. The folded words, one space between them, are searched for the lexicon's
 entries: whole words (`` word ``) and stems (`` stem``). A word's weight is that of its heaviest
-entry; words inside an exception phrase weigh nothing. The sums over bands of weights (``BANDS``),
-divided by ``1 + log(1 + words / UNIT_WORDS)``, go through a logistic curve with a slope for each band,
-so that many weak entries of a large corpus do not drown the strong ones.
-
-The lexicon is learned from labels. All entries are counted in all labelled documents, and those that
+entry; words inside an exception phrase weigh nothing. The sums over bands of weights, divided by
+``1 + log(1 + words / UNIT_WORDS)``, go through a logistic curve with a slope for each band, so that many
+weak entries of a large corpus do not drown the strong ones. Where the bands begin is chosen from
+``CANDIDATES`` inside the training rows: a lexicon and curve fitted on the other folds (``FOLDS``, by hash of
+the text, so that copies stay together) must give the rows of one fold the least log loss.
+
+The lexicon is learned from labels, on at most ``SAMPLE_ROWS`` labelled rows: of each label up to half as
+many, those with the smallest hash of their id. The curve counts each of them for as many as its label has
+altogether. All entries are counted in all rows of this sample, and those that
 ``MIN_TOXIC`` toxic documents or more hold are weighed. Weights are log odds less ``CAUTION`` standard
 errors, that is a lower bound; kept are those above ``MIN_WEIGHT``, a test that is the same at any size,
 but for entries that a stem of theirs outweighs, which never count. Exceptions are phrases of two words around an entry that
-clean documents hold and toxic ones do not. Counting and calibration are grouped sums over all training rows.
+clean documents hold and toxic ones do not. Counting and calibration are grouped sums over the sample.
 """
 
 from __future__ import annotations
@@ -30,7 +34,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shopsieve.llm.common import runs, ship_code, utf8, word_hashes
-from shopsieve.llm.filters import BitFilter, may_be_in
+from shopsieve.llm.filters import BitFilter
 from shopsieve.sinks.scratch import hand_off
 
 STEMS = (4, 5, 6, 7, 8)
@@ -39,8 +43,12 @@ MIN_EXCEPTION = 3
 CAUTION = 2.0
 MIN_WEIGHT = 1.0
 UNIT_WORDS = 100
-#: Lower ends of the bands of weights.
-BANDS = (0.0, 2.0, 3.0, 4.0, 5.0)
+#: Most labelled rows to learn from, half of them of each label.
+SAMPLE_ROWS = 32_768
+#: One fold of so many judges the candidates.
+FOLDS = 4
+#: Lower ends of the bands of weights to choose from, all among those of the last one; the first where rows are too few to choose.
+CANDIDATES = ((0.0,), (0.0, 3.0), (0.0, 2.0, 4.0), (0.0, 2.0, 3.0, 4.0, 5.0), (0.0, 1.5, 2.0, 2.5, 3.0, 3.5, 4.0, 4.5, 5.0))
 #: Steps of a band's sum in the calibration, a power of e apart; sums beyond the last count as it.
 STEPS, LAST = 16, 64
 
@@ -81,6 +89,7 @@ class Lexicon:
     exceptions: frozenset[str] = frozenset()
     slope: float | np.ndarray = 0.0
     offset: float = -10.0
+    cuts: tuple[float, ...] = CANDIDATES[0]
 
     def automaton(self):
         import ahocorasick
@@ -114,9 +123,9 @@ class Lexicon:
     def bands(self, automaton, text: str) -> list[float]:
         """Weights found in the text, summed by band, for its length."""
         words = folded(text)
-        sums, unit = [0.0] * len(BANDS), 1 + math.log1p(len(words) / UNIT_WORDS)
+        sums, unit = [0.0] * len(self.cuts), 1 + math.log1p(len(words) / UNIT_WORDS)
         for weight in self.hits(automaton, words).values():
-            sums[bisect_right(BANDS, weight) - 1] += weight / unit
+            sums[bisect_right(self.cuts, weight) - 1] += weight / unit
         return sums
 
     def measure(self, automaton, text: str) -> float:
@@ -148,12 +157,51 @@ def _hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(hashes.view(np.int64))], ["hash"])
 
 
-def learn(rows: DataFrame) -> Lexicon:
-    """Fit on ``rows`` (text, toxic 0 or 1); without rows of both kinds every text scores near 0."""
+def _totals(rows: DataFrame) -> dict[int, int]:
+    return {r["toxic"]: r["n"] for r in rows.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
+
+
+def learn(rows: DataFrame, stand_for: dict[int, int] | None = None) -> Lexicon:
+    """Fit on ``rows`` (text, toxic 0 or 1), a bounded sample; without rows of both kinds every text scores near 0.
+
+    ``stand_for`` says how many rows there are of each label altogether, if more than in the sample.
+    """
     ship_code(rows.sparkSession)
-    totals = {r["toxic"]: r["n"] for r in rows.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
+    totals = _totals(rows)
     if len(totals) < 2:
         return Lexicon()
+    shares = {x: (stand_for or totals)[x] / n for x, n in totals.items()}
+    judge = F.pmod(F.xxhash64("text"), F.lit(FOLDS)) == 0
+    cuts = choose(rows.filter(~judge), rows.filter(judge), shares)
+    lexicon = weigh(rows, totals)
+    lexicon.cuts = cuts
+    lexicon.slope, lexicon.offset = _logistic(*measured(rows, lexicon, shares))
+    return lexicon
+
+
+def choose(rows: DataFrame, judges: DataFrame, shares: dict[int, float]) -> tuple[float, ...]:
+    """The candidate whose curve, with all else learned from ``rows``, gives ``judges`` the least log loss."""
+    totals = _totals(rows)
+    if len(totals) < 2 or len(_totals(judges)) < 2:
+        return CANDIDATES[0]
+    lexicon = weigh(rows, totals)
+    lexicon.cuts = finest = CANDIDATES[-1]
+    (x, toxic, clean), (seen, *truth) = (measured(part, lexicon, shares) for part in (rows, judges))
+    losses = []
+    for cuts in CANDIDATES:
+        coarser = np.array([[bisect_right(cuts, low) - 1 == k for k in range(len(cuts))] for low in finest], float)
+        lexicon.slope, lexicon.offset = _logistic(x @ coarser, toxic, clean)
+        losses.append(log_loss(lexicon.score(seen @ coarser), *truth))
+    return CANDIDATES[int(np.argmin(losses))]
+
+
+def log_loss(scores: np.ndarray, toxic: np.ndarray, clean: np.ndarray) -> float:
+    p = np.clip(scores, 1e-6, 1 - 1e-6)
+    return float(-(toxic * np.log(p) + clean * np.log(1 - p)).sum())
+
+
+def weigh(rows: DataFrame, totals: dict[int, int]) -> Lexicon:
+    """Entries with their weights, and exceptions."""
 
     def entries(texts: list[str], labels: list[int]) -> Counter:
         return Counter((e, x) for t, x in zip(texts, labels, strict=True) for e in entries_of(folded(t)))
@@ -195,14 +243,19 @@ def learn(rows: DataFrame) -> Lexicon:
     excused = _counted(rows, phrases).filter((F.col("toxic") == 0) & (F.col("clean") >= MIN_EXCEPTION))
     lexicon.exceptions = frozenset(r["key"] for r in excused.select("key").collect())
 
+    return lexicon
+
+
+def measured(rows: DataFrame, lexicon: Lexicon, shares: dict[int, float]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Band sums that occur, in steps, and how many toxic and clean rows have them: no more than there are rows."""
+
     def steps(texts: list[str], labels: list[int]) -> Counter:
         automaton = lexicon.automaton()
         return Counter((",".join(str(_step(v)) for v in lexicon.bands(automaton, t)), x) for t, x in zip(texts, labels, strict=True))
 
-    counted = _counted(rows, steps).collect()
+    counted = _counted(rows, steps).orderBy("key").collect()
     x = np.array([[_amount(int(k)) for k in r["key"].split(",")] for r in counted])
-    lexicon.slope, lexicon.offset = _logistic(x, np.array([r["toxic"] for r in counted], float), np.array([r["clean"] for r in counted], float))
-    return lexicon
+    return x, *(np.array([r[name] for r in counted]) * shares[label] for name, label in (("toxic", 1), ("clean", 0)))
 
 
 def _step(amount: float) -> int:
@@ -263,14 +316,23 @@ def held_out(doc_id: str = "doc_id") -> Column:
     return F.coalesce(F.crc32(F.col(doc_id).cast("string").cast("binary")) % 5 == 0, F.lit(False))
 
 
-def toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """doc_id, held_out, score, predicted of each row; learned from labelled rows that are not held out.
+def training(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) -> tuple[DataFrame, dict[int, int]]:
+    """The sample to learn from (text, toxic), and how many labelled ids of each label there are to draw from.
 
-    Null ids and null labels teach nothing; an id labelled twice is toxic if any label says so.
+    Null ids and null labels teach nothing; an id labelled twice is toxic if any label says so, and of an id that
+    several rows have the least text is read.
     """
     taught = labels.filter("doc_id is not null and toxic is not null").groupBy(F.col("doc_id").cast("long").alias("label_id")).agg((F.max("toxic") > 0).cast("int").alias("toxic"))
     rows = docs.filter(~held_out() & F.col("doc_id").cast("long").isNotNull()).select(F.col("doc_id").cast("long").alias("label_id"), F.col("text").alias("text"))
-    # only texts that may have a label are shuffled, once for all passes over them
-    rows = rows.filter(may_be_in(taught.select("label_id"), F.col("label_id")))
-    train = hand_off(rows.join(taught, "label_id").select("text", "toxic"), "toxicity-training")
-    return score(docs, learn(train)).select("doc_id", held_out().alias("held_out"), "score", "predicted")
+    taught = hand_off(taught.join(rows.select("label_id").distinct(), "label_id", "left_semi"), "toxicity-labels")
+    each = [taught.filter(F.col("toxic") == x).orderBy(F.xxhash64("label_id"), "label_id").limit(sample_rows // 2) for x in (1, 0)]
+    # no more than sample_rows ids: texts that are not in the sample stay where they are
+    drawn = F.broadcast(hand_off(each[0].unionByName(each[1]), "toxicity-drawn"))
+    sample = rows.join(drawn, "label_id").groupBy("label_id").agg(F.min("text").alias("text"), F.max("toxic").alias("toxic"))
+    return hand_off(sample.select("text", "toxic"), "toxicity-training"), _totals(taught)
+
+
+def toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """doc_id, held_out, score, predicted of each row; learned from labelled rows that are not held out (see ``training``)."""
+    lexicon = learn(*training(docs, labels))
+    return score(docs, lexicon).select("doc_id", held_out().alias("held_out"), "score", "predicted")

@@ -286,3 +286,99 @@ def test_exception_phrases_and_folding():
     hits = lambda text: sum(lexicon.hits(automaton, toxicity.folded(text)).values())
     assert hits("what TRASH") == 5 and hits("a trash can here") == 0 and hits("trash can and trash") == 5
     assert hits("1d10tic") == 3 and hits("") == 0
+
+
+def _toxic_rows(n, seed=9):
+    """Texts with strong, weak and excused toxic words, and their labels."""
+    rng = np.random.default_rng(seed)
+    plain = [f"w{i}x" for i in range(40)]
+    out = []
+    for i in range(n):
+        words, bad = [str(w) for w in rng.choice(plain, 12)], int(rng.random() < 0.3)
+        if bad:
+            words[2:2] = [["grubnak", "vorwick", "grubnaks"][i % 3]]
+        elif rng.random() < 0.03:
+            words[2:2] = ["vorwick", "street"]
+        out.append((" ".join(words), bad))
+    return out
+
+
+def test_weights_exceptions_and_scores_are_the_formulas(spark):
+    """Against plain counts: every entry of every row, the lower bound of its log odds, and the words around hits."""
+    rows_ = _toxic_rows(400)
+    totals = Counter(x for _, x in rows_)
+    lexicon = toxicity.weigh(spark.createDataFrame(rows_, "text string, toxic int").repartition(5), totals)
+    held = {x: Counter(e for t, y in rows_ if y == x for e in toxicity.entries_of(toxicity.folded(t))) for x in (0, 1)}
+    want = {}
+    for entry, n in held[1].items():
+        t, c = n + 0.5, held[0][entry] + 0.5
+        weight = np.log(t / (totals[1] + 1)) - np.log(c / (totals[0] + 1)) - toxicity.CAUTION * np.sqrt(1 / t + 1 / c)
+        if n >= toxicity.MIN_TOXIC and weight > toxicity.MIN_WEIGHT:
+            want[entry] = weight
+    heaviest = lambda word: max((w for e, w in want.items() if e == f" {word} " or not e.endswith(" ") and word.startswith(e[1:])), default=0)
+    assert lexicon.weights.keys() <= want.keys() and all(np.isclose(w, want[e]) for e, w in lexicon.weights.items())
+    phrases = {0: Counter(), 1: Counter()}
+    for text, label in rows_:
+        words = toxicity.folded(text)
+        pairs = zip(words, words[1:], strict=False)
+        phrases[label].update({f" {a} {b} " for a, b in pairs if heaviest(a) or heaviest(b)})
+    excused = {p for p, n in phrases[0].items() if n >= toxicity.MIN_EXCEPTION and p not in phrases[1]}
+    assert lexicon.exceptions == excused and " vorwick street " in excused
+    lexicon.cuts, lexicon.slope, lexicon.offset = (0.0, 3.0), np.array([0.5, 2.0]), -1.5
+    automaton = lexicon.automaton()
+    for text, _ in rows_:
+        words, sums = toxicity.folded(text), [0.0, 0.0]
+        free = {i + k for i in range(len(words) - 1) for k in (0, 1) if f" {words[i]} {words[i + 1]} " in excused}
+        for i, word in enumerate(words):
+            if i not in free and heaviest(word):
+                sums[int(heaviest(word) >= 3.0)] += heaviest(word) / (1 + np.log1p(len(words) / toxicity.UNIT_WORDS))
+        score = 1 / (1 + np.exp(-(0.5 * sums[0] + 2.0 * sums[1] - 1.5)))
+        assert np.isclose(lexicon.score(np.array([lexicon.bands(automaton, text)]))[0], score)
+
+
+def test_held_out_labels_change_no_score(spark):
+    rows_ = _toxic_rows(500, 10)
+    docs = spark.createDataFrame([(i, t) for i, (t, _) in enumerate(rows_)], "doc_id long, text string")
+    out = lambda i: zlib.crc32(str(i).encode()) % 5 == 0
+    scores = []
+    for flipped in (False, True):
+        labels = spark.createDataFrame([(i, x ^ int(flipped and out(i))) for i, (_, x) in enumerate(rows_)], "doc_id long, toxic int")
+        scores.append({r.doc_id: r.score for r in toxicity.toxicity(docs, labels).collect()})
+    assert scores[0] == scores[1] and len(set(scores[0].values())) > 2
+
+
+def test_the_sample_is_bounded_and_stands_for_all(spark):
+    """An id with a third of all rows teaches once; each label has its half of the sample."""
+    rows_ = [(i, f"text {i}") for i in range(1, 1000)] + [(1, f"copy {k}") for k in range(500)]
+    docs = spark.createDataFrame(rows_, "doc_id long, text string").repartition(6)
+    labels = spark.createDataFrame([(i, int(i % 10 == 1)) for i in range(1, 1200)] + [(None, 1), (2, None), (1, 0)], "doc_id long, toxic int")
+    taught = [i for i in range(1, 1000) if zlib.crc32(str(i).encode()) % 5]
+    sample, totals = toxicity.training(docs, labels, sample_rows=100)
+    assert totals == Counter(int(i % 10 == 1) for i in taught)
+    assert Counter(r.toxic for r in sample.collect()) == {1: 50, 0: 50}
+    everything, _ = toxicity.training(docs, labels)
+    texts = [r.text for r in everything.collect()]
+    assert sorted(texts) == sorted("copy 0" if i == 1 else f"text {i}" for i in taught)
+
+
+def test_toxicity_of_edge_rows(spark, edge_docs):
+    labels = spark.createDataFrame([(i, i % 2, "z") for i in range(9)], "doc_id long, toxic int, text string")
+    for marks in (labels, labels.limit(0)):
+        got = toxicity.toxicity(edge_docs, marks).collect()
+        assert Counter(r.doc_id for r in got) == Counter(r.doc_id for r in edge_docs.collect())
+        assert all(0 <= r.score <= 1 and r.predicted == int(r.score >= 0.5) for r in got)
+
+
+def test_bands_are_chosen_by_rows_that_taught_nothing(spark):
+    """Weak words of either kind of text and one strong word: a slope of its own for the strong one has the smaller loss."""
+    rng = np.random.default_rng(6)
+    rows_ = []
+    for i in range(1200):
+        bad = i % 3 == 0
+        weak = [f"q{k}weak" for k in range(12) if rng.random() < (0.5 if bad else 0.15)]
+        rows_.append((" ".join([f"n{i}", *weak, *["grubnak"] * bad]), int(bad)))
+    frame = spark.createDataFrame(rows_, "text string, toxic int")
+    lexicon = toxicity.learn(frame)
+    assert lexicon.cuts in toxicity.CANDIDATES and len(lexicon.cuts) > 1
+    scores = lexicon.score(np.array([lexicon.bands(lexicon.automaton(), t) for t, _ in rows_]))
+    assert ((scores >= 0.5) == np.array([x for _, x in rows_])).all()
