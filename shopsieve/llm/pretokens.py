@@ -5,7 +5,8 @@ that as part of the word. No merge of a byte-pair vocabulary crosses such a boun
 text are those of its pre-tokens one after the other. All of the library's rules (its own finer
 splits, normalisation, merges) are left to it: it encodes the pre-tokens, many at a time. Plain ones are laid
 end to end as in a text, and the known lengths of tokens say where each of them ends; others are told apart by
-the library's own special token between them. Texts in which boundaries might be read differently are given to it
+the library's own special token between them. Where its rules cut a word from the full stop or comma after it, the
+ids of the two parts are laid together, so that a word is encoded once with or without them. Texts in which boundaries might be read differently are given to it
 whole: those with strings of special tokens or with unusual white space, and all texts of a
 vocabulary of an unknown kind.
 """
@@ -32,6 +33,8 @@ UNUSUAL = re.compile("[\x0b\x0c\x1c-\x1f\x85\xa0 ᠎ -​    　﻿]
 UNUSUAL_ASCII = "\x0b\x0c\x1c\x1d\x1e\x1f\0"
 #: Where white space comes in runs, a space does not simply lead a word: a run and what follows is a pre-token.
 CHUNK = re.compile(r"[ \t\r\n]*[^ \t\r\n]+|[ \t\r\n]+")
+#: Letters (Latin ones, which every version of Unicode tells alike) with a mark after them; a zero byte says that no space leads.
+MARKED = re.compile("\0?[A-Za-z\xc0-\xd6\xd8-\xf6\xf8-\u024f]+[.,]")
 
 
 class _Numbering(dict):
@@ -63,6 +66,7 @@ class Encoder:
         before, normalizer = described["pre_tokenizer"] or {}, described["normalizer"]
         plain = all(not t["normalized"] and not t["lstrip"] and not t["rstrip"] and not t["single_word"] for t in described["added_tokens"])
         self.leads = before.get("type") == "ByteLevel" and normalizer is None and not before["add_prefix_space"]
+        self.cuts_marks = self.leads and before.get("use_regex", True)
         drops = before.get("type") == "Sequence" and any(p["type"] == "Split" and p["behavior"] == "Removed" for p in before["pretokenizers"])
         self.known = plain and bool(self.special) and (self.leads or drops)
         if self.known:
@@ -113,14 +117,18 @@ class Encoder:
         fresh, self.numbers.fresh = self.numbers.fresh, []
         if not fresh:
             return
+        marked, parts = self._marked(fresh)
+        fresh += self.numbers.fresh
+        self.numbers.fresh = []
+        other = np.ones(len(fresh), bool)
+        other[marked] = False
         if self.leads:
             # one that starts with a zero byte is taken as it stands, and may be or hold any white space
-            plain = [at for at, p in enumerate(fresh) if p and p[0] != "\0"]
+            plain = [at for at, (p, whole) in enumerate(zip(fresh, other.tolist(), strict=True)) if whole and p and p[0] != "\0"]
         else:
             # not where composition or lower case changes the length
             plain = [at for at, p in enumerate(fresh) if p.isascii() or is_normalized("NFC", p) and len(utf8(p)) == len(utf8(p.lower()))]
         sizes, found = np.zeros(len(fresh), np.int64), {}
-        other = np.ones(len(fresh), bool)
         for first in range(0, len(plain), 100 * AT_ONCE):
             places = plain[first : first + 100 * AT_ONCE]
             ids = self._laid_out([fresh[at] for at in places])
@@ -138,9 +146,24 @@ class Encoder:
             begins[places] = at + np.cumsum(n) - n
             self.ids.frombytes(own.tobytes())
             at += len(own)
+        if marked:
+            every = np.concatenate([np.array(self.sizes, np.int64), sizes])[parts]
+            places = np.concatenate([np.array(self.begins, np.int64), begins])[parts]
+            ends = np.cumsum(every)
+            own = np.array(self.ids, np.int32)[np.repeat(places - ends + every, every) + np.arange(int(ends[-1]))]
+            sizes[marked] = every[::2] + every[1::2]
+            begins[marked] = at + ends[1::2] - sizes[marked]
+            self.ids.frombytes(own.tobytes())
         self.begins.frombytes(begins.tobytes())
         self.sizes.frombytes(sizes.tobytes())
 
+    def _marked(self, fresh: list[str]) -> tuple[list[int], list[int]]:
+        """Places of words with a mark after them, and the numbers of word and mark in turn, which may be new ones."""
+        if not self.cuts_marks:
+            return [], []
+        places = [at for at, p in enumerate(fresh) if p[-1:] in ".," and MARKED.fullmatch(p)]
+        return places, [self.numbers[part] for at in places for part in (fresh[at][:-1], "\0" + fresh[at][-1])]
+
     def _laid_out(self, some: list[str]) -> tuple[np.ndarray, np.ndarray] | None:
         """Sizes and ids of plain pre-tokens encoded as one text; none unless each is found to end where a token ends."""
         if self.leads:
@@ -189,16 +212,16 @@ class Encoder:
         if len(self.numbers) > REMEMBERED:
             self._forget()
         whole, counts, number = {}, [], self.numbers.__getitem__
-        flat = array("q")
+        flat = [np.zeros(0, np.int64)]
         for at, text in enumerate(texts):
             pieces = self._split(text)
             if pieces is None:
                 whole[at] = np.array(self.library.encode(text, add_special_tokens=False).ids, np.int32)
                 pieces = []
             counts.append(len(pieces))
-            flat.extend(map(number, pieces))
+            flat.append(np.fromiter(map(number, pieces), np.int64, len(pieces)))
         self._learn()
-        numbers = np.frombuffer(flat, np.int64) if flat else np.zeros(0, np.int64)
+        numbers = np.concatenate(flat)
         uses = np.bincount(numbers, minlength=len(self.numbers))
         uses[: len(self.uses)] += self.uses
         self.uses = uses

@@ -382,3 +382,13 @@ def test_bands_are_chosen_by_rows_that_taught_nothing(spark):
     assert lexicon.cuts in toxicity.CANDIDATES and len(lexicon.cuts) > 1
     scores = lexicon.score(np.array([lexicon.bands(lexicon.automaton(), t) for t, _ in rows_]))
     assert ((scores >= 0.5) == np.array([x for _, x in rows_])).all()
+
+
+def test_words_with_marks_are_laid_together(spark):
+    """Before and after the word is known by itself, at starts of lines, and beside what the library cuts in another way."""
+    texts = ["word. word, Über. é, x\nword. word,\n\nword.", "a. a", "b b. b,", "word.. word., .word ,", "don't. it's, 's. 1. a1, ǅ. ʰ, 日本.", "", "."]
+    encoder = Encoder(BYTES)
+    for order in (texts, texts[::-1], texts):
+        want = library(BYTES, order)
+        assert [i.tolist() for i in encoder.encode(order)] == want
+        assert Encoder(BYTES).count(order).tolist() == [len(w) for w in want]
