@@ -19,7 +19,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from shopsieve.llm.common import runs, ship_code
@@ -159,20 +159,11 @@ def write(docs: DataFrame, folder: str, vocabulary: str, end_id: int = 0, doc_id
                     ["shard", "doc_id", "n_tokens", "control", "data"],
                 )
 
-    def number(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last, before = -1, 0
-        for batch in batches:
-            starts = []
-            for shard, n in zip(batch.column(0).to_pylist(), batch.column(2).to_pylist(), strict=True):
-                if shard != last:
-                    last, before = shard, 0
-                starts.append(before)
-                before += n
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(starts, pa.int64())], [*batch.schema.names, "start"])
-
     coded = rows.mapInArrow(code, "shard int, doc_id long, n_tokens long, control binary, data binary")
     dealt = coded.repartition(len(cuts) + 1, "shard").sortWithinPartitions("shard", "doc_id", "n_tokens", "control", "data")
-    numbered = dealt.mapInArrow(number, "shard int, doc_id long, n_tokens long, control binary, data binary, start long")
+    # a shard is one task's already, in this order: the window neither shuffles nor sorts again
+    before = Window.partitionBy("shard").orderBy("doc_id", "n_tokens", "control", "data").rowsBetween(Window.unboundedPreceding, -1)
+    numbered = dealt.withColumn("start", F.coalesce(F.sum("n_tokens").over(before), F.lit(0).cast("long")))
     numbered.write.mode("overwrite").option("compression", "none").parquet(f"{folder}/shards")
 
 
