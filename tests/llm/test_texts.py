@@ -7,10 +7,11 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer
 
-from shopsieve.llm import packing, quality, secret_scan, token_counts, token_files, toxicity
+from shopsieve.llm import common, packing, quality, secret_scan, token_counts, token_files, toxicity
 from shopsieve.llm.pretokens import Encoder, vocabulary_file
 
 from conftest import SMALL
@@ -392,3 +393,27 @@ def test_words_with_marks_are_laid_together(spark):
         want = library(BYTES, order)
         assert [i.tolist() for i in encoder.encode(order)] == want
         assert Encoder(BYTES).count(order).tolist() == [len(w) for w in want]
+
+
+def test_workers_give_freed_memory_back(monkeypatch):
+    """After a number of runs and when the batches end, before the next task uses the worker."""
+    released = []
+    monkeypatch.setattr(common, "release", lambda: released.append(len(seen)))
+    monkeypatch.setattr(common, "RUN_ROWS", 2)
+    monkeypatch.setattr(common, "RUNS_KEPT", 3)
+    batch, seen = pa.RecordBatch.from_pydict({"text": [*"abcde"]}), []
+    for part, texts in common.runs(iter([batch] * 3), 0):
+        assert part.column(0).to_pylist() == texts
+        seen += texts
+    assert "".join(seen) == "abcde" * 3 and released == [5, 10, 15, 15]
+
+
+def test_release_shrinks_this_process():
+    def resident():
+        return sum(int(line.split()[1]) for line in open("/proc/self/smaps_rollup") if line.startswith("Private_Dirty"))
+
+    held = [bytes(1000) for _ in range(100_000)]
+    held[::1] = [held[-1]]  # all but the last, which keeps the heap from ending before them
+    before = resident()
+    common.release()
+    assert resident() < before - 50_000
