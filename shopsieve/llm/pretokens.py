@@ -17,6 +17,8 @@ import json
 import os
 import re
 from array import array
+from collections import defaultdict
+from itertools import count, islice
 from unicodedata import is_normalized
 
 import numpy as np
@@ -85,22 +87,29 @@ class Encoder:
         return lengths
 
     def _start(self) -> None:
-        self.numbers = _Numbering()
+        # gives each new pre-token the next number; those from len(self.sizes) on are still to be encoded
+        self.numbers: dict[str, int] = defaultdict(count().__next__)
         self.begins, self.sizes, self.ids = array("q"), array("q"), array("i")
         self.uses = np.zeros(0, np.int64)
 
     def _forget(self) -> None:
-        """Keep the pre-tokens that came more than once, at most half as many as a worker remembers."""
+        """Keep the pre-tokens that came more than once, at most half as many as a worker remembers.
+
+        They are laid anew, the most frequent first: what is looked up most stands close together, and the texts that
+        the old ones were cut from hold no memory.
+        """
         keys, uses = list(self.numbers), self.uses
         least = 2
         if len(uses) > REMEMBERED // 2:
             least = max(least, int(np.partition(uses, -(REMEMBERED // 2))[-(REMEMBERED // 2)]) + 1)
         kept = np.flatnonzero(uses >= least)
+        kept = kept[np.argsort(-uses[kept], kind="stable")]
         known, begins, sizes = (np.array(a) for a in (self.ids, self.begins, self.sizes))
+        joined = "\x1e".join([keys[number] for number in kept.tolist()])  # the separator is in no pre-token
+        del keys
         self._start()
-        for number in kept.tolist():
-            self.numbers[keys[number]]  # numbers it
-        self.numbers.fresh = []
+        for key in joined.split("\x1e") if len(kept) else []:
+            self.numbers[key]  # numbers it
         n = sizes[kept]
         ends = np.cumsum(n)
         self.begins.frombytes((ends - n).tobytes())
@@ -112,14 +121,18 @@ class Encoder:
     def _encoded(self, joined: list[str]) -> np.ndarray:
         return np.concatenate([np.array(e.ids, np.int32) for e in self.library.encode_batch_fast(joined, add_special_tokens=False)])
 
+    def _fresh(self, known: int) -> list[str]:
+        """Pre-tokens numbered ``known`` and higher, in the order of their numbers."""
+        return [*islice(reversed(self.numbers), len(self.numbers) - known)][::-1]
+
     def _learn(self) -> None:
         """Encode the new pre-tokens, each once."""
-        fresh, self.numbers.fresh = self.numbers.fresh, []
+        known = len(self.sizes)
+        fresh = self._fresh(known)
         if not fresh:
             return
         marked, parts = self._marked(fresh)
-        fresh += self.numbers.fresh
-        self.numbers.fresh = []
+        fresh += self._fresh(known + len(fresh))
         other = np.ones(len(fresh), bool)
         other[marked] = False
         if self.leads:
@@ -166,13 +179,11 @@ class Encoder:
 
     def _laid_out(self, some: list[str]) -> tuple[np.ndarray, np.ndarray] | None:
         """Sizes and ids of plain pre-tokens encoded as one text; none unless each is found to end where a token ends."""
-        if self.leads:
-            joined = [" " + " ".join(some[at : at + AT_ONCE]) for at in range(0, len(some), AT_ONCE)]
-            n_bytes = [1 + len(utf8(p)) for p in some]
-        else:
-            joined = [" ".join(some[at : at + AT_ONCE]) for at in range(0, len(some), AT_ONCE)]
-            n_bytes = [len(utf8(p)) for p in some]
-        ids = self._encoded(joined)
+        lead = " " * self.leads
+        ids = self._encoded([lead + " ".join(some[at : at + AT_ONCE]) for at in range(0, len(some), AT_ONCE)])
+        # the bytes of each one, without spaces: none holds a space
+        spaces = np.flatnonzero(np.frombuffer(utf8(" ".join([*some, ""])), np.uint8) == ord(" "))
+        n_bytes = np.diff(spaces, prepend=-1) - 1 + self.leads
         ends, wanted = np.cumsum(self.lengths[ids]), np.cumsum(n_bytes)
         last = np.searchsorted(ends, wanted)
         if len(ends) == 0 or last[-1] != len(ends) - 1 or not np.array_equal(ends[last], wanted):
@@ -198,10 +209,12 @@ class Encoder:
                 return None
         if not self.leads:
             return text.split()
-        if "\t" in text or "\r" in text or "  " in text or " \n" in text or "\n " in text or "\n\n" in text:
-            return ["\0" + chunk for chunk in CHUNK.findall(text)]
         # line breaks between words are pre-tokens of their own
-        pieces = text.replace("\n", " \0\n \0").split(" ")
+        broken = text.replace("\n", " \0\n \0")
+        # a space before white space; a line break before it, other than at the end
+        if "\t" in text or "\r" in text or "  " in broken or "\0 " in broken:
+            return ["\0" + chunk for chunk in CHUNK.findall(text)]
+        pieces = broken.split(" ")
         pieces[0] = "\0" + pieces[0]
         if pieces[0] == "\0":
             del pieces[0]

@@ -43,10 +43,16 @@ def pack_ranks(ranks: np.ndarray, counts: np.ndarray) -> tuple[list[bytes], list
     codes[place] = sizes - 1
     codes = codes.reshape(-1, 4)
     control = (codes[:, 0] | codes[:, 1] << 2 | codes[:, 2] << 4 | codes[:, 3] << 6).astype(np.uint8).tobytes()
-    raw = ranks.astype("<u4").view(np.uint8).reshape(-1, 4)
-    data = raw[np.arange(4) < sizes[:, None]].tobytes()
-    ends = np.append(0, np.cumsum(sizes, dtype=np.int64))[np.cumsum(counts)]
-    return _cut(control, np.cumsum(quads)), _cut(data, ends)
+    ends = np.append(0, np.cumsum(sizes, dtype=np.int64))
+    begins = ends[:-1]
+    data = np.empty(int(ends[-1]), np.uint8)
+    data[begins] = ranks.astype(np.uint8)
+    for byte in (1, 2, 3):
+        longer = np.flatnonzero(sizes > byte)
+        if not len(longer):
+            break
+        data[begins[longer] + byte] = (ranks[longer] >> np.uint32(8 * byte)).astype(np.uint8)
+    return _cut(control, np.cumsum(quads)), _cut(data.tobytes(), ends[np.cumsum(counts)])
 
 
 def _cut(whole: bytes, ends: np.ndarray) -> list[bytes]:

@@ -11,7 +11,7 @@ import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer
 
-from shopsieve.llm import common, packing, quality, secret_scan, token_counts, token_files, toxicity
+from shopsieve.llm import common, packing, pretokens, quality, secret_scan, token_counts, token_files, toxicity
 from shopsieve.llm.pretokens import Encoder, vocabulary_file
 
 from conftest import SMALL
@@ -38,6 +38,23 @@ def test_encoder_is_the_library(path, spark):
     assert encoder.count(texts).tolist() == [len(w) for w in want]
 
 
+@pytest.mark.parametrize("path", [BYTES, WORDS])
+def test_encoder_forgets_and_stays_the_library(path, monkeypatch):
+    """What is kept is laid anew, the most frequent first, in strings of their own: the lookups touch less memory."""
+    monkeypatch.setattr(pretokens, "REMEMBERED", 50)
+    rng = np.random.default_rng(3)
+    texts = [" ".join(f"w{n}" for n in rng.zipf(1.3, 60) % 500) + rng.choice(["", ".", " \n x  y", "\n", " é"]) for _ in range(60)]
+    encoder = Encoder(path)
+    for at in range(0, len(texts), 5):
+        assert [i.tolist() for i in encoder.encode(texts[at : at + 5])] == library(path, texts[at : at + 5])
+    uses, keys = encoder.uses.copy(), list(encoder.numbers)
+    encoder._forget()
+    kept = list(encoder.numbers)
+    often = [uses[keys.index(k)] for k in kept]
+    assert 2 < len(kept) <= 25 and often == sorted(often, reverse=True)
+    assert [i.tolist() for i in encoder.encode(texts)] == library(path, texts)
+
+
 def test_token_counts(edge_docs, no_docs):
     source = edge_docs.collect()
     want = [(r.doc_id, len((r.text or "").encode()), len(i), len(i) > 1024) for r, i in zip(source, library(BYTES, [r.text for r in source]), strict=True)]
