@@ -364,7 +364,8 @@ def dedup_lines(docs: DataFrame, t: float = THRESHOLD, counts: bool = False, dro
 
     flagged = docs.withColumn(key, _key())
     flagged = flagged.withColumn(mark, may_be_in(per_doc.select("doc"), F.col(key)))
-    lines = per_doc.select(F.col("doc").alias(key), F.col("lines").alias(gone))
+    # the same join at every size: these lists grow with the documents, and none is sent through the driver
+    lines = per_doc.select(F.col("doc").alias(key), F.col("lines").alias(gone)).hint("merge")
     # only documents that may lose lines are shuffled
     touched = flagged.filter(F.col(mark)).join(lines, key, "left")
     untouched = flagged.filter(~F.col(mark)).withColumn(gone, F.lit(None).cast("array<int>"))

@@ -44,6 +44,16 @@ def test_lines_of_one_word(spark):
     assert got == {0: rows[0][1], 1: "\n\t\nhttp://x.example/a", 2: "three", 3: ""}
 
 
+def test_lists_of_lines_are_joined_alike_at_any_size(spark, capsys):
+    """Not broadcast while there are few of them: what a small table shows holds for a large one."""
+    rows = [(d, f"line of one and all\nown{d} word") for d in range(6)] + [(None, "line of one and all\nnull"), (7, None)]
+    got = lines.dedup_lines(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert sorted((r.doc_id, r.text) for r in got.collect() if r.doc_id is not None) == [(d, f"own{d} word") for d in range(6)] + [(7, None)]
+    got.explain()
+    plan = capsys.readouterr().out
+    assert "SortMergeJoin" in plan and "BroadcastHashJoin" not in plan
+
+
 def test_lines_edge(edge_docs, no_docs):
     got = lines.dedup_lines(edge_docs)
     assert got.columns == edge_docs.columns and got.count() == edge_docs.count()
