@@ -193,10 +193,20 @@ _FOUND = "kind int, doc long, line int, other_doc long, other_line int, grp long
 SAME, PAIR, REST, MEMBER = 0, 1, 2, 3
 
 
+def _ordered(*keys: np.ndarray) -> np.ndarray:
+    """Places in the order of the keys, the first one first; the others are only looked at where it leaves ties."""
+    order = np.argsort(keys[0])
+    equal = np.diff(keys[0][order]) == 0
+    tied = np.flatnonzero(np.append(False, equal) | np.append(equal, False)) if len(order) else order
+    some = order[tied]
+    order[tied] = some[np.lexsort([k[some] for k in reversed(keys)])]
+    return order
+
+
 def _block_candidates(blobs: list[bytes], counts: list[int], t: float) -> pd.DataFrame:
     """Of one block: copies to remove, pairs for the first round, pairs and members for the second."""
     c = _unpacked(blobs, counts)
-    order = np.lexsort((c["line"], c["doc"], c["mark"], c["parity"], c["size"], c["token"]))
+    order = _ordered(c["token"].astype(np.uint64) << np.uint64(32) | c["mark"], c["size"], c["parity"], c["doc"], c["line"])
     c = {k: v[order] for k, v in c.items()}
     same = np.ones(len(order), bool)
     same[:1] = False
@@ -206,7 +216,7 @@ def _block_candidates(blobs: list[bytes], counts: list[int], t: float) -> pd.Dat
     at = same & (c["pos"] == 0) & ((c["doc"] != c["doc"][head]) | (c["line"] != c["line"][head]))
     out: list[dict] = [{"kind": SAME, "doc": c["doc"][at], "line": c["line"][at]}]
     c = {k: v[~same] for k, v in c.items()}
-    order = np.lexsort((c["line"], c["doc"], c["token"]))
+    order = _ordered(c["token"], c["doc"], c["line"])
     c = {k: v[order] for k, v in c.items()}
     begins = np.flatnonzero(np.append(True, c["token"][1:] != c["token"][:-1])) if len(order) else np.zeros(0, int)
     sizes = np.diff(np.append(begins, len(order)))
@@ -274,20 +284,20 @@ def _block_candidates(blobs: list[bytes], counts: list[int], t: float) -> pd.Dat
 
 
 def _similar(pairs: DataFrame, keyed: DataFrame, t: float) -> DataFrame:
-    """The (doc, line) of ``pairs`` that are similar to one of their partners."""
+    """The (doc, line) of ``pairs`` that are similar to one of their partners, once for each of these."""
     ends = pairs.select("doc", "line").unionAll(pairs.select(F.col("other_doc").alias("doc"), F.col("other_line").alias("line")))
     wanted = pairs.sparkSession.sparkContext.broadcast(BitFilter.of(ends.unionAll(ends.select("doc", F.lit(WHOLE).alias("line")))))
 
     def fetch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch, texts in runs(batches, 1):
-            docs = batch.column(0).to_numpy()
-            some = np.flatnonzero(wanted.value.has(docs, WHOLE))
-            own = LineSets(docs[some].tolist(), [texts[i] for i in some], wanted.value.has)
+        some = (b.filter(pa.array(wanted.value.has(b.column(0).to_numpy(), WHOLE), pa.bool_())) for b in batches)
+        for batch, texts in runs(some, 1):
+            own = LineSets(batch.column(0).to_pylist(), texts, wanted.value.has)
             hashed = own.sorted_by().tobytes()
             words = [hashed[8 * a : 8 * (a + n)] for a, n in zip(own.starts, own.size, strict=True)]
             yield pa.RecordBatch.from_arrays([pa.array(own.doc), pa.array(own.line), pa.array(words, pa.binary())], ["doc", "line", "words"])
 
-    words = keyed.mapInArrow(fetch, "doc long, line int, words binary").dropDuplicates(["doc", "line"])
+    # written, as both ends of a pair need them: Spark would read all texts for each
+    words = hand_off(keyed.mapInArrow(fetch, "doc long, line int, words binary").dropDuplicates(["doc", "line"]), "line-words")
     others = words.select(F.col("doc").alias("other_doc"), F.col("line").alias("other_line"), F.col("words").alias("other_words"))
     joined = pairs.join(words, ["doc", "line"]).join(others, ["other_doc", "other_line"]).select("doc", "line", "words", "other_words")
 
@@ -300,7 +310,7 @@ def _similar(pairs: DataFrame, keyed: DataFrame, t: float) -> DataFrame:
                 ok.append(both >= int(_required(np.int64(n), np.int64(m), t)))
             yield batch.select(["doc", "line"]).filter(pa.array(ok, pa.bool_()))
 
-    return joined.mapInArrow(verify, "doc long, line int").distinct()
+    return joined.mapInArrow(verify, "doc long, line int")
 
 
 def _key() -> Column:
@@ -323,7 +333,7 @@ def removed_lines(docs: DataFrame, t: float = THRESHOLD) -> DataFrame:
         found = _block_candidates(table.column("blob").to_pylist(), table.column("n").to_pylist(), t)
         return pa.Table.from_pandas(found, preserve_index=False)
 
-    found = hand_off(postings(keyed, counts, t).groupBy("block").applyInArrow(candidates, _FOUND), "line-candidates", partition_by=("kind",))
+    found = hand_off(postings(keyed, counts, t).groupBy("block").applyInArrow(candidates, _FOUND), "line-candidates")
     ends = ("doc", "line", "other_doc", "other_line")
     later = (F.col("doc") != F.col("other_doc")) | (F.col("line") != F.col("other_line"))
     same = found.filter(F.col("kind") == SAME).select("doc", "line").distinct()

@@ -5,6 +5,7 @@ from __future__ import annotations
 import itertools
 import random
 
+import numpy as np
 import pytest
 
 from shopsieve.llm import decontaminate, lines, shingles, wrappers
@@ -37,6 +38,31 @@ def test_lines(spark, small, monkeypatch):
     assert {(r.doc, r.line) for r in lines.removed_lines(df, 0.75).collect()} == plain_lines(rows, 0.75)
 
 
+def test_words_of_lines_are_fetched_once(spark, monkeypatch):
+    """Not for each end of the pairs, and the candidates are one file a task."""
+    written, write = [], lines.hand_off
+
+    def kept(df, label, **more):
+        written.append((label, df._jdf.queryExecution().executedPlan().toString().count("MapInArrow "), more))
+        return write(df, label, **more)
+
+    monkeypatch.setattr(lines, "hand_off", kept)
+    rows = [(d, f"a b c d e f g h i j k {d % 3}\nx{d} y z") for d in range(20)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    assert {(r.doc, r.line) for r in lines.removed_lines(df, 0.8).collect()} == plain_lines(rows, 0.8)
+    assert not any(more for _, _, more in written)
+    assert all(n == 1 for label, n, _ in written if label in ("line-words", "lines-removed"))
+    assert {"line-words", "lines-removed"} <= {label for label, _, _ in written}
+
+
+def test_order_by_several_keys():
+    rng = np.random.default_rng(4)
+    for n in (0, 1, 2, 500):
+        keys = [rng.integers(0, 40, n).astype(kind) for kind in (np.uint64, np.int32, np.int64)]
+        keys.append(np.arange(n))
+        assert lines._ordered(*keys).tolist() == np.lexsort(keys[::-1]).tolist()
+
+
 def test_lines_of_one_word(spark):
     rows = [(0, "Les.\n\nha ha ha\n 日本語の文です。\none two"), (1, "les.\n\n\t\nHA\nhttp://x.example/a"), (2, "日本語の文です。\nhttp://x.example/a\nthree"), (3, "\nLes.")]
     df = spark.createDataFrame(rows, "doc_id long, text string").repartition(2)
