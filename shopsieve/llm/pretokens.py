@@ -23,7 +23,7 @@ from unicodedata import is_normalized
 
 import numpy as np
 
-from shopsieve.llm.common import utf8
+from shopsieve.llm.common import release, utf8
 
 #: Distinct pre-tokens a worker remembers; beyond that it keeps at most half, those that came more often.
 REMEMBERED = 700_000
@@ -55,7 +55,8 @@ class _Numbering(dict):
 class Encoder:
     """Ids of whole texts as the tokenizers library gives them, without added special tokens."""
 
-    def __init__(self, path: str) -> None:
+    def __init__(self, path: str, remembered: int | None = None) -> None:
+        self.remembered = remembered
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
@@ -98,10 +99,10 @@ class Encoder:
         They are laid anew, the most frequent first: what is looked up most stands close together, and the texts that
         the old ones were cut from hold no memory.
         """
-        keys, uses = list(self.numbers), self.uses
+        keys, uses, most = list(self.numbers), self.uses, (self.remembered or REMEMBERED) // 2
         least = 2
-        if len(uses) > REMEMBERED // 2:
-            least = max(least, int(np.partition(uses, -(REMEMBERED // 2))[-(REMEMBERED // 2)]) + 1)
+        if len(uses) > most:
+            least = max(least, int(np.partition(uses, -most)[-most]) + 1)
         kept = np.flatnonzero(uses >= least)
         kept = kept[np.argsort(-uses[kept], kind="stable")]
         known, begins, sizes = (np.array(a) for a in (self.ids, self.begins, self.sizes))
@@ -222,7 +223,7 @@ class Encoder:
 
     def _numbered(self, texts: list[str]) -> tuple[np.ndarray, list[int], dict[int, np.ndarray]]:
         """Numbers of all pre-tokens, how many each text has, and the texts that the library did whole."""
-        if len(self.numbers) > REMEMBERED:
+        if len(self.numbers) > (self.remembered or REMEMBERED):
             self._forget()
         whole, counts, number = {}, [], self.numbers.__getitem__
         flat = [np.zeros(0, np.int64)]
@@ -271,14 +272,15 @@ class Encoder:
         return total
 
 
-_encoders: dict[str, Encoder] = {}
+_encoders: dict[tuple[str, int | None], Encoder] = {}
 
 
-def encoder(path: str) -> Encoder:
-    """One for each Python worker and file, kept from task to task."""
-    if path not in _encoders:
-        _encoders[path] = Encoder(path)
-    return _encoders[path]
+def encoder(path: str, remembered: int | None = None) -> Encoder:
+    """One for each Python worker, file and bound (else ``REMEMBERED``), kept from task to task."""
+    if (path, remembered) not in _encoders:
+        _encoders[path, remembered] = Encoder(path, remembered)
+        release()  # what reading the file took
+    return _encoders[path, remembered]
 
 
 def vocabulary_file(name: str) -> str:

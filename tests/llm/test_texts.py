@@ -97,6 +97,30 @@ def test_packing_wastes_little():
     assert sequences * 2048 <= 1.01 * sizes.sum() + 2048
 
 
+def test_waiting_pieces_keep_no_documents():
+    """Else a few ids that wait for their sequence would hold all those of their text."""
+    packer = packing.Packer(0, 2048)
+    for k in range(50):
+        packer.add(k, np.arange(200_000 + k, dtype=np.int32))
+    waiting = [p[2] for held in packer.open.values() for p in held]
+    assert waiting and all(ids.base is None for ids in waiting)
+
+
+def test_encoders_have_their_own_bounds(monkeypatch):
+    released = []
+    monkeypatch.setattr(pretokens, "release", lambda: released.append(1))
+    monkeypatch.setattr(pretokens, "_encoders", {})
+    texts = [f"w{n} w{n + 1} w{n % 7}" for n in range(300)]
+    small, large = pretokens.encoder(WORDS, 60), pretokens.encoder(WORDS)
+    assert small is pretokens.encoder(WORDS, 60) is not large and len(released) == 2
+    for at in range(0, 300, 20):
+        want = library(WORDS, texts[at : at + 20])
+        for encoder in (small, large):
+            assert [i.tolist() for i in encoder.encode(texts[at : at + 20])] == want
+    assert len(small.numbers) < 120 < len(large.numbers)
+    assert packing.REMEMBERED < pretokens.REMEMBERED
+
+
 def test_token_file_codes():
     rng = np.random.default_rng(0)
     for _ in range(30):
