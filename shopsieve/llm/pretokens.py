@@ -5,8 +5,8 @@ that as part of the word. No merge of a byte-pair vocabulary crosses such a boun
 text are those of its pre-tokens one after the other. All of the library's rules (its own finer
 splits, normalisation, merges) are left to it: it encodes the pre-tokens, many at a time. Plain ones are laid
 end to end as in a text, and the known lengths of tokens say where each of them ends; others are told apart by
-the library's own special token between them. Where its rules cut a word from the full stop or comma after it, the
-ids of the two parts are laid together, so that a word is encoded once with or without them. Texts in which boundaries might be read differently are given to it
+the library's own special token between them. Where its rules cut a word from a mark after it, the two are
+pre-tokens of their own, so that a word is encoded once with or without marks. Texts in which boundaries might be read differently are given to it
 whole: those with strings of special tokens or with unusual white space, and all texts of a
 vocabulary of an unknown kind.
 """
@@ -19,9 +19,11 @@ import re
 from array import array
 from collections import defaultdict
 from itertools import count, islice
+from string import ascii_letters, punctuation
 from unicodedata import is_normalized
 
 import numpy as np
+import pyarrow as pa
 
 from shopsieve.llm.common import release, utf8
 
@@ -33,10 +35,15 @@ AT_ONCE = 50
 #: White space that the library's regular expressions and Python may tell differently, or that is not plain.
 UNUSUAL = re.compile("[\x0b\x0c\x1c-\x1f\x85\xa0 ᠎ -​    　﻿]")
 UNUSUAL_ASCII = "\x0b\x0c\x1c\x1d\x1e\x1f\0"
+#: Stands between pre-tokens and is in none.
+BETWEEN = "\x1e"
 #: Where white space comes in runs, a space does not simply lead a word: a run and what follows is a pre-token.
 CHUNK = re.compile(r"[ \t\r\n]*[^ \t\r\n]+|[ \t\r\n]+")
-#: Letters (Latin ones, which every version of Unicode tells alike) with a mark after them; a zero byte says that no space leads.
-MARKED = re.compile("\0?[A-Za-z\xc0-\xd6\xd8-\xf6\xf8-\u024f]+[.,]")
+#: Symbols after a letter are cut from it, but an apostrophe may belong to the letters that follow it.
+MARKS = np.isin(np.arange(256), [*punctuation.replace("'", "").encode()])
+LETTERS = np.isin(np.arange(256), [*ascii_letters.encode()])
+#: What is put between a letter and its mark: the end of a pre-token, and a zero byte that says that no space leads the next.
+CUT = np.frombuffer(b"\x1e\0", np.uint8)
 
 
 class _Numbering(dict):
@@ -52,6 +59,24 @@ class _Numbering(dict):
         return number
 
 
+def _marks(raw: np.ndarray) -> np.ndarray:
+    """Places of marks right after a letter, a Latin one (which every version of Unicode tells alike); ``raw`` is UTF-8."""
+    marks = np.flatnonzero(MARKS[raw])
+    first, last = raw[marks - 2], raw[marks - 1]
+    # these lead two bytes: U+00C0 to U+024F, without the signs of multiplication and division
+    latin = (first == 0xC3) & (last != 0x97) & (last != 0xB7) | (first > 0xC3) & (first < 0xC9) | (first == 0xC9) & (last < 0x90)
+    return marks[LETTERS[last] | latin]
+
+
+def _strings(pieces: pa.LargeBinaryArray) -> list[str]:
+    """Pieces that each end with ``BETWEEN``, without it."""
+    _, bounds, raw = pieces.buffers()
+    if not len(pieces):
+        return []
+    end = int(np.frombuffer(bounds, np.int64)[len(pieces)])
+    return str(memoryview(raw)[:end], "utf-8").split(BETWEEN)[:-1]
+
+
 class Encoder:
     """Ids of whole texts as the tokenizers library gives them, without added special tokens."""
 
@@ -106,10 +131,10 @@ class Encoder:
         kept = np.flatnonzero(uses >= least)
         kept = kept[np.argsort(-uses[kept], kind="stable")]
         known, begins, sizes = (np.array(a) for a in (self.ids, self.begins, self.sizes))
-        joined = "\x1e".join([keys[number] for number in kept.tolist()])  # the separator is in no pre-token
+        joined = BETWEEN.join([keys[number] for number in kept.tolist()])
         del keys
         self._start()
-        for key in joined.split("\x1e") if len(kept) else []:
+        for key in joined.split(BETWEEN) if len(kept) else []:
             self.numbers[key]  # numbers it
         n = sizes[kept]
         ends = np.cumsum(n)
@@ -132,13 +157,10 @@ class Encoder:
         fresh = self._fresh(known)
         if not fresh:
             return
-        marked, parts = self._marked(fresh)
-        fresh += self._fresh(known + len(fresh))
         other = np.ones(len(fresh), bool)
-        other[marked] = False
         if self.leads:
             # one that starts with a zero byte is taken as it stands, and may be or hold any white space
-            plain = [at for at, (p, whole) in enumerate(zip(fresh, other.tolist(), strict=True)) if whole and p and p[0] != "\0"]
+            plain = [at for at, p in enumerate(fresh) if p and p[0] != "\0"]
         else:
             # not where composition or lower case changes the length
             plain = [at for at, p in enumerate(fresh) if p.isascii() or is_normalized("NFC", p) and len(utf8(p)) == len(utf8(p.lower()))]
@@ -160,24 +182,9 @@ class Encoder:
             begins[places] = at + np.cumsum(n) - n
             self.ids.frombytes(own.tobytes())
             at += len(own)
-        if marked:
-            every = np.concatenate([np.array(self.sizes, np.int64), sizes])[parts]
-            places = np.concatenate([np.array(self.begins, np.int64), begins])[parts]
-            ends = np.cumsum(every)
-            own = np.array(self.ids, np.int32)[np.repeat(places - ends + every, every) + np.arange(int(ends[-1]))]
-            sizes[marked] = every[::2] + every[1::2]
-            begins[marked] = at + ends[1::2] - sizes[marked]
-            self.ids.frombytes(own.tobytes())
         self.begins.frombytes(begins.tobytes())
         self.sizes.frombytes(sizes.tobytes())
 
-    def _marked(self, fresh: list[str]) -> tuple[list[int], list[int]]:
-        """Places of words with a mark after them, and the numbers of word and mark in turn, which may be new ones."""
-        if not self.cuts_marks:
-            return [], []
-        places = [at for at, p in enumerate(fresh) if p[-1:] in ".," and MARKED.fullmatch(p)]
-        return places, [self.numbers[part] for at in places for part in (fresh[at][:-1], "\0" + fresh[at][-1])]
-
     def _laid_out(self, some: list[str]) -> tuple[np.ndarray, np.ndarray] | None:
         """Sizes and ids of plain pre-tokens encoded as one text; none unless each is found to end where a token ends."""
         lead = " " * self.leads
@@ -201,41 +208,48 @@ class Encoder:
             raise ValueError("the library joined or split the special token between pre-tokens")
         return np.diff(ends, prepend=-1) - 1, ids[ids != self.between_id]
 
-    def _split(self, text: str) -> list[str] | None:
-        """The text's pre-tokens; none if the library should see it whole."""
+    def _split(self, text: str) -> str | None:
+        """The text's pre-tokens, each with ``BETWEEN`` after it; none if the library should see it whole."""
         if not self.known or any(map(text.__contains__, UNUSUAL_ASCII)) or not text.isascii() and UNUSUAL.search(text):
             return None
         for string in self.special:
             if string in text:
                 return None
         if not self.leads:
-            return text.split()
+            return BETWEEN.join([*text.split(), ""])
         # line breaks between words are pre-tokens of their own
         broken = text.replace("\n", " \0\n \0")
         # a space before white space; a line break before it, other than at the end
         if "\t" in text or "\r" in text or "  " in broken or "\0 " in broken:
-            return ["\0" + chunk for chunk in CHUNK.findall(text)]
-        pieces = broken.split(" ")
-        pieces[0] = "\0" + pieces[0]
-        if pieces[0] == "\0":
-            del pieces[0]
-        return pieces
+            return "".join([f"\0{chunk}{BETWEEN}" for chunk in CHUNK.findall(text)])
+        pieces = f"{broken} ".replace(" ", BETWEEN)
+        return pieces[1:] if pieces[0] == BETWEEN else "\0" + pieces
 
     def _numbered(self, texts: list[str]) -> tuple[np.ndarray, list[int], dict[int, np.ndarray]]:
         """Numbers of all pre-tokens, how many each text has, and the texts that the library did whole."""
         if len(self.numbers) > (self.remembered or REMEMBERED):
             self._forget()
-        whole, counts, number = {}, [], self.numbers.__getitem__
-        flat = [np.zeros(0, np.int64)]
+        whole, split = {}, []
         for at, text in enumerate(texts):
             pieces = self._split(text)
             if pieces is None:
                 whole[at] = np.array(self.library.encode(text, add_special_tokens=False).ids, np.int32)
-                pieces = []
-            counts.append(len(pieces))
-            flat.append(np.fromiter(map(number, pieces), np.int64, len(pieces)))
+                pieces = ""
+            split.append(utf8(pieces))
+        raw, upto = np.frombuffer(b"".join(split), np.uint8), np.cumsum([len(s) for s in split], dtype=np.int64)
+        if self.cuts_marks:
+            cuts = _marks(raw)
+            raw = np.insert(raw, np.repeat(cuts, len(CUT)), np.tile(CUT, len(cuts)))
+            upto += len(CUT) * np.searchsorted(cuts, upto)
+        ends = np.append(0, np.flatnonzero(raw == ord(BETWEEN)) + 1).astype(np.int64)
+        counts = np.diff(np.searchsorted(ends, upto, "right"), prepend=1).tolist()
+        # Arrow tells the distinct ones of these texts, so that each is looked up once
+        flat = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(ends) - 1, [None, pa.py_buffer(ends), pa.py_buffer(raw)])
+        found = flat.dictionary_encode()
+        distinct = _strings(found.dictionary)
+        numbers = np.fromiter(map(self.numbers.__getitem__, distinct), np.int64, len(distinct))[found.indices.to_numpy()]
+        del split, raw, ends, flat, found, distinct
         self._learn()
-        numbers = np.concatenate(flat)
         uses = np.bincount(numbers, minlength=len(self.numbers))
         uses[: len(self.uses)] += self.uses
         self.uses = uses

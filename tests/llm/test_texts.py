@@ -436,6 +436,40 @@ def test_words_with_marks_are_laid_together(spark):
         assert Encoder(BYTES).count(order).tolist() == [len(w) for w in want]
 
 
+MARKED = ["{}{}".format(word, mark) for word in ("Über", "ab", "zɏ", "x×", "ɐ", "日", "a1", "it's", "'s", "l'") for mark in ["", *".,;:!?\"()-_%$|'", "%%%", ".b", "'s", "'%re", ".\n", "\n,", "\t.", "  !"]]
+
+
+def test_marks_are_cut_where_the_library_cuts():
+    """After Latin letters, at every mark but the apostrophe; after others, and at the edges of texts and runs, as before."""
+    rng = np.random.default_rng(8)
+    texts = [*MARKED, *(f" {m}" for m in MARKED), *(" ".join(rng.choice(MARKED, 12)) for _ in range(200)), "", ".", " .", "\n."]
+    for path in (BYTES, WORDS):
+        encoder = Encoder(path)
+        for some in (texts, texts[::-1], [""], ["."], []):
+            want = library(path, some)
+            assert [i.tolist() for i in encoder.encode(some)] == want
+            assert encoder.count(some).tolist() == [len(w) for w in want]
+
+
+def test_words_are_given_to_the_library_and_looked_up_once(monkeypatch):
+    """Whatever marks follow them and however often they come in the texts that are encoded together."""
+    given, looked_up = Counter(), Counter()
+    encoder, encoded = Encoder(BYTES), Encoder._encoded
+    monkeypatch.setattr(encoder, "_encoded", lambda joined: (given.update(re.findall(r"wor\w+", "\n".join(joined))), encoded(encoder, joined))[1])
+
+    class Watched(type(encoder.numbers)):
+        def __getitem__(self, piece):
+            looked_up[piece] += 1
+            return super().__getitem__(piece)
+
+    encoder.numbers = Watched(encoder.numbers.default_factory)
+    words = [f"wor{a}{b}" for a in "abcdefgh" for b in "ijklmnop"]
+    texts = [" ".join(f"{w}{mark}" for w in words) for mark in ("", ";", "!?", "%%%", ":", ")")] * 3
+    assert [i.tolist() for i in encoder.encode(texts)] == library(BYTES, texts)
+    assert set(words) <= set(given) and sum(given.values()) <= 2 * len(words)  # with and without a space before it at most
+    assert max(looked_up.values()) == 1
+
+
 def test_workers_give_freed_memory_back(monkeypatch):
     """After a number of runs and when the batches end, before the next task uses the worker."""
     released = []
